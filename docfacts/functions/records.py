@@ -7,10 +7,16 @@ are ignored; a missing or null field is an error, never a default.
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+from functools import reduce
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
+from docfacts.schemas import FIELD_ERROR, TEXT_FIELDS
 
-from docfacts.schemas import TEXT_FIELDS
+ERRORS = T.ArrayType(FIELD_ERROR)
 
 # What a numeric string may look like.
 NUMBER_TEXT = (
@@ -57,11 +63,23 @@ def field_number(variant: Column, kind: Column, field: str) -> Column:
     )
 
 
-def type_problem(field: str, kind: Column, value: Column) -> Column:
-    """Error struct when ``field`` has no usable value, else null."""
+def errors_where(cases: Sequence[tuple[Column, Column]]) -> Column:
+    """Array of the error structs whose condition holds, in order.
+
+    Joined from arrays of none or one, which unlike filtering out nulls needs no lambda
+    and so stays in generated code; a row without errors builds nothing.
+    """
+    none = F.array().cast(ERRORS)
+    any_holds = reduce(lambda a, b: a | b, [holds for holds, _ in cases])
+    found = F.concat(*[F.when(holds, F.array(error)).otherwise(none) for holds, error in cases])
+    return F.when(any_holds, found).otherwise(none)
+
+
+def type_problem(field: str, kind: Column, value: Column) -> tuple[Column, Column]:
+    """When ``field`` has no usable value, and the error to report then."""
     wrong = NOT_A_TEXT if field in TEXT_FIELDS else NOT_A_NUMBER
     why = F.when(kind.isNull(), F.lit(f"{field}: {MISSING}")).otherwise(F.lit(f"{field}: {wrong}"))
-    return F.when(value.isNull(), field_error(field, why))
+    return value.isNull(), field_error(field, why)
 
 
 def no_object(output: Column) -> Column:

@@ -8,6 +8,7 @@ from pyspark.sql import types as T
 
 from docfacts.functions import records, text
 from docfacts.schemas import RECORD, TEXT_FIELDS
+from docfacts.session import computed_once
 
 
 def parse_outputs(df: DataFrame, output: str, schema: T.StructType = RECORD) -> DataFrame:
@@ -39,13 +40,13 @@ def parse_outputs(df: DataFrame, output: str, schema: T.StructType = RECORD) ->
         variant.isNull(), F.array(records.field_error("output", F.lit(records.BAD_JSON)))
     )
     problems = [records.type_problem(n, kind[n], value[n]) for n in value]
-    return parsed.withColumns(
+    typed = F.struct(*[c.alias(n) for n, c in value.items()])
+    return computed_once(
+        parsed,
         {
-            "record": F.when(
-                variant.isNotNull(), F.struct(*[c.alias(n) for n, c in value.items()])
-            ),
-            "type_errors": F.coalesce(unparsed, F.array_compact(F.array(*problems))),
-        }
+            "record": F.when(variant.isNotNull(), typed),
+            "type_errors": F.coalesce(unparsed, records.errors_where(problems)),
+        },
     ).select(*df.columns, "record", "type_errors")
 
 
@@ -58,4 +59,4 @@ def stated_facts(df: DataFrame, text_col: str = "text") -> DataFrame:
     for spec in RECORD.fields:
         found = text.stated_fact(F.col(text_col), spec.name)
         facts[spec.name] = found if spec.name in TEXT_FIELDS else found.try_cast("double")
-    return df.withColumns(facts)
+    return computed_once(df, facts)

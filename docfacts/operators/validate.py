@@ -8,7 +8,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from docfacts.functions.records import MISSING, field_error
+from docfacts.functions.records import MISSING, errors_where, field_error
 
 # The domain the records must lie in.
 VALID_MINERALS = ("Copper", "Gold", "Silver", "Zinc", "Lithium", "Nickel")
@@ -63,16 +63,14 @@ def _source(record: str | None) -> Callable[[str], Column]:
 def rule_errors(rules: Sequence[Rule] = DOMAIN_RULES, record: str | None = None) -> Column:
     """Array of {field, message} for the present values that break a rule, in rule order."""
     value = _source(record)
-    return F.array_compact(
-        F.array(
-            *[
-                F.when(
-                    value(r.field).isNotNull() & ~r.holds(value(r.field)),
-                    field_error(r.field, r.message(value(r.field))),
-                )
-                for r in rules
-            ]
-        )
+    return errors_where(
+        [
+            (
+                value(r.field).isNotNull() & ~r.holds(value(r.field)),
+                field_error(r.field, r.message(value(r.field))),
+            )
+            for r in rules
+        ]
     )
 
 
@@ -88,19 +86,22 @@ def check(
     """
     value = _source(record)
     broken = rule_errors(rules, record)
+    # Kept apart from the messages, so that filtering by it builds none.
+    valid = F.lit(True)
+    for rule in rules:
+        valid = valid & F.coalesce(rule.holds(value(rule.field)), F.lit(False))
     if "type_errors" in df.columns:
         errors = F.concat(F.col("type_errors"), broken)
+        valid = valid & (F.size("type_errors") == 0)
     else:
-        absent = F.array_compact(
-            F.array(
-                *[
-                    F.when(value(f).isNull(), field_error(f, F.lit(f"{f}: {MISSING}")))
-                    for f in dict.fromkeys(r.field for r in rules)
-                ]
-            )
+        absent = errors_where(
+            [
+                (value(f).isNull(), field_error(f, F.lit(f"{f}: {MISSING}")))
+                for f in dict.fromkeys(r.field for r in rules)
+            ]
         )
         errors = F.concat(absent, broken)
-    return df.withColumn("errors", errors).withColumn("valid", F.size("errors") == 0)
+    return df.withColumns({"errors": errors, "valid": valid})
 
 
 def reason(errors: Column) -> Column:

@@ -24,7 +24,7 @@ from docfacts.operators import (
 from docfacts.plans import derived
 from docfacts.plans.derived import table
 from docfacts.schemas import ATTEMPT, RECORD_FIELDS, REGISTRY
-from docfacts.session import scratch_dir
+from docfacts.session import scratch_dir, tuned
 from docfacts.sources import readers, writers
 from docfacts.sources.keyed import KeyedTable
 from docfacts.streaming import online
@@ -38,7 +38,7 @@ WANTED_COUNTS = [3.0, 3.0, 3.0, 3.0]
 
 
 def query(function: Query) -> Query:
-    QUERIES[function.__name__] = function
+    QUERIES[function.__name__] = lambda spark, sf_dir: function(tuned(spark), sf_dir)
     return function
 
 

@@ -6,6 +6,7 @@ check; only that frame is ever collected.
 
 from __future__ import annotations
 
+from dataclasses import dataclass
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame
@@ -18,27 +19,38 @@ from docfacts.schemas import CHECK
 DIMENSIONS = ("completeness", "correctness", "consistency", "validity", "timeliness")
 
 
-def measure(
-    df: DataFrame,
-    dimension: str,
-    name: str,
-    measured: Column,
-    threshold: float,
-    higher_is_better: bool = True,
-    detail: Column | str = "",
-) -> DataFrame:
-    """One measurement: the aggregate ``measured`` over ``df`` beside its threshold."""
-    if dimension not in DIMENSIONS:
-        raise ValueError(f"unknown dimension {dimension!r}, expected one of {DIMENSIONS}")
-    text = F.lit(detail) if isinstance(detail, str) else detail
-    return df.agg(measured.cast("double").alias("measured"), text.alias("detail")).select(
-        F.lit(dimension).alias("dimension"),
-        F.lit(name).alias("name"),
-        "measured",
-        F.lit(float(threshold)).alias("threshold"),
-        "detail",
-        F.lit(higher_is_better).alias("higher_is_better"),
+@dataclass(frozen=True)
+class Measure:
+    """An aggregate over a stage and the threshold it has to reach."""
+
+    dimension: str
+    name: str
+    measured: Column
+    threshold: float
+    higher_is_better: bool = True
+    detail: str = ""
+
+
+def measure(df: DataFrame, *wanted: Measure) -> DataFrame:
+    """One row per measure. All of them come from a single pass over ``df``."""
+    for m in wanted:
+        if m.dimension not in DIMENSIONS:
+            raise ValueError(f"unknown dimension {m.dimension!r}, expected one of {DIMENSIONS}")
+    totals = df.agg(
+        *[m.measured.cast("double").alias(f"_measured_{i}") for i, m in enumerate(wanted)]
     )
+    rows = [
+        F.struct(
+            F.lit(m.dimension).alias("dimension"),
+            F.lit(m.name).alias("name"),
+            F.col(f"_measured_{i}").alias("measured"),
+            F.lit(float(m.threshold)).alias("threshold"),
+            F.lit(m.detail).alias("detail"),
+            F.lit(m.higher_is_better).alias("higher_is_better"),
+        )
+        for i, m in enumerate(wanted)
+    ]
+    return totals.select(F.inline(F.array(*rows)))
 
 
 def evaluate(measures: DataFrame | list[DataFrame]) -> DataFrame:

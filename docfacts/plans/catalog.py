@@ -541,72 +541,109 @@ def evaluation_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read.select("report_id", "status", "attempts", "field_matches.*")
 
 
-def _share_of(wanted: F.Column, among: F.Column) -> F.Column:
-    """Rows with ``wanted`` among those with ``among``, as a share."""
-    return F.round(
-        F.coalesce(F.try_divide(F.count_if(wanted & among), F.count_if(among)), F.lit(1.0)), 6
-    )
+def _share(part: F.Column, whole: F.Column) -> F.Column:
+    return F.round(F.coalesce(F.try_divide(part, whole), F.lit(1.0)), 6)
 
 
 def _checks(spark: SparkSession, sf_dir: str) -> DataFrame:
-    gated = intake.gate(_uploads(spark, sf_dir), "doc_id")
-    status, fits = F.col("status"), F.octet_length("text") >= intake.MIN_TEXT_BYTES
+    """Checks of every stage, each stage measured in one pass."""
+    status = F.col("status")
+    short = F.octet_length("text") < intake.MIN_TEXT_BYTES
+    # Uploads per text; those without a hash, the rejected ones, form one group.
+    copies = (
+        intake.gate(_uploads(spark, sf_dir), "doc_id")
+        .groupBy("content_hash")
+        .agg(
+            F.count("*").alias("n"),
+            F.count_if(status == intake.ACCEPTED).alias("accepted"),
+            F.count_if(status == intake.DUPLICATE).alias("duplicate"),
+            F.count_if(status == intake.REJECTED).alias("rejected"),
+            F.count_if(short).alias("short"),
+            F.count_if(short & (status == intake.REJECTED)).alias("short_rejected"),
+        )
+    )
+    hashed, again = F.col("content_hash").isNotNull(), F.col("n") > 1
+    others_out = F.col("duplicate") == F.col("n") - 1
+    with_status = F.col("accepted") + F.col("duplicate") + F.col("rejected")
     checked = validate.check(_records(spark, sf_dir))
     outside = ~F.col("lat").between(*validate.LAT_BOUNDS)
-    outcomes = _outcomes(spark, sf_dir)
-    failed = F.col("status") == extract.FAILED
-    facts = _site_facts(spark, sf_dir)
-    summary = evaluate.summary(_matches(spark, sf_dir))
-    copies = gated.filter(fits).groupBy("content_hash").agg(
-        F.count_if(status == intake.ACCEPTED).alias("n_accepted"),
-        F.count_if(status == intake.DUPLICATE).alias("n_duplicate"),
-        F.count("*").alias("n"),
-    )
-    first_in = F.col("n_accepted") == 1
-    others_out = F.col("n_duplicate") == F.col("n") - 1
+    failed = status == extract.FAILED
+    used_up = F.col("attempts") == extract.MAX_ATTEMPTS
+    correct = sum((F.col("field_matches")[f].cast("int") for f in RECORD_FIELDS), F.lit(0))
+    everything, fields = F.count("*"), F.count("*") * len(RECORD_FIELDS)
+    check = quality.Measure
     return quality.evaluate(
         [
             quality.measure(
-                copies, "validity", "intake_accepts_new_content",
-                _share_of(first_in, F.lit(True)), 1.0,
-            ),
-            quality.measure(
-                copies, "validity", "intake_rejects_duplicate_content",
-                _share_of(others_out, F.col("n") > 1), 1.0,
-            ),
-            quality.measure(
-                gated, "validity", "intake_rejects_malformed_upload",
-                _share_of(status == intake.REJECTED, ~fits), 1.0,
+                copies,
+                check(
+                    "validity",
+                    "intake_accepts_new_content",
+                    _share(F.count_if(hashed & (F.col("accepted") == 1)), F.count_if(hashed)),
+                    1.0,
+                ),
+                check(
+                    "validity",
+                    "intake_rejects_duplicate_content",
+                    _share(F.count_if(hashed & again & others_out), F.count_if(hashed & again)),
+                    1.0,
+                ),
+                check(
+                    "validity",
+                    "intake_rejects_malformed_upload",
+                    _share(F.sum("short_rejected"), F.sum("short")),
+                    1.0,
+                ),
+                check(
+                    "completeness",
+                    "every_upload_has_a_status",
+                    _share(F.sum(with_status), F.sum("n")),
+                    1.0,
+                ),
             ),
             quality.measure(
-                checked, "validity", "schema_rejects_out_of_region_coordinates",
-                _share_of(~F.col("valid"), outside), 1.0,
+                checked,
+                check(
+                    "validity",
+                    "schema_rejects_out_of_region_coordinates",
+                    _share(F.count_if(outside & ~F.col("valid")), F.count_if(outside)),
+                    1.0,
+                ),
             ),
             quality.measure(
-                outcomes, "correctness", "gate_fails_gracefully_not_silently",
-                _share_of(
-                    (F.col("attempts") == extract.MAX_ATTEMPTS) & F.col("reason").isNotNull(),
-                    failed,
-                ), 1.0,
+                _matches(spark, sf_dir),
+                check(
+                    "correctness",
+                    "gate_fails_gracefully_not_silently",
+                    _share(F.count_if(failed & used_up), F.count_if(failed)),
+                    1.0,
+                ),
+                check(
+                    "correctness",
+                    "field_level_precision",
+                    F.round(F.sum(correct) / fields, 4),
+                    0.99,
+                ),
+                check(
+                    "completeness",
+                    "reports_lost_to_failed_extraction",
+                    _share(F.count_if(failed), everything),
+                    0.25,
+                    higher_is_better=False,
+                ),
             ),
             quality.measure(
-                summary, "correctness", "field_level_precision",
-                F.max("field_level_precision"), 0.99,
-            ),
-            quality.measure(
-                facts, "consistency", "resolution_merges_same_site",
-                F.max("n_reports"), 2.0, detail="reports of the most reported site",
-            ),
-            quality.measure(
-                gated, "completeness", "every_upload_has_a_status",
-                _share_of(status.isNotNull(), F.lit(True)), 1.0,
-            ),
-            quality.measure(
-                outcomes, "completeness", "reports_lost_to_failed_extraction",
-                _share_of(failed, F.lit(True)), 0.25, higher_is_better=False,
+                _site_facts(spark, sf_dir),
+                check(
+                    "consistency",
+                    "resolution_merges_same_site",
+                    F.max("n_reports"),
+                    2.0,
+                    detail="reports of the most reported site",
+                ),
             ),
         ]
-    )
+    )
 
 
 @query

@@ -55,12 +55,11 @@ def field_text(variant: Column, kind: Column, field: str) -> Column:
 
 
 def field_number(variant: Column, kind: Column, field: str) -> Column:
+    """Numbers and booleans as they are, strings if numeric; null for anything else."""
     path = f"$.{field}"
-    return (
-        F.when(kind == "STRING", number_from_text(F.try_variant_get(variant, path, "string")))
-        .when(kind.rlike("^(OBJECT|ARRAY|VOID)"), F.lit(None).cast("double"))
-        .otherwise(F.try_variant_get(variant, path, "double"))
-    )
+    return F.when(
+        kind == "STRING", number_from_text(F.try_variant_get(variant, path, "string"))
+    ).otherwise(F.try_variant_get(variant, path, "double"))
 
 
 def errors_where(cases: Sequence[tuple[Column, Column]]) -> Column:

@@ -42,43 +42,50 @@ def site_facts(records: DataFrame) -> DataFrame:
     return with_site(records).groupBy(*SITE).agg(*_facts())
 
 
-def _large_sites(records: DataFrame, list_limit: int) -> DataFrame:
-    """Facts of the sites whose ids need more than one list, and the number of lists."""
-    total = records.agg(F.count("*")).scalar()
-    limit = F.greatest(F.lit(list_limit), F.ceil(total / MAX_LARGE_SITES))
-    return (
-        site_facts(records)
-        .filter(F.col("n_reports") > limit)
-        .withColumn("_parts", F.ceil(F.col("n_reports") / limit))
-    )
+def _marked(records: DataFrame, list_limit: int) -> DataFrame:
+    """Add ``_parts`` to the records of sites whose ids need more than one list.
 
-
-def _match_site(records: DataFrame, large: DataFrame, how: str) -> DataFrame:
-    """Join ``large`` to the records; null equals null, as in the grouping."""
-    keys = large.select(
-        *[F.col(name).alias(f"_{name}") for name in SITE], F.col("_parts")
+    The sites come from counts that are summed before their shuffle, and the total from
+    the same counts, so the shuffle is shared.
+    """
+    counts = with_site(records).groupBy(*SITE).agg(F.count("*").alias("_n"))
+    total = counts.agg(F.sum("_n")).scalar()
+    limit = F.greatest(F.lit(list_limit), F.ceil(total / MAX_LARGE_SITES))
+    large = counts.filter(F.col("_n") > limit).select(
+        *[F.col(name).alias(f"_{name}") for name in SITE],
+        F.ceil(F.col("_n") / limit).alias("_parts"),
     )
+    # Null equals null, as in the grouping.
     same = F.lit(True)
     for name in SITE:
         same = same & F.col(name).eqNullSafe(F.col(f"_{name}"))
-    return records.join(F.broadcast(keys), same, how)
+    return with_site(records).join(F.broadcast(large), same, "left")
 
 
 def occurrences(records: DataFrame, list_limit: int = LIST_LIMIT) -> DataFrame:
     """One row per site: count, sorted report ids, mean depth and mean grade.
 
     ``report_ids`` is null for a site with more than ``list_limit`` reports; its ids
-    are in ``report_lists``.
+    are in ``report_lists``. Such ids are blanked before the aggregate, which skips
+    them, so they are neither shuffled nor collected.
     """
-    large = _large_sites(records, list_limit)
-    listed = (
-        _match_site(with_site(records), large, "left_anti")
+    listed = F.when(F.col("_parts").isNull(), F.col("report_id"))
+    return (
+        _marked(records, list_limit)
         .groupBy(*SITE)
-        .agg(F.sort_array(F.collect_list("report_id")).alias("report_ids"), *_facts())
+        .agg(
+            F.max("_parts").alias("_parts"),
+            F.collect_list(listed).alias("_ids"),
+            *_facts(),
+        )
+        .select(
+            *SITE,
+            "n_reports",
+            F.when(F.col("_parts").isNull(), F.sort_array("_ids")).alias("report_ids"),
+            "avg_depth_m",
+            "avg_grade_g_t",
+        )
     )
-    unlisted = large.withColumn("report_ids", F.lit(None).cast("array<string>"))
-    columns = [*SITE, "n_reports", "report_ids", "avg_depth_m", "avg_grade_g_t"]
-    return listed.select(*columns).unionByName(unlisted.select(*columns))
 
 
 def report_lists(records: DataFrame, list_limit: int = LIST_LIMIT) -> DataFrame:
@@ -87,12 +94,10 @@ def report_lists(records: DataFrame, list_limit: int = LIST_LIMIT) -> DataFrame:
     One row per site and ``part``. A site up to the limit has part 0 only; a larger
     one is spread by the hash of the id before anything is collected.
     """
-    large = _large_sites(records, list_limit)
     part = F.coalesce(F.pmod(F.xxhash64("report_id"), F.col("_parts")), F.lit(0)).cast("int")
     return (
-        _match_site(with_site(records).select(*SITE, "report_id"), large, "left")
-        .withColumn("part", part)
-        .groupBy(*SITE, "part")
+        _marked(records, list_limit)
+        .groupBy(*SITE, part.alias("part"))
         .agg(F.sort_array(F.collect_list("report_id")).alias("report_ids"))
     )
 

@@ -67,19 +67,31 @@ def evaluate(measures: DataFrame | list[DataFrame]) -> DataFrame:
 
 
 def score(checks: DataFrame) -> DataFrame:
-    """Passed share per dimension in report order, then ``overall`` (0 without checks)."""
-    passed = F.col("passed").cast("int")
-    ranks = F.create_map(*[F.lit(x) for i, d in enumerate(DIMENSIONS) for x in (d, i)])
+    """Passed share per dimension in report order, then ``overall`` (0 without checks).
+
+    The dimensions are folded into one row, of five entries at most, so that the checks
+    are computed once and an empty frame still has its overall score.
+    """
+    by_dimension = checks.groupBy("dimension").agg(
+        F.sum(F.col("passed").cast("int")).alias("_passed"), F.count("*").alias("_made")
+    )
+    rank = F.array_position(F.array(*[F.lit(d) for d in DIMENSIONS]), F.col("dimension"))
+    entry = F.struct(
+        rank.alias("rank"), "dimension", share(F.col("_passed"), F.col("_made")).alias("score")
+    )
+    overall = F.struct(
+        F.lit(len(DIMENSIONS) + 1).cast("bigint").alias("rank"),
+        F.lit("overall").alias("dimension"),
+        share(F.col("_passed"), F.col("_made")).alias("score"),
+    )
     return (
-        checks.rollup("dimension")
-        .agg(share(F.sum(passed), F.count("*")).alias("score"))
-        .select(
-            F.coalesce("dimension", F.lit("overall")).alias("dimension"),
-            "score",
-            F.coalesce(ranks[F.col("dimension")], F.lit(len(DIMENSIONS))).alias("_rank"),
+        by_dimension.agg(
+            F.array_sort(F.collect_list(entry)).alias("_entries"),
+            F.sum("_passed").alias("_passed"),
+            F.sum("_made").alias("_made"),
         )
-        .orderBy("_rank")
-        .drop("_rank")
+        .select(F.inline(F.concat("_entries", F.array(overall))))
+        .select("dimension", "score")
     )
 
 

@@ -24,7 +24,7 @@ from docfacts.functions import text
 from docfacts.operators.parse import parse_outputs
 from docfacts.operators.validate import DOMAIN_RULES, Rule, check, reason
 from docfacts.schemas import RECORD_FIELDS
-from docfacts.session import materialize
+from docfacts.session import computed_once, materialize
 
 # Attempts per report, and the size asked of a provider.
 MAX_ATTEMPTS = 2
@@ -157,14 +157,15 @@ def _rounds_in_one_pass(
         tried = check(parsed, rules, record="record")
         passed = F.col("_asked") & F.col("valid")
         earlier = F.col("_record") if attempt > 1 else F.lit(None)
-        df = tried.withColumns(
+        df = computed_once(
+            tried,
             {
                 "_record": F.when(passed, F.col("record")).otherwise(earlier),
                 "_errors": F.when(F.col("_asked"), F.col("errors")).otherwise(F.col("_errors")),
                 "_attempt": F.when(F.col("_asked"), F.col("_before") + attempt).otherwise(
                     F.col("_attempt")
                 ),
-            }
+            },
         ).select(*kept)
         failing = F.col("_record").isNull()
     done = F.col("_record").isNotNull()

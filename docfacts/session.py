@@ -9,18 +9,6 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
-# Stages with many text expressions exceed what the JVM compiles as one method. With
-# this limit Spark falls back to split methods there, which are compiled.
-RUNTIME_CONF = {"spark.sql.codegen.hugeMethodLimit": "8000"}
-
-
-def tuned(spark: SparkSession) -> SparkSession:
-    """Apply the run-time settings the expressions of this library need to be fast."""
-    for key, value in RUNTIME_CONF.items():
-        spark.conf.set(key, value)
-    return spark
-
-
 def local_session(cores: str | int = "*", app: str = "docfacts", **conf: str) -> SparkSession:
     """A session for tests and benchmarks; on a cluster the submitter provides one."""
     builder = (
@@ -37,7 +25,7 @@ def local_session(cores: str | int = "*", app: str = "docfacts", **conf: str) ->
         builder = builder.config(key.replace("__", "."), value)
     spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
-    return tuned(spark)
+    return spark
 
 
 def _checkpoint_root(spark: SparkSession) -> str:
@@ -73,11 +61,12 @@ def materialize(df: DataFrame) -> DataFrame:
 
 
 def computed_once(df: DataFrame, columns: dict[str, Column]) -> DataFrame:
-    """Add ``columns``, evaluated once per row however often they are used later.
+    """Add or replace ``columns``, evaluated once per row however often they are used later.
 
     Catalyst merges a projection into the filters and projections above it, which
     repeats costly expressions such as regexes and JSON parsing for every use. Passing
     them through a one-row generator keeps them where they are, in generated code.
     """
     row = F.struct(*[column.alias(name) for name, column in columns.items()])
-    return df.select("*", F.inline(F.array(row)))
+    kept = [name for name in df.columns if name not in columns]
+    return df.select(*kept, F.inline(F.array(row)))

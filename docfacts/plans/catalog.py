@@ -230,6 +230,33 @@ def retrieval_context(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("report_id", "context")
 
 
+@query
+def batch_encoder_hits(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same vectors from a Python encoder, the nearest passages of each document."""
+    words = COUNTED_WORDS
+
+    def load():
+        return lambda texts: [[t.lower().count(w) for w in words] for t in texts]
+
+    chunks = chunk.chunk(table(spark, sf_dir, "documents"), "doc_id")
+    vectors = retrieve.embed(chunks, retrieve.BatchEncoder(load))
+    hits = retrieve.top_k(
+        vectors, WANTED_COUNTS, retrieve.RETRIEVAL_TOP_K, scope="report_id", tie_break="chunk_index"
+    )
+    return hits.select("id", "rank", "distance")
+
+
+@query
+def vector_upsert(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Vectors are written, then those of one label are written again under another."""
+    vectors = table(spark, sf_dir, "embeddings")
+    path = scratch_dir(spark, "vectors")
+    stored = KeyedTable(spark, path, vectors.schema, "vec_id")
+    stored.put(vectors, 0)
+    stored.put(vectors.filter("label = 3").withColumn("label", F.lit(-1)), 1)
+    return stored.read().select("vec_id", "label", F.size("embedding").alias("dims"))
+
+
 @query
 def embed_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     chunks = chunk.chunk(table(spark, sf_dir, "documents"), "doc_id")
@@ -243,7 +270,7 @@ def embed_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def retrieve_passages(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Embed, search and reassemble, on the derived reports."""
-    reports = derived.reports(table(spark, sf_dir, "orders")).select("report_id", "text")
+    reports = derived.reports(table(spark, sf_dir, "orders"))
     encoder = retrieve.TermEncoder().fit(chunk.chunk(reports))
     wanted = retrieve.encode_query(reports, encoder)
     return retrieve.retrieve(reports, encoder, wanted).select("report_id", "context")
@@ -321,6 +348,30 @@ def retry_outcomes(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@query
+def batch_provider_outcomes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The gate with a Python provider that reads the prompts it is sent."""
+
+    def connect():
+        import json
+        import re
+
+        stated = re.compile(
+            r"Drill hole (?P<hole_id>\S+) intersected (?P<grade_g_t>[\d.]+) g/t (?P<mineral>\w+) "
+            r"at a depth of (?P<depth_m>\d+)m\. Coordinates recorded at the collar: "
+            r"(?P<lat>[-\d.]+), (?P<lon>-\d+\.\d+)"
+        )
+
+        def ask(prompts, max_tokens):
+            return [json.dumps(stated.search(p).groupdict()) for p in prompts]
+
+        return ask
+
+    reports = derived.reports(table(spark, sf_dir, "orders"))
+    outcomes = extract.run(reports, extract.BatchProvider(connect))
+    return outcomes.select("report_id", "status", "attempts", "reason", "record.mineral")
+
+
 @query
 def attempts_per_report(spark: SparkSession, sf_dir: str) -> DataFrame:
     return extract.attempts_per_report(extract.attempt_log(_outcomes(spark, sf_dir)))
@@ -462,6 +513,16 @@ def typed_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return readers.read_stored(spark, path)
 
 
+@query
+def report_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One text file per document, read whole; the writer ends each with a line break."""
+    path = scratch_dir(spark, "report-files")
+    documents = table(spark, sf_dir, "documents").select("doc_id", "text")
+    spread = documents.repartition(spark.sparkContext.defaultParallelism, "doc_id")
+    spread.write.partitionBy("doc_id").text(path)
+    return readers.read_reports(spark, path).select("text")
+
+
 @query
 def upload_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Upload bodies as JSON lines, among them the raw pages, which are no JSON."""
@@ -480,11 +541,7 @@ def upload_files(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def labelled_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = scratch_dir(spark, "labelled")
-    orders = table(spark, sf_dir, "orders")
-    labelled = derived.reports(orders).select("report_id", "text").join(
-        derived.truth(orders), "report_id"
-    )
-    writers.write_labelled(labelled, path)
+    writers.write_labelled(derived.labelled(table(spark, sf_dir, "orders")), path)
     read = readers.read_labelled(spark, f"{path}/labels", array_file=False)
     return readers.flat_truth(read)
 

@@ -47,9 +47,9 @@ def records(orders: DataFrame) -> DataFrame:
     return facts(orders).withColumns(numbers)
 
 
-def reports(orders: DataFrame) -> DataFrame:
-    """report_id, text and the keys: the facts stated in sentences."""
-    text = F.concat(
+def _report_text() -> Column:
+    """The facts stated in sentences."""
+    return F.concat(
         F.lit("GEOLOGICAL SURVEY REPORT "),
         F.col("report_id"),
         F.lit("\n\nDrill hole "),
@@ -66,14 +66,27 @@ def reports(orders: DataFrame) -> DataFrame:
         F.col("lon").cast("string"),
         F.lit(".\n\nField notes: core recovery was consistent throughout the interval."),
     )
-    return facts(orders).select("k", "c", "report_id", text.alias("text"))
+
+
+def labelled(orders: DataFrame) -> DataFrame:
+    """Reports with their labels: report_id, text and ``ground_truth``."""
+    truth = F.struct(
+        "mineral",
+        "depth_m",
+        *[F.col(n).cast("double").alias(n) for n in ("lat", "lon", "grade_g_t")],
+        "hole_id",
+    )
+    return facts(orders).select(
+        "report_id", _report_text().alias("text"), truth.alias("ground_truth")
+    )
+
+
+def reports(orders: DataFrame) -> DataFrame:
+    return labelled(orders).select("report_id", "text")
 
 
 def truth(orders: DataFrame) -> DataFrame:
-    """Labels of the derived reports: report_id and ``ground_truth``."""
-    fields = ("mineral", "depth_m", "lat", "lon", "grade_g_t", "hole_id")
-    typed = records(orders).withColumn("depth_m", F.col("depth_m").cast("int"))
-    return typed.select("report_id", F.struct(*fields).alias("ground_truth"))
+    return labelled(orders).select("report_id", "ground_truth")
 
 
 def _object(k: Column, broken: bool) -> Column:

@@ -281,6 +281,7 @@ _PROMPT = (
     f" || {_quoted(PROMPT_FOOTER)}"
 )
 _WORDS = ("the", "que", "der", "la")
+_SCORE = " + ".join(f"(len(regexp_extract_all(lower(text), '{w}')) - 3) ** 2" for w in _WORDS)
 _NEAREST = """
     SELECT {columns}, round(distance, 6) AS distance
     FROM (SELECT e.vec_id, e.label, {distance} AS distance,
@@ -346,14 +347,27 @@ _SELECTS = {
         FROM documents d LEFT JOIN (
             SELECT report_id, string_agg(text, ' ' ORDER BY chunk_index) AS found
             FROM (SELECT *, row_number() OVER (
-                      PARTITION BY report_id ORDER BY
-                      {" + ".join(
-                          f"(len(regexp_extract_all(lower(text), '{w}')) - 3) ** 2"
-                          for w in _WORDS)},
-                      chunk_index) AS rank
+                      PARTITION BY report_id ORDER BY {_SCORE}, chunk_index) AS rank
                   FROM pieces WHERE lang <> 'fr')
             WHERE rank <= 4 GROUP BY report_id) h
         ON h.report_id = CAST(d.doc_id AS VARCHAR)""",
+    "batch_encoder_hits": f"""
+        SELECT report_id || '-chunk-' || chunk_index AS id, rank, distance
+        FROM (SELECT *, row_number() OVER (PARTITION BY report_id ORDER BY distance, chunk_index)
+                        AS rank
+              FROM (SELECT report_id, chunk_index,
+                           CAST({_SCORE} AS DOUBLE) AS distance FROM pieces))
+        WHERE rank <= 4""",
+    "vector_upsert": """
+        SELECT vec_id, CASE WHEN label = 3 THEN -1 ELSE label END AS label,
+               len(embedding) AS dims
+        FROM embeddings""",
+    "batch_provider_outcomes": """
+        SELECT report_id, CASE WHEN valid THEN 'extracted' ELSE 'failed' END AS status,
+               CASE WHEN valid THEN 1 ELSE 2 END AS attempts, nullif(reason, '') AS reason,
+               CASE WHEN valid THEN mineral END AS mineral
+        FROM checked""",
+    "report_files": "SELECT text || chr(10) AS text FROM documents",
     "extract_rules": f"SELECT report_id, {_LIST} FROM stated",
     "extract_step": f"SELECT report_id, {_LIST} FROM stated",
     "validate_records": """

@@ -1,7 +1,7 @@
 """Time the headline queries and print one JSON line.
 
 Data: ``$BENCH_SF_DIR``, cores: ``$BENCH_CPUS``. Every query runs in full into a sink
-that discards rows, once to warm up and then twice; the better time counts.
+that discards rows, once to warm up and once for the time.
 """
 
 from __future__ import annotations
@@ -43,12 +43,10 @@ def main() -> None:
     spark = local_session(cores, "docfacts-bench")
     times = {}
     for name in HEADLINE:
-        runs = []
-        for _ in range(3):
+        for _ in range(2):
             start = time.perf_counter()
             QUERIES[name](spark, sf_dir).write.format("noop").mode("overwrite").save()
-            runs.append(time.perf_counter() - start)
-        times[name] = round(min(runs[1:]), 3)
+            times[name] = round(time.perf_counter() - start, 3)
     spark.stop()
     print(
         json.dumps(

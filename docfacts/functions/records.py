@@ -45,6 +45,21 @@ def number_from_text(value: Column) -> Column:
     )
 
 
+# Parsing ends at the first complete value, so a block is parsed as the first item of an
+# array whose second item must then be this mark: text after the object is an error.
+_END = "end of output"
+
+
+def parsed_block(block: Column) -> Column:
+    return F.try_parse_json(F.concat(F.lit("["), block, F.lit(f',"{_END}"]')))
+
+
+def sole_object(parsed: Column) -> Column:
+    """The object of a parsed block; null if the block held anything else beside it."""
+    whole = F.try_variant_get(parsed, "$[1]", "string") == _END
+    return F.when(whole, F.try_variant_get(parsed, "$[0]", "variant"))
+
+
 def field_kind(variant: Column, field: str) -> Column:
     """Type name of one field, ``VOID`` for JSON null, null when the key is absent."""
     return F.schema_of_variant(F.try_variant_get(variant, f"$.{field}", "variant"))

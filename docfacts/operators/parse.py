@@ -30,7 +30,8 @@ def parse_outputs(df: DataFrame, output: str, schema: T.StructType = RECORD) ->
     parsed = (
         df.withColumn("_clean", text.without_reasoning(F.col(output)))
         .withColumn("_block", text.json_block(clean))
-        .withColumn("_variant", F.try_parse_json(block))
+        .withColumn("_parsed", records.parsed_block(block))
+        .withColumn("_variant", records.sole_object(F.col("_parsed")))
         .withColumns({f"_kind_{f.name}": records.field_kind(variant, f.name) for f in fields})
         .withColumns(
             {f"_value_{n}": read[n](variant, kind[n], n) for n in (f.name for f in fields)}

@@ -112,7 +112,7 @@ def test_a_text_must_be_a_text(spark, value):
     assert record["hole_id"] is None and errors[0][0] == "hole_id"
 
 
-@pytest.mark.parametrize("output", ["nothing here", '{"mineral" "Gold"}', "{} {}", "", "}{"])
+@pytest.mark.parametrize("output", ["nothing here", '{"mineral" "Gold"}', "{} {}", "{}, {}", "{}], [{}", "", "}{"])
 def test_outputs_without_an_object(spark, output):
     record, errors = parsed(spark, output)
     assert record is None and errors[0][0] == "output"

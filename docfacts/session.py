@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -29,17 +28,14 @@ def local_session(cores: str | int = "*", app: str = "docfacts", **conf: str) ->
 
 
 def _checkpoint_root(spark: SparkSession) -> str:
-    """The shared folder named by ``spark.checkpoint.dir``.
+    """The shared folder named by ``spark.checkpoint.dir``, else one below the warehouse.
 
-    Only a local session may fall back to a temporary folder: on a cluster a
-    machine-local path would be lost with the executor that wrote it.
+    The rule is the same for every master: both are folders that all executors reach.
     """
     context = spark.sparkContext
     root = spark.conf.get("spark.checkpoint.dir", None) or context.getCheckpointDir()
     if root is None:
-        if not context.master.startswith("local"):
-            raise RuntimeError("set spark.checkpoint.dir to a folder every executor can reach")
-        root = tempfile.mkdtemp(prefix="docfacts-")
+        root = f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/scratch"
     if context.getCheckpointDir() is None:
         context.setCheckpointDir(root)
     return root

@@ -1,9 +1,10 @@
 """Language-model scores from a log-frequency Bloom filter.
 
 The corpus is read once into blocks of whole documents: the words' numbers within the
-block, the block's distinct words, and its counted n-grams (orders 1 and 2). All further
-steps work on these packed blocks, so that a frequent word costs one entry a block and
-not one a use. Counts meet by ranges of their hash, whose number follows the corpus.
+block and the block's distinct words. All further steps work on these packed blocks and
+count n-grams (orders 1 and 2) within each first, so that a frequent word costs one entry
+a block and not one a use. Counts meet by ranges of their hash; the number of ranges
+follows the corpus.
 
 An n-gram with count c enters the filter as (n-gram, 1) ... (n-gram, q) with
 q = 1 + floor(log_b c); a reader probes level after level until one is absent. The
@@ -53,10 +54,8 @@ ALPHA = 0.1
 
 _END = b" "  # no word has a space, so the end can't meet one
 _KEY_BITS = 48
-_BLOCKS = (
-    "kind string, block long, range int, ids array<long>, held binary, lens binary, "
-    "seq binary, keys binary, counts binary"
-)
+_BLOCKS = "block long, ids array<long>, held binary, lens binary, seq binary, words binary"
+_COUNTED = "block long, range int, keys binary, counts binary"
 _SCORES = (
     "doc_id long, held_out boolean, n_tokens long, n_known long, train_tokens long, "
     "base_score double, score double"
@@ -126,50 +125,81 @@ def _cuts(keys: np.ndarray, top_bits: int, ranges: int) -> np.ndarray:
     return np.concatenate([[0], np.searchsorted(keys, edges), [len(keys)]])
 
 
-def _encode(ranges: int):
-    def encode(batches):
-        from pyspark import TaskContext
-
-        base = TaskContext.get().partitionId() << 32
-        schema = pa.schema([
-            ("kind", pa.string()), ("block", pa.int64()), ("range", pa.int32()), ("ids", pa.list_(pa.int64())),
-            *((n, pa.binary()) for n in ("held", "lens", "seq", "keys", "counts")),
-        ])
-        for number, rows in enumerate(rows_in_blocks(batches, lambda r: len(r[1] or ""), BLOCK_BYTES)):
-            block, numbers = base | number, defaultdict(count().__next__)
-            pieces = []
-            for _, text, _ in rows:
-                tokens = utf8(text).lower().split()
-                tokens.append(_END)
-                pieces.append(np.fromiter(map(numbers.__getitem__, tokens), np.int64, len(tokens)))
-            lens = np.array([len(p) for p in pieces], np.int64)
-            held = np.array([r[2] for r in rows], bool)
-            hashes = np.fromiter((xxhash.xxh3_64_intdigest(w) for w in numbers), np.uint64, len(numbers))
-            order = np.argsort(hashes)
-            rank = np.empty(len(order), np.int64)
-            rank[order] = np.arange(len(order))
-            words, seq = hashes[order], rank[np.concatenate(pieces)]
-            train = np.repeat(~held, lens)
-            counts = np.bincount(seq[train], minlength=len(words))
-            before = words[np.roll(seq, 1)]
-            before[np.cumsum(lens) - lens] = np.uint64(xxhash.xxh3_64_intdigest(_END))
-            grams, times = np.unique(bigram_keys(before[train], words[seq[train]]), return_counts=True)
-            seen = counts > 0
-            keys = np.concatenate([unigram_keys(words[seen]), grams])
-            times = np.concatenate([counts[seen], times])
-            by = np.argsort(keys, kind="stable")
-            keys, times = keys[by], times[by]
-            out = [("docs", block, -1, [r[0] for r in rows], np.packbits(held).tobytes(), pack(lens), pack(seq.astype(np.uint32)), pack_sorted(words), None)]
-            for kind, k, c, bits in (("vocab", words, counts, 64), ("grams", keys, times, _KEY_BITS)):
-                cuts = _cuts(k, bits, ranges)
-                out += [
-                    (kind, block, i, None, None, None, None, pack_sorted(k[a:b]), pack(c[a:b].astype(np.uint64)))
-                    for i, (a, b) in enumerate(zip(cuts, cuts[1:])) if a < b
-                ]
-            for start in range(0, len(out), 256):
-                yield pa.record_batch([pa.array(column, t) for column, t in zip(zip(*out[start : start + 256]), schema.types)], schema=schema)
-
-    return encode
+def _encode(batches):
+    """Documents to blocks: word numbers in text order, by ascending hash of the block's distinct words."""
+    from pyspark import TaskContext
+
+    base = TaskContext.get().partitionId() << 32
+    for number, rows in enumerate(rows_in_blocks(batches, lambda r: len(r[1] or ""), BLOCK_BYTES)):
+        numbers, pieces = defaultdict(count().__next__), []
+        for _, text, _ in rows:
+            tokens = utf8(text).lower().split()
+            tokens.append(_END)
+            pieces.append(np.fromiter(map(numbers.__getitem__, tokens), np.int64, len(tokens)))
+        hashes = np.fromiter((xxhash.xxh3_64_intdigest(w) for w in numbers), np.uint64, len(numbers))
+        order = np.argsort(hashes)
+        rank = np.empty(len(order), np.uint32)
+        rank[order] = np.arange(len(order))
+        yield pa.RecordBatch.from_pydict({
+            "block": pa.array([base | number], pa.int64()),
+            "ids": pa.array([[r[0] for r in rows]], pa.list_(pa.int64())),
+            "held": [np.packbits(np.array([r[2] for r in rows], bool)).tobytes()],
+            "lens": [pack(np.array([len(p) for p in pieces], np.int64))],
+            "seq": [pack(rank[np.concatenate(pieces)])],
+            "words": [pack_sorted(hashes[order])],
+        })
+
+
+class _Block:
+    """The arrays of a block row."""
+
+    def __init__(self, held: bytes, lens: bytes, seq: bytes, words: bytes):
+        self.lens, self.words = unpack(lens, np.int64), unpack_sorted(words)
+        self.seq = unpack(seq, np.uint32).astype(np.int64)
+        self.held = np.unpackbits(np.frombuffer(held, np.uint8))[: len(self.lens)].astype(bool)
+        self.starts = np.cumsum(self.lens) - self.lens
+
+    def before(self, values: np.ndarray, first) -> np.ndarray:
+        """For each token, the value of the word before it; ``first`` for the first of a text."""
+        out = values[np.roll(self.seq, 1)]
+        out[self.starts] = first
+        return out
+
+    def word_counts(self) -> tuple[np.ndarray, np.ndarray]:
+        train = np.repeat(~self.held, self.lens)
+        return self.words, np.bincount(self.seq[train], minlength=len(self.words))
+
+    def gram_counts(self) -> tuple[np.ndarray, np.ndarray]:
+        train = np.repeat(~self.held, self.lens)
+        history = self.before(self.words, np.uint64(xxhash.xxh3_64_intdigest(_END)))
+        grams, times = np.unique(bigram_keys(history[train], self.words[self.seq[train]]), return_counts=True)
+        _, counts = self.word_counts()
+        seen = counts > 0
+        keys, times = np.concatenate([unigram_keys(self.words[seen]), grams]), np.concatenate([counts[seen], times])
+        by = np.argsort(keys, kind="stable")
+        return keys[by], times[by]
+
+
+def _counted(what: str, key_bits: int, ranges: int):
+    """Blocks to (block, range, keys, counts): one row for each hash range that the block has keys of."""
+
+    def counted(batches):
+        for batch in batches:
+            columns = [batch.column(i).to_pylist() for i in range(batch.num_columns)]
+            for block, held, lens, seq, words in zip(*columns):
+                keys, counts = getattr(_Block(held, lens, seq, words), what)()
+                cuts = _cuts(keys, key_bits, ranges)
+                parts = [(i, slice(a, b)) for i, (a, b) in enumerate(zip(cuts, cuts[1:])) if a < b]
+                for start in range(0, len(parts), 256):
+                    some = parts[start : start + 256]
+                    yield pa.RecordBatch.from_pydict({
+                        "block": pa.array([block] * len(some), pa.int64()),
+                        "range": pa.array([i for i, _ in some], pa.int32()),
+                        "keys": [pack_sorted(keys[at]) for _, at in some],
+                        "counts": [pack(counts[at].astype(np.uint64)) for _, at in some],
+                    })
+
+    return counted
 
 
 def _merged(part: pa.Table) -> tuple[list[np.ndarray], np.ndarray, np.ndarray, np.ndarray]:
@@ -215,18 +245,15 @@ def _score(shared, bits: int, ranges: int, tokens: int, distinct: int, estimated
         end = np.array([xxhash.xxh3_64_intdigest(_END)], np.uint64)
         end_count = estimate(probe_levels(table, unigram_keys(end), bits, ranges))[0]
         for batch in batches:
-            for ids, held, lens, seq, keys, answers in zip(*(c.to_pylist() for c in batch.columns)):
-                lens, words = unpack(lens, np.int64), unpack_sorted(keys)
-                seq = unpack(seq, np.uint32).astype(np.int64)
+            for ids, held, lens, seq, words, answers in zip(*(c.to_pylist() for c in batch.columns)):
+                own = _Block(held, lens, seq, words)
+                lens, words, seq, starts = own.lens, own.words, own.seq, own.starts
                 counts = np.concatenate([unpack(a["counts"], np.uint64) for a in sorted(answers, key=lambda a: a["range"])]).astype(np.int64)
-                starts = np.cumsum(lens) - lens
                 base = np.add.reduceat(np.log10((counts + ALPHA) / floor)[seq], starts)
                 known = np.add.reduceat((counts > 0)[seq].astype(np.int64), starts)
                 one = estimate(probe_levels(table, unigram_keys(words), bits, ranges))
                 single = ((one + ALPHA) / spread)[seq]
-                back = np.roll(seq, 1)
-                history, history_count = words[back], one[back]
-                history[starts], history_count[starts] = end[0], end_count
+                history, history_count = own.before(words, end[0]), own.before(one, end_count)
                 grams, place = np.unique(bigram_keys(history, words[seq]), return_inverse=True)
                 two = estimate(probe_levels(table, grams, bits, ranges))[place]
                 two = np.minimum(two, np.minimum(history_count, one[seq]))  # no pair is more frequent than its words
@@ -237,7 +264,7 @@ def _score(shared, bits: int, ranges: int, tokens: int, distinct: int, estimated
                 a, b = np.add.reduceat(np.log10(single), at), np.add.reduceat(np.log10(double), at)
                 both = np.logaddexp2((a / np.log10(2)) + np.log2(1 - BIGRAM_SHARE), (b / np.log10(2)) + np.log2(BIGRAM_SHARE)) * np.log10(2)
                 yield pa.record_batch([
-                    pa.array(ids, pa.int64()), pa.array(np.unpackbits(np.frombuffer(held, np.uint8))[: len(lens)].astype(bool)),
+                    pa.array(ids, pa.int64()), pa.array(own.held),
                     pa.array(lens), pa.array(known), pa.array(np.full(len(lens), tokens, np.int64)), pa.array(base),
                     pa.array(np.add.reduceat(both, np.searchsorted(doc, np.arange(len(lens))))),
                 ], schema=schema)
@@ -256,27 +283,26 @@ def score(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Da
     total = source.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     ranges = power_of_two(max(2, total / RANGE_BYTES))
     folder = scratch_dir(spark, "lm")
-    source.mapInArrow(_encode(ranges), _BLOCKS).write.partitionBy("kind").parquet(f"{folder}/blocks")
-    if total == 0 and source.isEmpty():
+    if source.isEmpty():
         return spark.createDataFrame([], _SCORES)
+    source.mapInArrow(_encode, _BLOCKS).write.parquet(f"{folder}/blocks")
     blocks = spark.read.schema(_BLOCKS).parquet(f"{folder}/blocks")
-    part = blocks.filter("kind = 'vocab'").select("block", "range", "keys", "counts")
-    part.groupBy("range").applyInArrow(
+    packed = blocks.select("block", "held", "lens", "seq", "words")
+    packed.mapInArrow(_counted("word_counts", 64, ranges), _COUNTED).groupBy("range").applyInArrow(
         _count_words, "block long, range int, counts binary, tokens long, distinct long, estimated double"
     ).write.parquet(f"{folder}/answers")
     answers = spark.read.parquet(f"{folder}/answers")
     tokens, distinct, estimated = answers.agg(F.sum("tokens"), F.sum("distinct"), F.sum("estimated")).first()
     bits = max(64 * ranges, min(MAX_BITS, power_of_two(BITS_PER_TOKEN * max(tokens, 1))))
     slices = (
-        blocks.filter("kind = 'grams'").select("block", "range", "keys", "counts")
+        packed.mapInArrow(_counted("gram_counts", _KEY_BITS, ranges), _COUNTED)
         .groupBy("range").applyInArrow(_build(bits, ranges), "range int, bits binary")
     )
-    filled = {row[0]: bytes(row[1]) for row in slices.toLocalIterator()}
+    filled = {row[0]: bytes(row[1]) for row in slices.collect()}
     empty = bytes(bits // ranges // 8)
     shared = spark.sparkContext.broadcast(b"".join(filled.get(i, empty) for i in range(ranges)))
     known = answers.groupBy("block").agg(F.collect_list(F.struct("range", "counts")).alias("answers"))
     return (
-        blocks.filter("kind = 'docs'").select("block", "ids", "held", "lens", "seq", "keys")
-        .join(known, "block").select("ids", "held", "lens", "seq", "keys", "answers")
+        blocks.join(known, "block").select("ids", "held", "lens", "seq", "words", "answers")
         .mapInArrow(_score(shared, bits, ranges, tokens, distinct, estimated), _SCORES)
     )

@@ -6,15 +6,26 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from docfacts.llm import lm_score
+from docfacts.llm import lm_score, mixing, secret_ledger
 from docfacts.llm.common import table
+from docfacts.session import scratch_dir
 
 
 def op3_lm_score(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lm_score.score(table(spark, sf_dir, "documents"))
 
 
+def op6_secret_ledger(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return secret_ledger.report(table(spark, sf_dir, "documents"), scratch_dir(spark, "ledger"))
+
+
+def op8_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixing.report(table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_lm_score": op3_lm_score,
+    "op6_secret_ledger": op6_secret_ledger,
+    "op8_mixing": op8_mixing,
 }
 ORACLES: dict[str, str] = {}

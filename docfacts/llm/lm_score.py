@@ -42,8 +42,8 @@ from docfacts.session import scratch_dir
 
 LOG_BASE = 1.5
 BITS_PER_TOKEN = 8
-BITS_PER_ENTRY = 5
-MAX_BITS = 2**30
+BITS_PER_ENTRY = 4
+MAX_BITS = 2**29
 PROBES = 3
 BLOCK_BYTES = 6_000_000
 RANGE_BYTES = 16_000_000
@@ -298,9 +298,11 @@ def score(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Da
         packed.mapInArrow(_counted("gram_counts", _KEY_BITS, ranges), _COUNTED)
         .groupBy("range").applyInArrow(_build(bits, ranges), "range int, bits binary")
     )
-    filled = {row[0]: bytes(row[1]) for row in slices.collect()}
-    empty = bytes(bits // ranges // 8)
-    shared = spark.sparkContext.broadcast(b"".join(filled.get(i, empty) for i in range(ranges)))
+    slices.write.parquet(f"{folder}/slices")
+    whole, own = bytearray(bits // 8), bits // 8 // ranges
+    for i, part in spark.read.parquet(f"{folder}/slices").toLocalIterator():  # a few slices at a time
+        whole[i * own : (i + 1) * own] = part
+    shared = spark.sparkContext.broadcast(whole)
     known = answers.groupBy("block").agg(F.collect_list(F.struct("range", "counts")).alias("answers"))
     return (
         blocks.join(known, "block").select("ids", "held", "lens", "seq", "words", "answers")

@@ -6,11 +6,15 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from docfacts.llm import lm_score, mixing, secret_ledger
+from docfacts.llm import lm_score, mixing, near_dedup, secret_ledger
 from docfacts.llm.common import table
 from docfacts.session import scratch_dir
 
 
+def op1_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_dedup.classes(table(spark, sf_dir, "documents"))
+
+
 def op3_lm_score(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lm_score.score(table(spark, sf_dir, "documents"))
 
@@ -24,6 +28,7 @@ def op8_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_near_dedup": op1_near_dedup,
     "op3_lm_score": op3_lm_score,
     "op6_secret_ledger": op6_secret_ledger,
     "op8_mixing": op8_mixing,

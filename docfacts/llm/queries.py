@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from docfacts.llm import lm_score, mixing, near_dedup, secret_ledger
+from docfacts.llm import language_id, lm_score, mixing, near_dedup, quality_bands, secret_ledger
 from docfacts.llm.common import table
 from docfacts.session import scratch_dir
 
@@ -19,6 +19,10 @@ def op3_lm_score(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lm_score.score(table(spark, sf_dir, "documents"))
 
 
+def op5_quality_bands(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality_bands.measure(table(spark, sf_dir, "documents"))
+
+
 def op6_secret_ledger(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secret_ledger.report(table(spark, sf_dir, "documents"), scratch_dir(spark, "ledger"))
 
@@ -27,10 +31,17 @@ def op8_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.report(table(spark, sf_dir, "documents"))
 
 
+def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = language_id.identify(table(spark, sf_dir, "documents"))
+    return found.select("doc_id", "held_out", "lang_pred", "score", "rejected")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_near_dedup": op1_near_dedup,
     "op3_lm_score": op3_lm_score,
+    "op5_quality_bands": op5_quality_bands,
     "op6_secret_ledger": op6_secret_ledger,
     "op8_mixing": op8_mixing,
+    "op10_language_id": op10_language_id,
 }
 ORACLES: dict[str, str] = {}

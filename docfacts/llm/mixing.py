@@ -172,7 +172,7 @@ class Mix:
         first = F.sum("blocks").over(by_chunk) - F.col("blocks")
         own = chunks.withColumn("first", first).filter("blocks > 0").select("rank", "chunk", "first", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("local"))
         own = own.select("rank", "chunk", "local", (F.col("first") + F.col("local")).alias("block"))
-        return own.join(taken, ["rank", "block"]).select("rank", "chunk", "local", "times")
+        return own.hint("merge").join(taken, ["rank", "block"]).select("rank", "chunk", "local", "times")
 
 
 def _laid_out(rows: pd.DataFrame, times: pd.DataFrame) -> tuple[pd.DataFrame, np.ndarray, np.ndarray]:

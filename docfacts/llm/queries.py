@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from docfacts.llm import language_id, lm_score, mixing, near_dedup, quality_bands, secret_ledger
+from docfacts.llm import language_id, lm_score, mixing, near_dedup, quality_bands, secret_ledger, wavelet
 from docfacts.llm.common import table
 from docfacts.session import scratch_dir
 
@@ -19,6 +19,19 @@ def op3_lm_score(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lm_score.score(table(spark, sf_dir, "documents"))
 
 
+def tokenizer_path() -> str:
+    """The vocabulary file of the queries; the operators take any path."""
+    import public_tokenizers
+
+    return public_tokenizers.path("byte_bpe_50k.json")
+
+
+def op4_wavelet(spark: SparkSession, sf_dir: str) -> DataFrame:
+    folder = scratch_dir(spark, "tokens")
+    wavelet.write(table(spark, sf_dir, "documents"), folder, tokenizer_path())
+    return wavelet.read(spark, folder)
+
+
 def op5_quality_bands(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_bands.measure(table(spark, sf_dir, "documents"))
 
@@ -39,6 +52,7 @@ def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_near_dedup": op1_near_dedup,
     "op3_lm_score": op3_lm_score,
+    "op4_wavelet": op4_wavelet,
     "op5_quality_bands": op5_quality_bands,
     "op6_secret_ledger": op6_secret_ledger,
     "op8_mixing": op8_mixing,

@@ -6,7 +6,9 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from docfacts.llm import language_id, lm_score, mixing, near_dedup, quality_bands, secret_ledger, wavelet
+from docfacts.llm import (
+    decontaminate, language_id, lm_score, mixing, near_dedup, quality_bands, secret_ledger, wavelet,
+)
 from docfacts.llm.common import table
 from docfacts.session import scratch_dir
 
@@ -15,6 +17,12 @@ def op1_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_dedup.classes(table(spark, sf_dir, "documents"))
 
 
+def op2_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The documents that hold a benchmark item, with the items; clean ones have no row."""
+    found = decontaminate.findings(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    return found.drop("mark")
+
+
 def op3_lm_score(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lm_score.score(table(spark, sf_dir, "documents"))
 
@@ -51,6 +59,7 @@ def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_near_dedup": op1_near_dedup,
+    "op2_decontaminate": op2_decontaminate,
     "op3_lm_score": op3_lm_score,
     "op4_wavelet": op4_wavelet,
     "op5_quality_bands": op5_quality_bands,

@@ -45,8 +45,8 @@ BITS_PER_TOKEN = 8
 BITS_PER_ENTRY = 4
 MAX_BITS = 2**29
 PROBES = 3
-BLOCK_BYTES = 6_000_000
-RANGE_BYTES = 16_000_000
+BLOCK_BYTES = 4_000_000
+RANGE_BYTES = 8_000_000
 RUN = 16
 BIGRAM_SHARE = 0.1
 PRIOR = 1.0

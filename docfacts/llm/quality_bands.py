@@ -36,36 +36,6 @@ BANDS = (
     (0, 0.0, 9.0), (64, 0.20, 1.25), (256, 0.15, 0.95), (1024, 0.14, 0.80), (4096, 0.13, 0.72), (16384, 0.12, 0.68),
 )
 CHUNK_BAND = (0.12, 0.80)
-BAD_SHARE`` of its full chunks leave the chunk band.
-
-The bands are parameters, set from what the formats imply and not from a corpus: below a
-seventh of its size a text repeats itself, and base64 or other random characters take
-three quarters and more; short texts get room at both ends.
-
-Base figures of a text: characters in words, symbols, duplicate lines, words in repeated
-8-word windows, and the two rules on them. Nulls: a null text has no words and fails the
-word count; null ids are kept. Empty table: no rows. Repeated rows each get a row.
-"""
-
-from __future__ import annotations
-
-import re
-from collections import defaultdict
-from itertools import count
-
-import numpy as np
-import pyarrow as pa
-import zstandard
-from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
-
-from docfacts.llm.common import mix, utf8
-
-LEVEL = 3
-CHUNK = 4096
-#: From so many bytes on: least and most compressed bytes for each byte.
-BANDS = ((0, 0.0, 9.0), (64, 0.10, 1.35), (256, 0.08, 1.05), (1024, 0.06, 0.85), (4096, 0.05, 0.75), (16384, 0.04, 0.70))
-CHUNK_BAND = (0.06, 0.80)
 BAD_SHARE = 0.5
 WINDOW = 8
 LEAST_WORDS = 20

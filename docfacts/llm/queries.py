@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from docfacts.llm import (
-    decontaminate, language_id, lm_score, mixing, near_dedup, quality_bands, secret_ledger, wavelet,
+    decontaminate, html_text, language_id, lm_score, mixing, near_dedup, quality_bands, secret_ledger, wavelet,
 )
 from docfacts.llm.common import table
 from docfacts.session import scratch_dir
@@ -48,6 +48,10 @@ def op6_secret_ledger(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secret_ledger.report(table(spark, sf_dir, "documents"), scratch_dir(spark, "ledger"))
 
 
+def op7_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html_text.extract(table(spark, sf_dir, "pages"))
+
+
 def op8_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.report(table(spark, sf_dir, "documents"))
 
@@ -64,6 +68,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op4_wavelet": op4_wavelet,
     "op5_quality_bands": op5_quality_bands,
     "op6_secret_ledger": op6_secret_ledger,
+    "op7_html_text": op7_html_text,
     "op8_mixing": op8_mixing,
     "op10_language_id": op10_language_id,
 }

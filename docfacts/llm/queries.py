@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from docfacts.llm import (
-    decontaminate, html_text, language_id, lm_score, mixing, near_dedup, quality_bands, secret_ledger, wavelet,
+    decontaminate, html_text, language_id, line_dedup, lm_score, mixing, near_dedup, quality_bands, secret_ledger, wavelet,
 )
 from docfacts.llm.common import table
 from docfacts.session import scratch_dir
@@ -56,6 +56,10 @@ def op8_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.report(table(spark, sf_dir, "documents"))
 
 
+def op9_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return line_dedup.deduplicate(table(spark, sf_dir, "documents"))
+
+
 def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = language_id.identify(table(spark, sf_dir, "documents"))
     return found.select("doc_id", "held_out", "lang_pred", "score", "rejected")
@@ -70,6 +74,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op6_secret_ledger": op6_secret_ledger,
     "op7_html_text": op7_html_text,
     "op8_mixing": op8_mixing,
+    "op9_line_dedup": op9_line_dedup,
     "op10_language_id": op10_language_id,
 }
 ORACLES: dict[str, str] = {}

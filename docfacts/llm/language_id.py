@@ -149,7 +149,7 @@ def fit(docs: DataFrame, labels: Column, id_col: str = "doc_id", text_col: str =
         return Model([], np.zeros((BUCKETS, 0)), np.zeros(0), 1.0, 0.0)
     within = F.lit(False)
     for language, n in sizes.items():
-        top = int((2 * min(1.0, ROWS_PER_LANGUAGE / n) - 1) * (2**63 - 1))
+        top = min(2**63 - 1, int((2 * min(1.0, ROWS_PER_LANGUAGE / n) - 1) * 2**63))
         within = within | ((F.col("label") == language) & (F.col("draw") <= top))
     rows = named.filter(within).select("text", "label", "draw")
     rows = rows.mapInArrow(_features, "buckets array<long>, counts array<long>, label string, draw long").collect()
@@ -158,36 +158,46 @@ def fit(docs: DataFrame, labels: Column, id_col: str = "doc_id", text_col: str =
     return train([(np.array(b), np.array(c), number[label]) for b, c, label, _ in rows if len(b)], languages)
 
 
-def _predict(shared):
-    def predict(batches):
-        model = shared.value
-        k = len(model.languages)
-        table = np.column_stack([model.table, np.ones(BUCKETS)])
+def predict(model: Model, texts: list[str | None]) -> tuple[list[str], np.ndarray, np.ndarray]:
+    """For each text its language, score, and whether the prediction is rejected."""
+    k = len(model.languages)
+    numbers, pieces = defaultdict(count().__next__), []
+    for text in texts:
+        words = letters(text)
+        pieces.append(np.fromiter(map(numbers.__getitem__, words), np.int64, len(words)))
+    owner, bucket = subwords(list(numbers))
+    # the last column counts subwords
+    per_word = np.column_stack([
+        np.bincount(owner, model.table[bucket, j] if j < k else None, len(numbers)) for j in range(k + 1)
+    ])
+    lens = np.array([len(p) for p in pieces], np.int64)
+    doc, seq = np.repeat(np.arange(len(texts)), lens), np.concatenate([*pieces, np.zeros(0, np.int64)])
+    sums = np.column_stack([np.bincount(doc, per_word[seq, j], len(texts)) for j in range(k + 1)])
+    if not k:
+        return [UNKNOWN] * len(texts), np.zeros(len(texts)), np.ones(len(texts), bool)
+    p = model.scores(sums[:, :k], sums[:, k])
+    best = p.argmax(axis=1)
+    score = np.where(lens > 0, p[np.arange(len(texts)), best], 0.0)
+    return [model.languages[b] if n else UNKNOWN for b, n in zip(best, lens)], score, (lens == 0) | (score < model.needed)
+
+
+def _identify(shared):
+    def identify(batches):
         for rows in rows_in_blocks(batches, lambda r: len(r[1] or ""), _BLOCK_CHARS):
-            numbers, pieces = defaultdict(count().__next__), []
-            for row in rows:
-                words = letters(row[1])
-                pieces.append(np.fromiter(map(numbers.__getitem__, words), np.int64, len(words)))
-            owner, bucket = subwords(list(numbers))
-            per_word = np.column_stack([np.bincount(owner, table[bucket, j], len(numbers)) for j in range(k + 1)])
-            lens = np.array([len(p) for p in pieces])
-            doc = np.repeat(np.arange(len(rows)), lens)
-            seq = np.concatenate(pieces)
-            sums = np.column_stack([np.bincount(doc, per_word[seq, j], len(rows)) for j in range(k + 1)])
-            found = lens > 0 if k else np.zeros(len(rows), bool)
-            p = model.scores(sums[:, :k], sums[:, k]) if k else np.zeros((len(rows), 1))
-            best = p.argmax(axis=1)
-            score = np.where(found, p[np.arange(len(rows)), best], 0.0)
+            language, score, rejected = predict(shared.value, [r[1] for r in rows])
             yield pa.RecordBatch.from_pydict({
-                "doc_id": pa.array([r[0] for r in rows], pa.int64()),
-                "held_out": pa.array([r[2] for r in rows], pa.bool_()),
-                "lang_pred": [model.languages[b] if f else UNKNOWN for b, f in zip(best, found)],
-                "score": score,
-                "rejected": ~found | (score < model.needed),
-                "mark": pa.array([r[3] for r in rows], pa.int64()),
+                "doc_id": pa.array([r[0] for r in rows], pa.int64()), "held_out": pa.array([r[2] for r in rows], pa.bool_()),
+                "lang_pred": language, "score": score, "rejected": rejected,
             })
 
-    return predict
+    return identify
+
+
+def _learnt(docs: DataFrame, id_col: str, text_col: str, lang_col: str) -> tuple[Column, object]:
+    """Which rows are held out, and the model of the others for the tasks."""
+    held = F.coalesce(F.crc32(F.col(id_col).cast("string")) % 3 == 1, F.lit(False))
+    learn = F.when(~held & F.col(id_col).isNotNull(), F.col(lang_col))
+    return held, docs.sparkSession.sparkContext.broadcast(fit(docs, learn, id_col, text_col))
 
 
 def identify(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang") -> DataFrame:
@@ -195,15 +205,25 @@ def identify(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", la
 
     Learns only from labelled documents whose crc32 of the id leaves 0 or 2 on division by 3.
     """
-    held = F.coalesce(F.crc32(F.col(id_col).cast("string")) % 3 == 1, F.lit(False))
-    learn = F.when(~held & F.col(id_col).isNotNull(), F.col(lang_col))
-    shared = docs.sparkSession.sparkContext.broadcast(fit(docs, learn, id_col, text_col))
-    rows = docs.select(F.col(id_col).cast("long"), F.col(text_col), held, F.xxhash64(F.coalesce(F.col(text_col), F.lit(""))))
-    return rows.mapInArrow(_predict(shared), "doc_id long, held_out boolean, lang_pred string, score double, rejected boolean, mark long")
+    held, shared = _learnt(docs, id_col, text_col, lang_col)
+    rows = docs.select(F.col(id_col).cast("long"), F.col(text_col), held)
+    return rows.mapInArrow(_identify(shared), "doc_id long, held_out boolean, lang_pred string, score double, rejected boolean")
 
 
 def accepted(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang") -> DataFrame:
-    """``docs`` without the rows whose language is rejected; no text moves for it."""
-    found = identify(docs, id_col, text_col, lang_col).filter("rejected").select("doc_id", "mark").distinct()
-    mark = F.xxhash64(F.coalesce(docs[text_col], F.lit("")))
-    return docs.join(found, docs[id_col].cast("long").eqNullSafe(found["doc_id"]) & (mark == found["mark"]), "left_anti")
+    """``docs`` without the rows whose language is rejected."""
+    _, shared = _learnt(docs, id_col, text_col, lang_col)
+    at = docs.columns.index(text_col)
+
+    def accept(batches):
+        for batch in batches:
+            texts, start, out = batch.column(at).to_pylist(), 0, []
+            while start < len(texts):
+                stop, chars = start, 0
+                while stop < len(texts) and (stop == start or chars + len(texts[stop] or "") <= _BLOCK_CHARS):
+                    chars, stop = chars + len(texts[stop] or ""), stop + 1
+                out.append(predict(shared.value, texts[start:stop])[2])
+                start = stop
+            yield batch.filter(pa.array(~np.concatenate(out))) if out else batch
+
+    return docs.mapInArrow(accept, docs.schema)

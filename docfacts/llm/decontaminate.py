@@ -143,20 +143,48 @@ def find(items: Items, texts: list[bytes]) -> Iterator[tuple[int, int, int, int,
         yield t, i, *found
 
 
+def _in(items: Items, raw: list[str | None]) -> Iterator[tuple[int, int, int, int, int]]:
+    """(text number, item id, edits, start, end) of all items found in the texts."""
+    texts = [normalised(text) for text in raw]
+    for t, i, *place in find(items, texts):
+        yield t, items.ids[i], *place
+    for t, text in enumerate(texts):
+        for i in items.whole.get(text, ()):
+            yield t, i, 0, 0, len(text)
+
+
 def _search(shared):
     def search(batches):
         items = Items(shared.value)
         for rows in rows_in_blocks(batches, lambda r: len(r[1] or ""), _TEXT_CHARS):
-            texts = [normalised(r[1]) for r in rows]
-            out = [(rows[t][0], items.ids[i], *rest, rows[t][2]) for t, i, *rest in find(items, texts)]
-            out += [(r[0], i, 0, 0, len(t), r[2]) for r, t in zip(rows, texts) for i in items.whole.get(t, ())]
-            names = (("doc_id", pa.int64()), ("item_id", pa.int64()), ("edits", pa.int32()), ("start", pa.int64()), ("end", pa.int64()), ("mark", pa.int64()))
-            columns = list(zip(*out)) or [()] * len(names)
-            yield pa.record_batch([pa.array(c, t) for c, (_, t) in zip(columns, names)], schema=pa.schema(names))
+            found = [(rows[t][0], *rest) for t, *rest in _in(items, [r[1] for r in rows])]
+            columns = list(zip(*found)) or [()] * 5
+            yield pa.RecordBatch.from_pydict({
+                "doc_id": pa.array(columns[0], pa.int64()), "item_id": pa.array(columns[1], pa.int64()),
+                "edits": pa.array(columns[2], pa.int32()), "start": pa.array(columns[3], pa.int64()), "end": pa.array(columns[4], pa.int64()),
+            })
 
     return search
 
 
+def _drop(shared, at: int):
+    def drop(batches):
+        items = Items(shared.value)
+        for batch in batches:
+            texts, start = batch.column(at).to_pylist(), 0
+            keep = np.ones(len(texts), bool)
+            while start < len(texts):
+                stop, chars = start, 0
+                while stop < len(texts) and (stop == start or chars + len(texts[stop] or "") <= _TEXT_CHARS):
+                    chars, stop = chars + len(texts[stop] or ""), stop + 1
+                for t, *_ in _in(items, texts[start:stop]):
+                    keep[start + t] = False
+                start = stop
+            yield batch.filter(pa.array(keep))
+
+    return drop
+
+
 def _blocks(benchmark: DataFrame, id_col: str, text_col: str) -> Iterator[list[tuple[int, str]]]:
     block, chars = [], 0
     for row in benchmark.select(F.col(id_col).cast("long"), text_col).toLocalIterator():
@@ -175,21 +203,21 @@ def findings(
     docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     item_id_col: str = "item_id", item_text_col: str = "text",
 ) -> DataFrame:
-    """(doc_id, item_id, edits, start, end, mark): items found in ``docs``, places in the normalised text's bytes.
-
-    The mark is a hash of the document's text.
-    """
+    """(doc_id, item_id, edits, start, end): items found in ``docs``, places in the normalised text's bytes."""
     spark = docs.sparkSession
-    rows = docs.select(F.col(id_col).cast("long"), F.col(text_col), F.xxhash64(F.coalesce(F.col(text_col), F.lit(""))))
-    found = spark.createDataFrame([], f"{_FOUND}, mark long")
+    rows = docs.select(F.col(id_col).cast("long"), F.col(text_col))
+    found = spark.createDataFrame([], _FOUND)
     for number, block in enumerate(_blocks(benchmark, item_id_col, item_text_col)):
-        part = rows.mapInArrow(_search(spark.sparkContext.broadcast(block)), f"{_FOUND}, mark long")
+        part = rows.mapInArrow(_search(spark.sparkContext.broadcast(block)), _FOUND)
         found = found.unionByName(part) if number else part
     return found
 
 
-def clean(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text", **columns) -> DataFrame:
+def clean(
+    docs: DataFrame, benchmark: DataFrame, text_col: str = "text", item_id_col: str = "item_id", item_text_col: str = "text",
+) -> DataFrame:
     """``docs`` without the rows that hold a benchmark item."""
-    found = findings(docs, benchmark, id_col, text_col, **columns).select("doc_id", "mark").distinct()
-    mark = F.xxhash64(F.coalesce(docs[text_col], F.lit("")))
-    return docs.join(found, docs[id_col].cast("long").eqNullSafe(found["doc_id"]) & (mark == found["mark"]), "left_anti")
+    at = docs.columns.index(text_col)
+    for block in _blocks(benchmark, item_id_col, item_text_col):
+        docs = docs.mapInArrow(_drop(docs.sparkSession.sparkContext.broadcast(block), at), docs.schema)
+    return docs

@@ -19,8 +19,7 @@ def op1_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op2_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The documents that hold a benchmark item, with the items; clean ones have no row."""
-    found = decontaminate.findings(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
-    return found.drop("mark")
+    return decontaminate.findings(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
 def op3_lm_score(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -61,8 +60,7 @@ def op9_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
-    found = language_id.identify(table(spark, sf_dir, "documents"))
-    return found.select("doc_id", "held_out", "lang_pred", "score", "rejected")
+    return language_id.identify(table(spark, sf_dir, "documents"))
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {

@@ -9,9 +9,12 @@ probability Jaccard similarity, which for unweighted shingles is the Jaccard sim
 Texts with the same shingles are one node from the start. ``BANDS`` bands of ``ROWS``
 registers bring nodes together; each bucket then compares its members with one hub, the
 member that shares most buckets, on the exact shingles. Where a bucket's members are still
-in several classes, those of different classes are compared with each other as well, save
-pairs that can't be similar by the triangle inequality of the distance (1 - similarity) to
-the hub. So no pair is left out for the size of a bucket, and copies aren't paired up.
+in several classes, they get a longer signature with ``FINE_BANDS`` bands of ``FINE_ROWS``
+registers, which brings pairs of 0.8 together as surely and others far more rarely; those
+of different classes that meet there are compared too, on that signature where they meet
+and then on the exact shingles. A large bucket is compared in blocks of ``BLOCK_MEMBERS``
+members against each other. So no pair is left out for the size of a bucket, and only
+pairs that are like each other leave it.
 
 Linked: an exact similarity, probability Jaccard or plain Jaccard, of ``SIMILAR`` or more.
 A class is a connected component; its id is its smallest document id.
@@ -40,8 +43,14 @@ SIMILAR = 0.8
 BANDS = 32
 ROWS = 6
 REGISTERS = BANDS * ROWS
-#: A signature estimate below this, four standard deviations, is not followed up.
-LEAST_ESTIMATE = SIMILAR - 4 * (SIMILAR * (1 - SIMILAR) / REGISTERS) ** 0.5
+FINE_BANDS = 180
+FINE_ROWS = 14
+BLOCK_MEMBERS = 512
+#: Four bits are kept of each register of the longer signature; one in sixteen agrees by chance.
+_CHANCE = 1 / 16
+_EXPECTED = SIMILAR + (1 - SIMILAR) * _CHANCE
+#: A share of equal registers below this, four standard deviations, is not followed up.
+LEAST_EQUAL = _EXPECTED - 4 * (_EXPECTED * (1 - _EXPECTED) / (FINE_BANDS * FINE_ROWS)) ** 0.5
 
 _BLOCK_CHARS = 2_000_000
 _HASH_BITS = 44
@@ -71,27 +80,35 @@ def weighted_shingles(texts: list[str | None]) -> tuple[np.ndarray, np.ndarray,
     return (keys >> np.uint64(_HASH_BITS)).astype(np.int64), keys & np.uint64((1 << _HASH_BITS) - 1), weight
 
 
-def signatures(owner: np.ndarray, shingle: np.ndarray, weight: np.ndarray, n: int) -> np.ndarray:
-    """n x REGISTERS shingle hashes: for each register, the shingle that arrives first."""
-    first = np.full(n * REGISTERS, np.inf)
+def signatures(owner: np.ndarray, shingle: np.ndarray, weight: np.ndarray, n: int, registers: int = REGISTERS) -> np.ndarray:
+    """n x registers shingle hashes: for each register, the shingle that arrives first."""
+    first = np.full(n * registers, np.inf)
     events, time, turn = [], np.zeros(len(owner)), 0
     alive = np.arange(len(owner))
     while len(alive):
         draw = mix(shingle[alive] + np.uint64((turn * 0x9E3779B97F4A7C15) & (2**64 - 1)))
         uniform = ((draw >> np.uint64(11)).astype(np.float64) + 0.5) / 2.0**53
         time[alive] -= np.log(uniform) / weight[alive]
-        last = first.reshape(n, REGISTERS).max(axis=1)
+        last = first.reshape(n, registers).max(axis=1)
         alive, kept = (x[time[alive] < last[owner[alive]]] for x in (alive, draw))
-        register = owner[alive] * REGISTERS + (mix(kept + np.uint64(1)) % np.uint64(REGISTERS)).astype(np.int64)
+        register = owner[alive] * registers + (mix(kept + np.uint64(1)) % np.uint64(registers)).astype(np.int64)
         np.minimum.at(first, register, time[alive])
         better = time[alive] <= first[register]
         events.append((register[better], time[alive][better], shingle[alive][better]))
         turn += 1
-    out = np.zeros(n * REGISTERS, np.uint64)
+    out = np.zeros(n * registers, np.uint64)
     for register, at, what in events:
         won = first[register] == at
         out[register[won]] = what[won]
-    return out.reshape(n, REGISTERS)
+    return out.reshape(n, registers)
+
+
+def band_keys(found: np.ndarray, bands: int, rows: int) -> np.ndarray:
+    """n x bands hashes of ``rows`` registers each."""
+    out = np.zeros((len(found), bands), np.uint64) + np.arange(1, bands + 1, dtype=np.uint64)
+    for i in range(rows):
+        out = mix(out * np.uint64(0xC2B2AE3D27D4EB4F) + found[:, i::rows])
+    return out.view(np.int64)
 
 
 def _sign(batches):
@@ -101,17 +118,13 @@ def _sign(batches):
         content = np.zeros(n, np.uint64)
         np.add.at(content, owner, mix(shingle * np.uint64(0x9E3779B97F4A7C15) + weight.astype(np.uint64)))
         found = signatures(owner, shingle, weight, n)
-        bands = np.zeros((n, BANDS), np.uint64) + np.arange(1, BANDS + 1, dtype=np.uint64)
-        for i in range(ROWS):
-            bands = mix(bands * np.uint64(0xC2B2AE3D27D4EB4F) + found[:, i::ROWS])
+        bands = band_keys(found, BANDS, ROWS)
         some = np.bincount(owner, minlength=n) > 0
-        short = (mix(found) & np.uint64(0xFFFF)).astype(np.uint16)
         yield pa.RecordBatch.from_pydict({
             "doc_id": pa.array([r[0] for r in rows], pa.int64()),
             "content": content.view(np.int64),
             "mark": pa.array([r[2] for r in rows], pa.int64()),
-            "bands": pa.array([b if s else [] for b, s in zip(bands.view(np.int64), some)], pa.list_(pa.int64())),
-            "sig": [x.tobytes() for x in short],
+            "bands": pa.array([b if s else [] for b, s in zip(bands, some)], pa.list_(pa.int64())),
         })
 
 
@@ -126,6 +139,21 @@ def _shingled(batches):
         })
 
 
+def _fine(batches):
+    """Packed shingles to the longer signature: its bands, and four bits of each register."""
+    for rows in rows_in_blocks(batches, lambda r: len(r[1]), 200_000):
+        parts = [(unpack_sorted(s), unpack(w, np.uint32)) for _, s, w in rows]
+        owner = np.repeat(np.arange(len(parts)), [len(s) for s, _ in parts])
+        shingle, weight = (np.concatenate([p[i] for p in parts]) for i in range(2))
+        found = signatures(owner, shingle, weight, len(parts), FINE_BANDS * FINE_ROWS)
+        bits = (mix(found) & np.uint64(15)).astype(np.uint8)
+        yield pa.RecordBatch.from_pydict({
+            "content": pa.array([r[0] for r in rows], pa.int64()),
+            "bands": pa.array(list(band_keys(found, FINE_BANDS, FINE_ROWS)), pa.list_(pa.int64())),
+            "sig": [x.tobytes() for x in bits[:, ::2] | bits[:, 1::2] << 4],
+        })
+
+
 def probability_jaccard(a, x, b, y) -> float:
     """Of hashes ``a`` with weights ``x`` and ``b`` with ``y``, both ascending.
 
@@ -163,14 +191,28 @@ def _compare(batches):
         yield pa.RecordBatch.from_pydict({"a": pa.array(left, pa.int64()), "b": pa.array(right, pa.int64()), "similarity": pa.array(exact, pa.float64())})
 
 
-def _promising(batches):
-    for batch in batches:
-        left, right, s, t = (batch.column(i).to_pylist() for i in range(4))
-        if not left:
-            continue
-        one, two = (np.frombuffer(b"".join(x), np.uint16).reshape(-1, REGISTERS) for x in (s, t))
-        good = np.flatnonzero((one == two).mean(axis=1) >= LEAST_ESTIMATE)
-        yield pa.RecordBatch.from_pydict({"a": pa.array([left[i] for i in good], pa.int64()), "b": pa.array([right[i] for i in good], pa.int64())})
+def _alike(part: pa.Table) -> pa.Table:
+    """The pairs of members of different classes whose longer signatures agree enough; see ``_in_blocks``."""
+    content, label, own = (part[c].to_numpy() for c in ("content", "label", "own"))
+    low, high = part["low"][0].as_py(), part["high"][0].as_py()
+    packed = np.frombuffer(b"".join(part["sig"].to_pylist()), np.uint8).reshape(len(content), -1)
+    sig = np.concatenate([packed & 15, packed >> 4], axis=1)
+    out: list[tuple[int, int]] = []
+    for i in np.flatnonzero(own == low):
+        rest = np.flatnonzero((own == high) & (label != label[i]) & ((content > content[i]) | (low != high)))
+        near = rest[(sig[rest] == sig[i]).mean(axis=1) >= LEAST_EQUAL]
+        out += [(min(content[i], c), max(content[i], c)) for c in content[near]]
+    left, right = zip(*out) if out else ((), ())
+    return pa.table({"a": pa.array(left, pa.int64()), "b": pa.array(right, pa.int64())})
+
+
+def _in_blocks(met: DataFrame) -> DataFrame:
+    """(a, b) of (band, n, content, label, sig): a bucket of n members is dealt to pairs of blocks by hash."""
+    blocks = F.ceil(F.col("n") / BLOCK_MEMBERS)
+    met = met.withColumn("own", F.pmod(F.xxhash64("content"), blocks)).withColumn("other", F.explode(F.sequence(F.lit(0), blocks - 1)))
+    met = met.withColumns({"low": F.least("own", "other"), "high": F.greatest("own", "other")})
+    pairs = met.groupBy("band", "low", "high").applyInArrow(_alike, "a long, b long")
+    return pairs.distinct()
 
 
 def _beside(pairs: DataFrame, table: DataFrame, columns: list[str]) -> DataFrame:
@@ -217,8 +259,8 @@ def labelled(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") ->
 
     mark = F.xxhash64(F.coalesce(F.col(text_col), F.lit("")))
     source = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"), mark.alias("mark"))
-    signed = saved(source.mapInArrow(_sign, "doc_id long, content long, mark long, bands array<long>, sig binary"), "signed")
-    nodes = signed.groupBy("content").agg(F.min_by(F.struct("mark", "bands", "sig"), "mark").alias("x")).select("content", "x.*")
+    signed = saved(source.mapInArrow(_sign, "doc_id long, content long, mark long, bands array<long>"), "signed")
+    nodes = signed.groupBy("content").agg(F.min_by(F.struct("mark", "bands"), "mark").alias("x")).select("content", "x.*")
     buckets = nodes.select("content", F.explode("bands").alias("band"))
     several = buckets.groupBy("band").agg(F.count("*").alias("n")).filter("n > 1")
     shared = saved(buckets.join(several, "band"), "shared")
@@ -228,7 +270,7 @@ def labelled(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") ->
     star = saved(spokes.filter("content <> hub").select(F.col("content").alias("a"), F.col("hub").alias("b")).distinct(), "star")
 
     wanted = spokes.select("content").distinct()
-    marked = saved(nodes.select("content", "mark", "sig").join(wanted, "content", "left_semi"), "marked")
+    marked = saved(nodes.select("content", "mark").join(wanted, "content", "left_semi"), "marked")
     texts = source.select("mark", "text").join(marked.select("mark", "content"), "mark").dropDuplicates(["content"])
     shingled = saved(texts.select("content", "text").mapInArrow(_shingled, "content long, shingles binary, weights binary"), "shingled")
 
@@ -239,19 +281,16 @@ def labelled(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") ->
     links = measured.filter(F.col("similarity") >= SIMILAR).select("a", "b")
     labels = components(links, f"{folder}/first")
 
-    near_hub = measured.select(F.col("a").alias("content"), F.col("b").alias("hub"), "similarity")
-    members = (
-        spokes.join(near_hub, ["content", "hub"], "left").join(labels.withColumnRenamed("node", "content"), "content", "left")
-        .select("band", "content", F.coalesce("label", "content").alias("label"), F.coalesce("similarity", F.lit(1.0)).alias("near"))
-    )
-    open_bands = members.groupBy("band").agg(F.min("label").alias("low"), F.max("label").alias("high")).filter("low < high").select("band")
-    open_members = saved(members.join(open_bands, "band", "left_semi"), "open")
-    one, two = open_members.alias("one"), open_members.alias("two")
-    across = one.join(
-        two, (F.col("one.band") == F.col("two.band")) & (F.col("one.label") < F.col("two.label"))
-        & (F.abs(F.col("one.near") - F.col("two.near")) <= 1 - SIMILAR + 1e-9) & (F.least("one.near", "two.near") < 1),
-    ).select(F.col("one.content").alias("a"), F.col("two.content").alias("b")).distinct()
-    promising = saved(_beside(across, marked, ["sig"]).mapInArrow(_promising, "a long, b long"), "promising")
+    labels_of = labels.withColumnRenamed("node", "content")
+    members = spokes.select("band", "content").join(labels_of, "content", "left").select("band", "content", F.coalesce("label", "content").alias("label"))
+    mixed = members.groupBy("band").agg(F.min("label").alias("low"), F.max("label").alias("high")).filter("low < high").select("band")
+    unsettled = members.join(mixed, "band", "left_semi").select("content", "label").distinct()
+    fine = shingled.join(unsettled.select("content"), "content", "left_semi").select("content", "shingles", "weights")
+    fine = saved(fine.mapInArrow(_fine, "content long, bands array<long>, sig binary").join(unsettled, "content"), "fine")
+    buckets = fine.select("content", "label", F.explode("bands").alias("band"))
+    mixed = buckets.groupBy("band").agg(F.min("label").alias("low"), F.max("label").alias("high"), F.count("*").alias("n"))
+    met = saved(buckets.join(mixed.filter("low < high").select("band", "n"), "band"), "met")
+    promising = saved(_in_blocks(met.join(fine.select("content", "sig"), "content")), "promising")
     more = compared(promising).filter(F.col("similarity") >= SIMILAR).select("a", "b")
     labels = components(links.unionByName(more), f"{folder}/second")
 

@@ -34,6 +34,7 @@ BUCKETS = 2**16
 DIMS = 16
 ROWS_PER_LANGUAGE = 400
 EPOCHS = 6
+LEAST_STEPS = 6000
 RATE = 0.5
 FEW = 40
 REJECT_SHARE = 0.001
@@ -105,8 +106,9 @@ def train(samples: list[tuple[np.ndarray, np.ndarray, int]], languages: list[str
     learnt = [s for i, s in enumerate(samples) if i % 5 != 4]
     embedding = rng.uniform(-1, 1, (BUCKETS, DIMS)) / DIMS
     weight, bias = np.zeros((k, DIMS)), np.zeros(k)
-    steps, step = EPOCHS * len(learnt), 0
-    for _ in range(EPOCHS):
+    epochs = max(EPOCHS, -(-LEAST_STEPS // max(1, len(learnt))))
+    steps, step = epochs * len(learnt), 0
+    for _ in range(epochs):
         for i in rng.permutation(len(learnt)):
             buckets, counts, label = learnt[i]
             share = counts / counts.sum()

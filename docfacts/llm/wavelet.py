@@ -9,9 +9,11 @@ shard's own alphabet, with a count of ones at every ``STEP`` bits, under zstanda
 The matrix gives a token by place (``access``), the uses of a token before a place
 (``rank``), its k-th use (``select``), and all tokens (``decode``), each from the planes.
 
-A byte-pair tokenizer of this kind never joins characters across the start of a run of
-white space. So a text is cut there, and each distinct piece is encoded by the tokenizers
-library once for as long as a bounded cache holds it; the ids are those of the whole text.
+A byte-level tokenizer encodes each match of its pattern on its own, and no match goes
+across the start of a run of white space. So a text is cut there, a piece that is new to a
+bounded cache is cut into its matches, and those go to the byte-pair model of the
+tokenizers library; the ids are those of the whole text. Tokenizers of another kind get
+whole texts. The cache stays with the worker process from task to task.
 
 Nulls: a null text is empty (its one token is the end); null ids come last. Rows with one
 id are ordered by a hash of their text. Empty table: no rows.
@@ -19,14 +21,18 @@ id are ordered by a hash of their text. Empty table: no rows.
 
 from __future__ import annotations
 
+import gc
+import json
 import os
 import re
 import zlib
 from collections.abc import Iterator
+from functools import lru_cache
 from itertools import chain
 
 import numpy as np
 import pyarrow as pa
+import regex
 import zstandard
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -37,10 +43,12 @@ END_ID = 2
 SHARD_TOKENS = 2**20
 PARTITION_BYTES = 32_000_000
 STEP = 512
-CACHE_PIECES = 600_000
+CACHE_PIECES = 1_000_000
 
 # Fixed value: the white space of the tokenizer's pattern.
 _SPACE = r"\t-\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
+# Fixed value: the pattern of byte-level tokenizers.
+_MATCH = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+")
 _PIECE = re.compile(f"[{_SPACE}]*[^{_SPACE}]+|[{_SPACE}]+")
 _FILES = (
     "part int, seq int, n_tokens long, doc_ids array<long>, lens array<long>, alphabet array<int>, matrix binary"
@@ -147,6 +155,26 @@ class WaveletMatrix:
         return cls(length, list(raw[16:].reshape(depth, -1)) if depth else [])
 
 
+def _byte_letters() -> dict[int, str]:
+    """The letter that byte-level tokenizers write for each byte: itself if it is printed, else one from 256 on."""
+    printed = {*range(33, 127), *range(161, 173), *range(174, 256)}
+    others = [b for b in range(256) if b not in printed]
+    return {b: chr(b) for b in printed} | {b: chr(256 + i) for i, b in enumerate(others)}
+
+
+class _Numbers(dict):
+    """Numbers new keys in order, and lists those since the last look."""
+
+    def __init__(self):
+        super().__init__()
+        self.fresh: list[str] = []
+
+    def __missing__(self, key: str) -> int:
+        number = self[key] = len(self)
+        self.fresh.append(key)
+        return number
+
+
 class PieceEncoder:
     """Token ids of whole texts by way of their pieces."""
 
@@ -156,38 +184,71 @@ class PieceEncoder:
 
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.encode_special_tokens = True
+        with open(path, encoding="utf-8") as file:
+            told = json.load(file)
+        before = told.get("pre_tokenizer") or {}
+        self.by_pieces = told.get("normalizer") is None and before.get("type") == "ByteLevel" and before.get("use_regex") and not before.get("add_prefix_space")
+        self.letters = _byte_letters()
         self._clear()
 
     def _clear(self) -> None:
-        self.known: dict[str, int] = {}
-        self.flat, self.lens, self.offsets = np.zeros(0, np.uint16), np.zeros(0, np.int64), np.zeros(0, np.int64)
-
-    def _learn(self, pieces: list[str]) -> None:
-        found = [x.ids for x in self.tokenizer.encode_batch_fast(pieces, add_special_tokens=False)]
-        for piece in pieces:
-            self.known[piece] = len(self.known)
+        self.known, self.matches = _Numbers(), {}
+        self.flat, self.lens, self.offsets = np.zeros(0, np.uint32), np.zeros(0, np.int64), np.zeros(0, np.int64)
+
+    def _ids(self, match: str) -> list[int]:
+        ids = self.matches.get(match)
+        if ids is None:
+            if match.isascii() and match[1:].isalpha() and match[0] == " ":
+                spelt = self.letters[32] + match[1:]
+            else:
+                spelt = match.encode("utf-8").decode("latin-1").translate(self.letters)
+            ids = self.matches[match] = [token.id for token in self.tokenizer.model.tokenize(spelt)]
+        return ids
+
+    def _learn(self) -> None:
+        found = []
+        for piece in self.known.fresh:
+            if piece[1:].isalpha() and (piece[0] == " " or piece[0].isalpha()):  # a single match
+                found.append(self._ids(piece))
+            else:
+                found.append(list(chain.from_iterable(map(self._ids, _MATCH.findall(piece)))))
+        self.known.fresh = []
         lens = np.fromiter(map(len, found), np.int64, len(found))
-        flat = np.fromiter(chain.from_iterable(found), np.int64, int(lens.sum())).astype(np.uint32)
+        flat = np.fromiter(chain.from_iterable(found), np.uint32, int(lens.sum()))
         self.offsets = np.concatenate([self.offsets, len(self.flat) + np.cumsum(lens) - lens])
         self.flat, self.lens = np.concatenate([self.flat, flat]), np.concatenate([self.lens, lens])
 
     def encode(self, texts: list[str]) -> list[np.ndarray]:
         """For each text its ids."""
-        pieces = [_PIECE.findall(text) for text in texts]
-        fresh = set().union(*pieces).difference(self.known) if pieces else set()
-        if len(self.known) + len(fresh) > CACHE_PIECES:
+        if not self.by_pieces:
+            return [np.array(x.ids, np.uint32) for x in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
+        if len(self.known) > CACHE_PIECES:
             self._clear()
-            fresh = set().union(*pieces)
-        if fresh:
-            self._learn(list(fresh))
+        collects = gc.isenabled()
+        gc.disable()  # nothing here refers in circles, and looking for it takes a tenth of the time
+        try:
+            return self._encode(texts)
+        finally:
+            if collects:
+                gc.enable()
+
+    def _encode(self, texts: list[str]) -> list[np.ndarray]:
+        pieces = [_PIECE.findall(text) for text in texts]
         sizes = [len(p) for p in pieces]
         at = np.fromiter(map(self.known.__getitem__, chain.from_iterable(pieces)), np.int64, sum(sizes))
+        if self.known.fresh:
+            self._learn()
         lens = self.lens[at]
         ids = self.flat[np.repeat(self.offsets[at], lens) + runs(lens)]
         ends = np.concatenate([[0], np.cumsum(lens)])[np.cumsum([0, *sizes])]
         return [ids[a:b] for a, b in zip(ends, ends[1:])]
 
 
+@lru_cache(maxsize=1)
+def _encoder(path: str) -> PieceEncoder:
+    return PieceEncoder(path)
+
+
 def _shard(part: int, seq: int, docs: list[tuple[int, np.ndarray]]) -> pa.RecordBatch:
     ids = np.concatenate([x for _, x in docs])
     present = np.bincount(ids) > 0
@@ -203,7 +264,7 @@ def _shard(part: int, seq: int, docs: list[tuple[int, np.ndarray]]) -> pa.Record
 
 def _encode(tokenizer: str):
     def encoded(batches) -> Iterator[tuple[int, np.ndarray]]:
-        encoder = PieceEncoder(tokenizer)
+        encoder = _encoder(tokenizer)
         end = np.array([END_ID], np.uint32)
         for batch in batches:
             doc_ids, texts = batch.column(0).to_pylist(), [t or "" for t in batch.column(1).to_pylist()]

@@ -56,7 +56,8 @@ def parsed_block(block: Column) -> Column:
 
 def sole_object(parsed: Column) -> Column:
     """The object of a parsed block; null if the block held anything else beside it."""
-    whole = F.try_variant_get(parsed, "$[1]", "string") == _END
+    third = F.try_variant_get(parsed, "$[2]", "variant")
+    whole = (F.try_variant_get(parsed, "$[1]", "string") == _END) & third.isNull()
     return F.when(whole, F.try_variant_get(parsed, "$[0]", "variant"))
 
 

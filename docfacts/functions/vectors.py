@@ -7,32 +7,18 @@ from collections.abc import Sequence
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-# Up to this many dimensions a distance to a known vector is written out term by
-# term, which stays inside generated code; beyond it the array lambdas are used.
-UNROLL_LIMIT = 256
-
-
-def _add(terms: list[Column]) -> Column:
-    """Sum as a balanced tree, so that the expression stays shallow."""
-    while len(terms) > 1:
-        paired = [a + b for a, b in zip(terms[::2], terms[1::2])]
-        terms = paired + ([terms[-1]] if len(terms) % 2 else [])
-    return terms[0]
-
-
-def _fold(left: Column, right: Column, term) -> Column:
-    return F.aggregate(F.zip_with(left, right, term), F.lit(0.0), lambda total, x: total + x)
-
 
 def _sum_over(vector: Column, query: Sequence[float] | Column, term) -> Column:
-    if isinstance(query, Column):
-        return _fold(vector.cast("array<double>"), query.cast("array<double>"), term)
-    if len(query) > UNROLL_LIMIT:
-        literal = F.array(*[F.lit(float(x)) for x in query])
-        return _fold(vector.cast("array<double>"), literal, term)
-    return _add(
-        [term(vector[i].cast("double"), F.lit(float(x))) for i, x in enumerate(query)]
-    )
+    """The terms of two vectors added in order, at any length. A null vector gives null; another
+    length is an error, never a distance."""
+    if not isinstance(query, Column):
+        query = F.array(*[F.lit(float(x)) for x in query])
+    left, right = vector.cast("array<double>"), query.cast("array<double>")
+    total = F.aggregate(F.zip_with(left, right, term), F.lit(0.0), lambda total, x: total + x)
+    wrong = F.raise_error(F.concat(
+        F.lit("vector of "), F.size(left).cast("string"), F.lit(" dimensions, expected "), F.size(right).cast("string")
+    ))
+    return F.when(F.size(left) == F.size(right), total).when(left.isNotNull() & right.isNotNull(), wrong)
 
 
 def squared_l2(vector: Column, query: Sequence[float] | Column) -> Column:
@@ -44,18 +30,13 @@ def dot(vector: Column, query: Sequence[float] | Column) -> Column:
 
 
 def cosine_distance(vector: Column, query: Sequence[float] | Column) -> Column:
-    """``1 - cosine``; a zero vector is at distance 1 from everything."""
-    if isinstance(query, Column):
-        query_norm = F.sqrt(dot(query, query))
-        own_norm = F.sqrt(dot(vector, vector))
-    else:
-        query_norm = F.lit(sum(float(x) ** 2 for x in query) ** 0.5)
-        own_norm = F.sqrt(
-            _sum_over(vector, query, lambda a, _: a * a)
-        )
-    return F.lit(1.0) - F.coalesce(
-        F.try_divide(dot(vector, query), own_norm * query_norm), F.lit(0.0)
-    )
+    """``1 - cosine``; a zero vector is at distance 1 from everything, a null one at none."""
+    squares = lambda v: F.aggregate(v.cast("array<double>"), F.lit(0.0), lambda total, x: total + x * x)
+    if not isinstance(query, Column):
+        query = F.array(*[F.lit(float(x)) for x in query])
+    product = dot(vector, query)
+    cosine = F.try_divide(product, F.sqrt(squares(vector)) * F.sqrt(squares(query)))
+    return F.when(product.isNotNull(), F.lit(1.0) - F.coalesce(cosine, F.lit(0.0)))
 
 
 METRICS = {"l2": squared_l2, "cosine": cosine_distance}

@@ -16,9 +16,9 @@ from collections.abc import Callable, Iterator, Sequence
 from functools import reduce
 from typing import Any
 
+import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from docfacts.functions import text
 from docfacts.operators.parse import parse_outputs
@@ -57,13 +57,13 @@ class BatchProvider:
     def complete(self, df: DataFrame, attempt: int) -> DataFrame:
         connect = self.connect
 
-        def run(batches: Iterator[Any]) -> Iterator[Any]:
+        @F.pandas_udf("string")
+        def run(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
             ask = connect()
-            for batch in batches:
-                yield batch.assign(output=list(ask(batch["prompt"].tolist(), MAX_TOKENS)))
+            for prompts in batches:
+                yield pd.Series(list(ask(prompts.tolist(), MAX_TOKENS)), dtype=object)
 
-        schema = T.StructType([*df.schema.fields, T.StructField("output", T.StringType())])
-        return df.mapInPandas(run, schema=schema)
+        return df.withColumn("output", run.asNondeterministic()(F.col("prompt")))
 
 
 def _stated_as_json(prompt: Column, attempt: int) -> Column:
@@ -263,17 +263,20 @@ def admit(
         .select(key, "_slice", F.sum("_n").over(earlier).alias("_offset"))
     )
     within = F.row_number().over(Window.partitionBy(key, "_slice").orderBy(*order))
+    # Attempts without a key are those of one unknown report; null equals null throughout.
+    offsets = offsets.withColumnsRenamed({key: "_key", "_slice": "_of_slice"})
+    same = sliced[key].eqNullSafe(offsets["_key"]) & sliced["_slice"].eqNullSafe(offsets["_of_slice"])
     numbered = (
-        sliced.join(offsets, [key, "_slice"], "left")
+        sliced.join(offsets, same, "left")
         .withColumn("attempts", within + F.coalesce(F.col("_offset"), F.lit(0)))
-        .drop("_slice", "_offset")
+        .drop("_slice", "_offset", "_key", "_of_slice")
     )
     if prior is not None:
-        before = prior.select(key, F.col("attempts").alias("_used"))
+        before = prior.select(F.col(key).alias("_key"), F.col("attempts").alias("_used"))
         numbered = (
-            numbered.join(before, key, "left")
+            numbered.join(before, numbered[key].eqNullSafe(before["_key"]), "left")
             .withColumn("attempts", F.col("attempts") + F.coalesce(F.col("_used"), F.lit(0)))
-            .drop("_used")
+            .drop("_used", "_key")
         )
     return numbered.withColumn("attempts", F.col("attempts").cast("long")).withColumn(
         "allowed", F.col("attempts") <= max_attempts

@@ -3,15 +3,16 @@
 Spark plan: the texts are hashed in the scan stage and only hash and order key are
 shuffled to find the first arrival of each hash, with a partial aggregate before the
 shuffle, so a text that makes up a third of all uploads costs one row per map task.
-The verdict is joined back on the order key, which is unique per upload, never on the
-hash. The text column takes part in that join only if the caller keeps it.
+The verdict is joined back on hash and arrival, which is as spread as the arrivals are,
+and copies with the same arrival are numbered within it. The text column takes part in
+that join only if the caller keeps it.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 # Limit in bytes, outcomes and the error of a short text.
@@ -56,7 +57,8 @@ def gate(
 ) -> DataFrame:
     """Add ``content_hash``, ``status`` and ``error`` to every upload.
 
-    ``order_by`` names the arrival order; it must identify an upload and not be null.
+    ``order_by`` names the arrival order. Of copies that arrive together one is let in;
+    every upload gets exactly one verdict.
     ``registry`` holds the hashes of earlier runs; a known hash makes every copy a
     duplicate.
     """
@@ -71,14 +73,22 @@ def gate(
     )
     if registry is not None:
         first = first.join(registry.select("content_hash"), "content_hash", "left_anti")
-    winners = first.select("_arrival", F.lit(True).alias("_first"))
+    winners = first.select(
+        F.col("content_hash").alias("_hash"), F.col("_arrival").alias("_earliest"), F.lit(True).alias("_first")
+    )
+    together = F.row_number().over(Window.partitionBy("content_hash", "_arrival").orderBy("_arrival"))
     status = (
         F.when(F.col("error").isNotNull(), F.lit(REJECTED))
-        .when(F.col("_first"), F.lit(ACCEPTED))
+        .when(F.col("_first") & (F.col("_nth") == 1), F.lit(ACCEPTED))
         .otherwise(F.lit(DUPLICATE))
     )
     return (
-        rows.join(winners, "_arrival", "left")
+        rows.join(
+            winners,
+            (F.col("content_hash") == F.col("_hash")) & F.col("_arrival").eqNullSafe(F.col("_earliest")),
+            "left",
+        )
+        .withColumn("_nth", together)
         .withColumn("status", status)
         .select(*uploads.columns, "content_hash", "status", "error")
     )

@@ -58,7 +58,8 @@ def evaluate(measures: DataFrame | list[DataFrame]) -> DataFrame:
     if isinstance(measures, list):
         measures = reduce(DataFrame.unionByName, measures)
     measured, threshold = F.col("measured"), F.col("threshold")
-    passed = F.when(F.col("higher_is_better"), measured >= threshold).otherwise(
+    # NaN stands above all numbers in Spark's order; as a measured value it reaches nothing.
+    passed = ~F.isnan(measured) & F.when(F.col("higher_is_better"), measured >= threshold).otherwise(
         measured <= threshold
     )
     return measures.withColumn("passed", F.coalesce(passed, F.lit(False))).select(
@@ -107,15 +108,22 @@ def failed(checks: DataFrame) -> DataFrame:
     return checks.filter(~F.col("passed"))
 
 
+class QualityError(AssertionError):
+    """Checks that did not pass; ``failures`` has a line for each."""
+
+    def __init__(self, pipeline: str, made: int, failures: list[str]):
+        self.failures = failures
+        super().__init__(f"{pipeline} misses {len(failures)} of {made} checks: " + "; ".join(failures))
+
+
 def require(checks: DataFrame, pipeline: str = "docfacts") -> None:
-    """Raise and name every failed check; silent when all pass."""
-    rows = checks.collect()
-    broken = [row for row in rows if not row.passed]
-    if broken:
-        lines = [
-            f"  [{row.dimension}] {row.name}: measured={row.measured} "
-            f"{'<' if row.higher_is_better else '>'} threshold={row.threshold} — {row.detail}"
-            for row in broken
-        ]
-        head = f"{len(broken)}/{len(rows)} quality checks failed for {pipeline}:"
-        raise AssertionError("\n".join([head, *lines]))
+    """Raise ``QualityError`` unless all checks passed. Only the failed ones reach the driver."""
+    limit = F.when(F.col("higher_is_better"), F.lit("at least ")).otherwise(F.lit("at most "))
+    line = F.concat(
+        "dimension", F.lit("/"), "name", F.lit(": got "), F.coalesce(F.col("measured").cast("string"), F.lit("nothing")),
+        F.lit(", needs "), limit, F.col("threshold").cast("string"),
+        F.when(F.coalesce("detail", F.lit("")) != "", F.concat(F.lit(" ("), "detail", F.lit(")"))).otherwise(F.lit("")),
+    )
+    missed = [row[0] for row in failed(checks).orderBy("dimension", "name").select(line).collect()]
+    if missed:
+        raise QualityError(pipeline, counts(checks).first()["n_checks"], missed)

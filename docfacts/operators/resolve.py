@@ -1,10 +1,9 @@
 """Cross-document resolution of records to occurrences, and the queries on them.
 
 Spark plan: counts and means of a site use partial aggregates, so a site reported by a
-third of all records costs one row per map task. Only the list of report ids grows with
-the group. Sites whose list would not fit one row are left out of the list aggregate:
-``occurrences`` gives them with a null list, and ``report_lists`` has the ids of every
-site, large ones in several rows of bounded size.
+third of all records costs one row per map task. Which reports a site rests on is a table
+of its own, ``links``: a projection of the records without aggregate or shuffle, which
+holds every id of every site, whatever its size.
 """
 
 from __future__ import annotations
@@ -17,12 +16,6 @@ from docfacts.schemas import RECORD_FIELDS
 
 SITE = ["mineral", "lat_bucket", "lon_bucket"]
 
-# Ids in one list.
-LIST_LIMIT = 100_000
-# A list may also hold one in this many of all ids. No more sites than this can exceed
-# that share, which is the proven bound of what is broadcast below (about 20 MB).
-MAX_LARGE_SITES = 200_000
-
 
 def with_site(records: DataFrame) -> DataFrame:
     """Add the coordinate grid cell of each record (0.01 degree)."""
@@ -37,69 +30,19 @@ def _facts() -> list[Column]:
     ]
 
 
-def site_facts(records: DataFrame) -> DataFrame:
-    """Occurrences without the id lists: one scan and one shuffle of partial sums."""
-    return with_site(records).groupBy(*SITE).agg(*_facts())
-
-
-def _marked(records: DataFrame, list_limit: int) -> DataFrame:
-    """Add ``_parts`` to the records of sites whose ids need more than one list.
-
-    The sites come from counts that are summed before their shuffle, and the total from
-    the same counts, so the shuffle is shared.
-    """
-    counts = with_site(records).groupBy(*SITE).agg(F.count("*").alias("_n"))
-    total = counts.agg(F.sum("_n")).scalar()
-    limit = F.greatest(F.lit(list_limit), F.ceil(total / MAX_LARGE_SITES))
-    large = counts.filter(F.col("_n") > limit).select(
-        *[F.col(name).alias(f"_{name}") for name in SITE],
-        F.ceil(F.col("_n") / limit).alias("_parts"),
-    )
-    # Null equals null, as in the grouping.
-    same = F.lit(True)
-    for name in SITE:
-        same = same & F.col(name).eqNullSafe(F.col(f"_{name}"))
-    return with_site(records).join(F.broadcast(large), same, "left")
-
-
-def occurrences(records: DataFrame, list_limit: int = LIST_LIMIT) -> DataFrame:
-    """One row per site: count, sorted report ids, mean depth and mean grade.
+def occurrences(records: DataFrame) -> DataFrame:
+    """One row per site: count, mean depth and mean grade. One scan, one shuffle of partial sums."""
+    return facts_of(with_site(records))
 
-    ``report_ids`` is null for a site with more than ``list_limit`` reports; its ids
-    are in ``report_lists``. Such ids are blanked before the aggregate, which skips
-    them, so they are neither shuffled nor collected.
-    """
-    listed = F.when(F.col("_parts").isNull(), F.col("report_id"))
-    return (
-        _marked(records, list_limit)
-        .groupBy(*SITE)
-        .agg(
-            F.max("_parts").alias("_parts"),
-            F.collect_list(listed).alias("_ids"),
-            *_facts(),
-        )
-        .select(
-            *SITE,
-            "n_reports",
-            F.when(F.col("_parts").isNull(), F.sort_array("_ids")).alias("report_ids"),
-            "avg_depth_m",
-            "avg_grade_g_t",
-        )
-    )
 
+def facts_of(sited: DataFrame) -> DataFrame:
+    """The same for records that have their site already."""
+    return sited.groupBy(*SITE).agg(*_facts())
 
-def report_lists(records: DataFrame, list_limit: int = LIST_LIMIT) -> DataFrame:
-    """The report ids of every site, whole, in lists of about ``list_limit`` at most.
 
-    One row per site and ``part``. A site up to the limit has part 0 only; a larger
-    one is spread by the hash of the id before anything is collected.
-    """
-    part = F.coalesce(F.pmod(F.xxhash64("report_id"), F.col("_parts")), F.lit(0)).cast("int")
-    return (
-        _marked(records, list_limit)
-        .groupBy(*SITE, part.alias("part"))
-        .agg(F.sort_array(F.collect_list("report_id")).alias("report_ids"))
-    )
+def links(records: DataFrame) -> DataFrame:
+    """(site, report_id), one row for each record."""
+    return with_site(records).select(*SITE, "report_id")
 
 
 def stats(occ: DataFrame) -> DataFrame:

@@ -12,12 +12,13 @@ from __future__ import annotations
 from collections.abc import Callable, Iterator, Sequence
 from typing import Any
 
+import numpy as np
+import pandas as pd
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.feature import IDF, HashingTF, Normalizer, RegexTokenizer
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from docfacts.functions.vectors import distance
 
@@ -68,16 +69,14 @@ class BatchEncoder:
     def encode(self, df: DataFrame, text_col: str = "text") -> DataFrame:
         load = self.load
 
-        def run(batches: Iterator[Any]) -> Iterator[Any]:
+        @F.pandas_udf("array<double>")
+        def run(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
             encode = load()
-            for batch in batches:
-                vectors = encode(batch[text_col].tolist())
-                yield batch.assign(embedding=[[float(x) for x in v] for v in vectors])
+            for texts in batches:
+                vectors = encode(texts.tolist())
+                yield pd.Series([np.asarray(v, np.float64) for v in vectors], dtype=object)
 
-        schema = T.StructType(
-            [*df.schema.fields, T.StructField("embedding", T.ArrayType(T.DoubleType()))]
-        )
-        return df.mapInPandas(run, schema=schema)
+        return df.withColumn("embedding", run(F.col(text_col)))
 
 
 def embed(df: DataFrame, encoder: Any = None, text_col: str = "text") -> DataFrame:
@@ -96,9 +95,8 @@ def _ranked(
 ) -> DataFrame:
     for name, wanted in (where or {}).items():
         vectors = vectors.filter(F.col(name) == F.lit(wanted))
-    return vectors.withColumn("distance", distance(F.col("embedding"), query, metric)).drop(
-        "embedding"
-    )
+    found = vectors.withColumn("distance", distance(F.col("embedding"), query, metric))
+    return found.filter(F.col("distance").isNotNull()).drop("embedding")
 
 
 def top_k(

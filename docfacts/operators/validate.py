@@ -9,8 +9,9 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from docfacts.functions.records import MISSING, errors_where, field_error
+from docfacts.schemas import RECORD_FIELDS
 
-# The domain the records must lie in.
+# The domain the records must lie in, and below, the messages.
 VALID_MINERALS = ("Copper", "Gold", "Silver", "Zinc", "Lithium", "Nickel")
 LAT_BOUNDS = (-30.0, -15.0)
 LON_BOUNDS = (-75.0, -60.0)
@@ -75,14 +76,17 @@ def rule_errors(rules: Sequence[Rule] = DOMAIN_RULES, record: str | None = None)
 
 
 def check(
-    df: DataFrame, rules: Sequence[Rule] = DOMAIN_RULES, record: str | None = None
+    df: DataFrame,
+    rules: Sequence[Rule] = DOMAIN_RULES,
+    record: str | None = None,
+    required: Sequence[str] = RECORD_FIELDS,
 ) -> DataFrame:
     """Add ``errors`` and ``valid``.
 
     ``record`` names a struct column holding the fields; without it they are columns
     of ``df``. A ``type_errors`` column left by the parser comes first, and the domain
     rules then only look at values that are present; on plain typed columns an absent
-    value is itself an error.
+    value of a ``required`` field is itself an error, and errors come in the fields' order.
     """
     value = _source(record)
     broken = rule_errors(rules, record)
@@ -94,13 +98,17 @@ def check(
         errors = F.concat(F.col("type_errors"), broken)
         valid = valid & (F.size("type_errors") == 0)
     else:
-        absent = errors_where(
-            [
-                (value(f).isNull(), field_error(f, F.lit(f"{f}: {MISSING}")))
-                for f in dict.fromkeys(r.field for r in rules)
+        cases = []
+        for name in dict.fromkeys([*required, *(r.field for r in rules)]):
+            absent = value(name).isNull()
+            valid = valid & ~absent
+            cases.append((absent, field_error(name, F.lit(f"{name}: {MISSING}"))))
+            cases += [
+                (~absent & ~r.holds(value(name)), field_error(name, r.message(value(name))))
+                for r in rules
+                if r.field == name
             ]
-        )
-        errors = F.concat(absent, broken)
+        errors = errors_where(cases)
     return df.withColumns({"errors": errors, "valid": valid})
 
 

@@ -23,7 +23,7 @@ from docfacts.operators import (
 )
 from docfacts.plans import derived
 from docfacts.plans.derived import table
-from docfacts.schemas import ATTEMPT, RECORD_FIELDS, REGISTRY
+from docfacts.schemas import ATTEMPT, LINK, RECORD_FIELDS, REGISTRY
 from docfacts.session import scratch_dir
 from docfacts.sources import readers, writers
 from docfacts.sources.keyed import KeyedTable
@@ -65,21 +65,12 @@ def _occurrences(spark: SparkSession, sf_dir: str) -> DataFrame:
     return resolve.occurrences(_valid_records(spark, sf_dir))
 
 
-def _site_facts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Occurrences for queries that do not show the id lists."""
-    return resolve.site_facts(_valid_records(spark, sf_dir))
-
-
 def _outcomes(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Gate outcomes on the derived model outputs, replayed attempt by attempt."""
     replay = extract.ColumnProvider(lambda prompt, attempt: F.col(f"output_{attempt}"))
     return extract.run(derived.outputs(table(spark, sf_dir, "orders")), replay)
 
 
-def _as_text(ids: str) -> F.Column:
-    return F.array_join(ids, ",").alias(ids)
-
-
 # --- intake ------------------------------------------------------------------------
 
 
@@ -105,6 +96,14 @@ def intake_registry(spark: SparkSession, sf_dir: str) -> DataFrame:
     return gated.select("report_id", "content_hash", "status")
 
 
+@query
+def intake_resent(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document arrives twice under its id, ordered by that id alone."""
+    uploads = _uploads(spark, sf_dir)
+    gated = intake.gate(uploads.unionByName(uploads), "report_id")
+    return gated.groupBy("report_id", "content_hash", "status").agg(F.count("*").alias("n_uploads"))
+
+
 @query
 def accepted_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return intake.accepted_documents(intake.gate(_uploads(spark, sf_dir), "doc_id"))
@@ -461,39 +460,55 @@ def resolve_occurrences(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _occurrences(spark, sf_dir).select(
         *resolve.SITE,
         "n_reports",
-        _as_text("report_ids"),
         F.round("avg_depth_m", 6).alias("avg_depth_m"),
         F.round("avg_grade_g_t", 6).alias("avg_grade_g_t"),
     )
 
 
+@query
+def validate_missing_fields(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Records with absent fields by key class: every field is required, errors follow the fields."""
+    known = derived.records(table(spark, sf_dir, "orders"))
+    spoilt = {"depth_m": 9, "grade_g_t": 5, "hole_id": 6, "mineral": 11}
+    absent = {f: F.when(F.col("k") % n != 0, F.col(f)) for f, n in spoilt.items()}
+    checked = validate.check(known.withColumns(absent))
+    return checked.select("report_id", "valid", validate.reason(F.col("errors")).alias("reason"))
+
+
+@query
+def resolve_links(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every report of every site."""
+    return resolve.links(_valid_records(spark, sf_dir))
+
+
 @query
 def resolve_report_lists(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All ids of all sites, from lists cut into parts of a few ids."""
-    lists = resolve.report_lists(_valid_records(spark, sf_dir), list_limit=5)
-    return lists.select(*resolve.SITE, F.explode("report_ids").alias("report_id"))
+    """The same from the written table that is served beside the occurrences."""
+    path = scratch_dir(spark, "links")
+    writers.write_occurrences(_valid_records(spark, sf_dir), path)
+    return readers.parquet_or_empty(spark, f"{path}/links", LINK)
 
 
 @query
 def resolve_stats(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return resolve.stats(_site_facts(spark, sf_dir))
+    return resolve.stats(_occurrences(spark, sf_dir))
 
 
 @query
 def occurrences_by_region(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return resolve.by_region(_site_facts(spark, sf_dir))
+    return resolve.by_region(_occurrences(spark, sf_dir))
 
 
 @query
 def search_occurrences(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = resolve.search(_occurrences(spark, sf_dir), "Gold")
-    return found.select(*resolve.SITE, "n_reports", _as_text("report_ids"))
+    return found.select(*resolve.SITE, "n_reports")
 
 
 @query
 def search_all_occurrences(spark: SparkSession, sf_dir: str) -> DataFrame:
     """No mineral given: everything, in the same order."""
-    found = resolve.search(_site_facts(spark, sf_dir), "")
+    found = resolve.search(_occurrences(spark, sf_dir), "")
     return found.select(*resolve.SITE, "n_reports")
 
 
@@ -553,8 +568,7 @@ def occurrence_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     writers.write_occurrences(_valid_records(spark, sf_dir), path)
     readers.view(spark, f"{path}/occurrences", "docfacts_occurrences")
     return spark.sql(
-        "SELECT mineral, lat_bucket, lon_bucket, n_reports, "
-        "array_join(report_ids, ',') AS report_ids FROM docfacts_occurrences"
+        "SELECT mineral, lat_bucket, lon_bucket, n_reports FROM docfacts_occurrences"
     )
 
 
@@ -562,7 +576,7 @@ def occurrence_files(spark: SparkSession, sf_dir: str) -> DataFrame:
 def missing_view(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A table that was never written serves as an empty view beside the records."""
     readers.view(spark, scratch_dir(spark, "never-written"), "docfacts_missing")
-    known = _site_facts(spark, sf_dir).select("mineral", "n_reports")
+    known = _occurrences(spark, sf_dir).select("mineral", "n_reports")
     served = spark.sql("SELECT mineral, n_reports FROM docfacts_missing")
     return known.unionByName(served).groupBy("mineral").agg(F.sum("n_reports").alias("n_reports"))
 
@@ -590,7 +604,7 @@ def eval_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
 def evaluation_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = scratch_dir(spark, "evaluation")
     matches = _matches(spark, sf_dir)
-    writers.write_evaluation(matches, evaluate.summary(matches), path)
+    writers.write_evaluation(matches, path)
     schema = "report_id string, status string, attempts int, field_matches struct<" + (
         ", ".join(f"{f}: boolean" for f in RECORD_FIELDS) + ">"
     )
@@ -690,7 +704,7 @@ def _checks(spark: SparkSession, sf_dir: str) -> DataFrame:
                 ),
             ),
             quality.measure(
-                _site_facts(spark, sf_dir),
+                _occurrences(spark, sf_dir),
                 check(
                     "consistency",
                     "resolution_merges_same_site",

@@ -114,9 +114,28 @@ _BLOCKS = {
         SELECT *, round(lat, 2) AS lat_bucket, round(lon, 2) AS lon_bucket FROM valid""",
     "occurrences": """
         SELECT mineral, lat_bucket, lon_bucket, count(*) AS n_reports,
-               string_agg(report_id, ',' ORDER BY report_id) AS report_ids,
                avg(depth_m) AS avg_depth_m, avg(grade_g_t) AS avg_grade_g_t
         FROM sited GROUP BY ALL""",
+    # Records with absent fields.
+    "spoilt": """
+            SELECT report_id, lat, lon, CASE WHEN k % 11 <> 0 THEN mineral END AS m,
+                   CASE WHEN k % 9 <> 0 THEN depth_m END AS d,
+                   k % 5 = 0 AS no_grade, k % 6 = 0 AS no_hole
+            FROM records""",
+    "reasons": """
+            SELECT report_id, concat_ws('; ',
+                CASE WHEN m IS NULL THEN 'mineral: field required'
+                     WHEN m = 'Unobtainium' THEN chr(39) || 'Unobtainium' || chr(39) || ' is not a recognized mineral' END,
+                CASE WHEN d IS NULL THEN 'depth_m: field required'
+                     WHEN NOT (d > 0 AND d <= 1000)
+                     THEN 'depth_m=' || d || ' is out of plausible range (0, 1000]' END,
+                CASE WHEN NOT (lat >= -30 AND lat <= -15)
+                     THEN 'lat=' || lat || ' outside survey region bounds (-30.0, -15.0)' END,
+                CASE WHEN NOT (lon >= -75 AND lon <= -60)
+                     THEN 'lon=' || lon || ' outside survey region bounds (-75.0, -60.0)' END,
+                CASE WHEN no_grade THEN 'grade_g_t: field required' END,
+                CASE WHEN no_hole THEN 'hole_id: field required' END) AS reason
+            FROM spoilt""",
     # Derived model outputs, two attempts.
     "answers": f"""
         SELECT *, CASE WHEN k % 29 = 0 THEN 'no object'
@@ -299,7 +318,7 @@ _LATEST = f"""
     SELECT 'CUST-' || c AS report_id, {_LIST} FROM records
     QUALIFY row_number() OVER (PARTITION BY c ORDER BY k DESC) = 1"""
 _SITES = """
-    SELECT mineral, lat_bucket, lon_bucket, n_reports, report_ids FROM occurrences"""
+    SELECT mineral, lat_bucket, lon_bucket, n_reports FROM occurrences"""
 
 _SELECTS = {
     "intake_status": """
@@ -307,6 +326,14 @@ _SELECTS = {
                CASE status WHEN 'accepted' THEN 200 WHEN 'duplicate' THEN 409 ELSE 400 END
                    AS status_code
         FROM gated""",
+    "intake_resent": """
+        SELECT report_id, content_hash, status, count(*) AS n_uploads
+        FROM (SELECT report_id, content_hash,
+                     CASE WHEN error IS NOT NULL THEN 'rejected'
+                          WHEN row_number() OVER (PARTITION BY content_hash ORDER BY report_id) = 1
+                          THEN 'accepted' ELSE 'duplicate' END AS status
+              FROM (SELECT * FROM hashed UNION ALL SELECT * FROM hashed))
+        GROUP BY ALL""",
     "intake_summary": "SELECT status, count(*) AS n_uploads FROM gated GROUP BY status",
     "intake_registry": """
         SELECT report_id, content_hash,
@@ -394,9 +421,15 @@ _SELECTS = {
     "extraction_upsert": _LATEST,
     "extraction_upsert_stream": _LATEST,
     "resolve_occurrences": """
-        SELECT mineral, lat_bucket, lon_bucket, n_reports, report_ids,
+        SELECT mineral, lat_bucket, lon_bucket, n_reports,
                round(avg_depth_m, 6) AS avg_depth_m, round(avg_grade_g_t, 6) AS avg_grade_g_t
         FROM occurrences""",
+    "validate_missing_fields": """
+        SELECT report_id, reason = '' AS valid, reason FROM reasons""",
+    "resolve_links": """
+        SELECT mineral, lat_bucket, lon_bucket, unnest(ids) AS report_id
+        FROM (SELECT mineral, lat_bucket, lon_bucket, list(report_id) AS ids
+              FROM sited GROUP BY ALL)""",
     "resolve_report_lists": "SELECT mineral, lat_bucket, lon_bucket, report_id FROM sited",
     "resolve_stats": """
         SELECT CAST(sum(n_reports) AS BIGINT) AS n_raw_records, count(*) AS n_resolved_occurrences

@@ -68,11 +68,17 @@ OCCURRENCE = _struct(
     ("lat_bucket", T.DoubleType()),
     ("lon_bucket", T.DoubleType()),
     ("n_reports", T.LongType()),
-    ("report_ids", T.ArrayType(T.StringType())),
     ("avg_depth_m", T.DoubleType()),
     ("avg_grade_g_t", T.DoubleType()),
 )
 
+LINK = _struct(
+    ("mineral", T.StringType()),
+    ("lat_bucket", T.DoubleType()),
+    ("lon_bucket", T.DoubleType()),
+    ("report_id", T.StringType()),
+)
+
 ATTEMPT = _struct(("report_id", T.StringType()), ("attempts", T.LongType()))
 
 CHECK = _struct(

@@ -16,11 +16,6 @@ from docfacts.schemas import (
     UPLOAD,
 )
 
-# An upload body that does not parse keeps its raw text here.
-_UPLOAD_WITH_RAW = T.StructType(
-    [*UPLOAD.fields, T.StructField("_corrupt_record", T.StringType())]
-)
-
 
 def read_reports(spark: SparkSession, path: str) -> DataFrame:
     """Every ``*.txt`` of a folder as one document; ``report_id`` is the file stem."""
@@ -49,23 +44,33 @@ def flat_truth(labelled: DataFrame) -> DataFrame:
     return labelled.select("report_id", "text", "ground_truth.*")
 
 
-def read_uploads(spark: SparkSession, path: str) -> DataFrame:
-    """Upload bodies, one JSON object per line; unreadable ones are kept as rejections."""
+def _bodies(lines: DataFrame) -> DataFrame:
+    """Upload bodies of JSON lines: two texts each. What is no object, or has a field that is
+    neither a text nor null, keeps its line in ``_corrupt_record``."""
+    body = F.try_parse_json("value")
+    kinds = [F.schema_of_variant(F.try_variant_get("_body", f"$.{f.name}", "variant")) for f in UPLOAD.fields]
+    fits = F.schema_of_variant("_body").startswith("OBJECT")
+    for kind in kinds:
+        fits = fits & F.coalesce(kind.isin("STRING", "VOID"), F.lit(True))
     return (
-        spark.read.schema(_UPLOAD_WITH_RAW)
-        .option("columnNameOfCorruptRecord", "_corrupt_record")
-        .json(path)
+        lines.filter(F.trim("value") != "")
+        .withColumn("_body", body)
+        .withColumn("_fits", F.coalesce(fits, F.lit(False)))
+        .select(
+            *[F.when(F.col("_fits"), F.try_variant_get("_body", f"$.{f.name}", "string")).alias(f.name) for f in UPLOAD.fields],
+            F.when(~F.col("_fits"), F.col("value")).alias("_corrupt_record"),
+        )
     )
 
 
+def read_uploads(spark: SparkSession, path: str) -> DataFrame:
+    """Upload bodies, one JSON object per line; unreadable ones are kept as rejections."""
+    return _bodies(spark.read.text(path))
+
+
 def stream_uploads(spark: SparkSession, path: str, files_per_batch: int = 1000) -> DataFrame:
     """The same source as a stream."""
-    return (
-        spark.readStream.schema(_UPLOAD_WITH_RAW)
-        .option("columnNameOfCorruptRecord", "_corrupt_record")
-        .option("maxFilesPerTrigger", files_per_batch)
-        .json(path)
-    )
+    return _bodies(spark.readStream.option("maxFilesPerTrigger", files_per_batch).text(path))
 
 
 def unwrap_stored(items: DataFrame) -> DataFrame:

@@ -5,8 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from docfacts.operators import quality
-from docfacts.operators.resolve import SITE, occurrences, report_lists
+from docfacts.operators import evaluate, quality
+from docfacts.operators.resolve import SITE, facts_of, with_site
 from docfacts.schemas import NUMBER_FIELDS, RECORD_FIELDS
 
 
@@ -23,20 +23,21 @@ def write_stored(records: DataFrame, path: str) -> None:
     wrap_stored(records).write.mode("overwrite").json(path)
 
 
+def _served(table: DataFrame, path: str) -> None:
+    """Rows balanced over the writers by size, which splits a mineral that dominates, in folders by mineral."""
+    table.hint("rebalance", *SITE[:1]).write.mode("overwrite").partitionBy("mineral").parquet(path)
+
+
 def write_occurrences(records: DataFrame, path: str) -> None:
-    """Full recompute of the occurrence table and, beside it, of the id lists.
+    """Full recompute of the occurrence table and, beside it, of its links to reports.
 
-    Rows are balanced over the writers by size, which splits a mineral that dominates,
-    and laid out by mineral for searches.
+    The records are computed once: the links are written with the measured values, and
+    the occurrences come from what was written.
     """
-    tables = {"occurrences": occurrences(records), "report_lists": report_lists(records)}
-    for name, table in tables.items():
-        (
-            table.hint("rebalance", *SITE[:1])
-            .write.mode("overwrite")
-            .partitionBy("mineral")
-            .parquet(f"{path}/{name}")
-        )
+    sited = with_site(records).select(*SITE, "report_id", "depth_m", "grade_g_t")
+    _served(sited, f"{path}/links")
+    written = records.sparkSession.read.schema(sited.schema).parquet(f"{path}/links")
+    _served(facts_of(written), f"{path}/occurrences")
 
 
 def write_documents(documents: DataFrame, path: str) -> None:
@@ -58,13 +59,16 @@ def write_labelled(labelled: DataFrame, path: str) -> None:
     labelled.write.mode("overwrite").json(f"{path}/labels")
 
 
-def write_evaluation(matches: DataFrame, summary: DataFrame, path: str) -> None:
-    summary.write.mode("overwrite").json(f"{path}/summary")
+def write_evaluation(matches: DataFrame, path: str) -> None:
+    """The matches, and their summary from what was written."""
     matches.write.mode("overwrite").json(f"{path}/results")
+    written = matches.sparkSession.read.schema(matches.schema).json(f"{path}/results")
+    evaluate.summary(written).write.mode("overwrite").json(f"{path}/summary")
 
 
 def write_quality(checks: DataFrame, path: str, pipeline: str = "docfacts") -> None:
-    """Checks with their measured values, and the scores, as JSON."""
+    """Checks with their measured values, and the scores from what was written, as JSON."""
     stamped = {"pipeline": F.lit(pipeline), "generated_at": F.current_timestamp()}
-    quality.score(checks).withColumns(stamped).write.mode("overwrite").json(f"{path}/score")
     checks.withColumns(stamped).write.mode("overwrite").json(f"{path}/checks")
+    written = checks.sparkSession.read.schema(checks.schema).json(f"{path}/checks")
+    quality.score(written).withColumns(stamped).write.mode("overwrite").json(f"{path}/score")

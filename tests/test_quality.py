@@ -1,7 +1,10 @@
+import random
+import time
+
 import pytest
 from pyspark.sql import functions as F
 
-from docfacts.operators import evaluate, quality
+from docfacts.operators import evaluate, quality, resolve
 from docfacts.schemas import CHECK
 from docfacts.sources import writers
 
@@ -20,46 +23,57 @@ def scores(df):
     return [(r.dimension, r.score) for r in quality.score(df).collect()]
 
 
-def test_thresholds_are_inclusive_both_ways(spark):
-    df = checks(
-        spark,
-        ("completeness", "above", 0.95, 0.90, True, ""), ("completeness", "equal", 0.90, 0.90, True, ""),
-        ("completeness", "below", 0.89, 0.90, True, ""), ("timeliness", "under", 110.0, 120.0, False, ""),
-        ("timeliness", "same", 120.0, 120.0, False, ""), ("timeliness", "over", 121.0, 120.0, False, ""),
-    )
-    assert verdicts(df) == {
-        "above": True, "equal": True, "below": False, "under": True, "same": True, "over": False,
-    }
+@pytest.mark.parametrize("offset, higher, lower", [(-0.5, False, True), (0.0, True, True), (0.5, True, False)])
+def test_a_threshold_counts_as_reached(spark, offset, higher, lower):
+    df = checks(spark, ("validity", "up", 7.5 + offset, 7.5, True, ""), ("validity", "down", 7.5 + offset, 7.5, False, ""))
+    assert verdicts(df) == {"up": higher, "down": lower}
 
 
-def test_score_per_dimension_in_report_order(spark):
-    df = checks(
-        spark, ("validity", "c", 1.0, 1.0, True, ""), ("completeness", "a", 1.0, 1.0, True, ""),
-        ("completeness", "b", 0.0, 1.0, True, ""),
-    )
-    assert scores(df) == [("completeness", 0.5), ("validity", 1.0), ("overall", 0.6667)]
-    assert tuple(quality.counts(df).first()) == (2, 3)
+def test_nothing_measured_reaches_nothing(spark):
+    none = [("validity", f"{name}-{up}", value, 0.0, up, "") for name, value in (("nan", float("nan")), ("null", None)) for up in (True, False)]
+    assert not any(verdicts(checks(spark, *none)).values())
 
 
-def test_score_without_checks_is_zero(spark):
-    empty = spark.createDataFrame([], CHECK)
-    assert scores(empty) == [("overall", 0.0)]
-    assert tuple(quality.counts(empty).first()) == (0, 0)
+def test_scores_by_dimension(spark):
+    rng = random.Random(8)
+    made = [(rng.choice(quality.DIMENSIONS[1:]), f"c{i}", float(rng.random() < 0.6), 1.0, True, "") for i in range(25)]
+    df = checks(spark, *made)
+    share = lambda rows: round(sum(r[2] for r in rows) / len(rows), 4)
+    want = [(d, share([r for r in made if r[0] == d])) for d in quality.DIMENSIONS if any(r[0] == d for r in made)]
+    assert scores(df) == [*want, ("overall", share(made))]
+    assert tuple(quality.counts(df).first()) == (sum(r[2] for r in made), 25)
 
 
-def test_require_names_every_failure(spark):
+def test_no_checks(spark):
+    none = spark.createDataFrame([], CHECK)
+    assert scores(none) == [("overall", 0.0)] and tuple(quality.counts(none).first()) == (0, 0)
+    quality.require(none)
+
+
+def test_required_checks(spark):
     df = checks(
-        spark, ("correctness", "ok_check", 1.0, 1.0, True, ""),
-        ("correctness", "broken_check", 0.2, 0.9, True, "rows lost between stages"),
+        spark, ("validity", "sites", 3.0, 5.0, True, "merged too far"), ("completeness", "chunks", 4.0, 1.0, True, ""),
+        ("timeliness", "delay", None, 60.0, False, ""),
     )
-    with pytest.raises(AssertionError) as error:
-        quality.require(df, "my-pipeline")
-    message = str(error.value)
-    assert "1/2 quality checks failed for my-pipeline" in message
-    assert "[correctness] broken_check: measured=0.2 < threshold=0.9 — rows lost" in message
-    assert "ok_check" not in message
+    with pytest.raises(quality.QualityError) as error:
+        quality.require(df, "survey")
+    assert error.value.failures == [
+        "timeliness/delay: got nothing, needs at most 60.0", "validity/sites: got 3.0, needs at least 5.0 (merged too far)",
+    ]
+    assert str(error.value).startswith("survey misses 2 of 3 checks: ")
     quality.require(df.filter("passed"))
-    assert quality.failed(df.filter("passed")).count() == 0
+
+
+def test_resolution_takes_less_than_its_limit(spark):
+    """Timeliness: wall time of the resolve step on 20,000 records, with the limit of the survey."""
+    df = spark.range(20_000).selectExpr(
+        "concat('r', id) AS report_id", "'Gold' AS mineral", "1D AS depth_m", "CAST(-20 - (id % 900) / 100 AS double) AS lat",
+        "-68D AS lon", "2D AS grade_g_t", "'DH' AS hole_id",
+    )
+    start = time.perf_counter()
+    resolve.occurrences(df).write.format("noop").mode("overwrite").save()
+    taken = ("timeliness", "resolve_seconds", time.perf_counter() - start, 120.0, False, "wall time of the resolve step")
+    quality.require(checks(spark, taken))
 
 
 def test_measures_share_one_pass(spark):

@@ -17,7 +17,9 @@ def test_same_site_merges(spark):
     )
     occ = resolve.occurrences(df)
     merged = occ.filter("n_reports = 2").first()
-    assert (merged.lat_bucket, merged.lon_bucket, merged.report_ids) == (-22.5, -68.12, ["a", "b"])
+    assert (merged.lat_bucket, merged.lon_bucket) == (-22.5, -68.12)
+    ids = resolve.links(df).filter("lat_bucket = -22.5").collect()
+    assert sorted(r.report_id for r in ids) == ["a", "b"]
     assert tuple(resolve.stats(occ).first()) == (3, 2)
     assert [r.n_reports for r in resolve.search(occ).collect()] == [2, 1]
     assert resolve.search(occ, "").count() == 2 and resolve.search(occ, "Zinc").count() == 0
@@ -36,7 +38,7 @@ def test_no_records(spark):
 
 
 def test_large_sites_keep_every_id(spark):
-    """One site holds a third of all records; lists stay small and nothing is lost."""
+    """One site holds a third of all records; nothing of it is lost."""
     df = spark.range(3000).selectExpr(
         "concat('r', id) AS report_id", "IF(id % 7 = 0, NULL, 'Gold') AS mineral",
         "CAST(id AS double) AS depth_m",
@@ -44,35 +46,30 @@ def test_large_sites_keep_every_id(spark):
         "-68D AS lon", "2D AS grade_g_t", "'DH' AS hole_id",
     )
     whole = defaultdict(list)
-    for r in resolve.with_site(df).collect():
-        whole[(r.mineral, r.lat_bucket, r.lon_bucket)].append(r.report_id)
-    occ = {(r.mineral, r.lat_bucket, r.lon_bucket): r for r in resolve.occurrences(df, 100).collect()}
-    lists = defaultdict(list)
-    for r in resolve.report_lists(df, 100).collect():
-        assert len(r.report_ids) < 200
-        lists[(r.mineral, r.lat_bucket, r.lon_bucket)] += r.report_ids
-    assert {k: sorted(v) for k, v in lists.items()} == {k: sorted(v) for k, v in whole.items()}
-    assert set(occ) == set(whole)
-    for site, ids in whole.items():
-        assert occ[site].n_reports == len(ids)
-        assert occ[site].report_ids == (sorted(ids) if len(ids) <= 100 else None)
-    assert any(len(ids) > 800 for ids in whole.values())
+    for r in df.collect():
+        whole[(r.mineral, round(r.lat, 2), r.lon)].append(r.report_id)
+    found = defaultdict(list)
+    for r in resolve.links(df).collect():
+        found[(r.mineral, r.lat_bucket, r.lon_bucket)].append(r.report_id)
+    assert {k: sorted(v) for k, v in found.items()} == {k: sorted(v) for k, v in whole.items()}
+    occ = {(r.mineral, r.lat_bucket, r.lon_bucket): r.n_reports for r in resolve.occurrences(df).collect()}
+    assert occ == {k: len(v) for k, v in whole.items()} and max(occ.values()) > 800
 
 
 def test_region_means_are_unweighted(spark):
-    rows = [("Gold", -22.5, -68.1, 9, None, 10.0, 1.0), ("Gold", -22.4, -68.2, 1, None, 20.0, 2.005)]
+    rows = [("Gold", -22.5, -68.1, 9, 10.0, 1.0), ("Gold", -22.4, -68.2, 1, 20.0, 2.005)]
     region = resolve.by_region(spark.createDataFrame(rows, OCCURRENCE)).collect()
     # -22.5 rounds away from zero, so the two sites lie in two cells.
     assert [(r.region_lat, r.n_occurrences, r.n_source_reports) for r in region] == [
         (-23.0, 1, 9), (-22.0, 1, 1),
     ]
-    rows = [("Gold", -22.1, -68.1, 9, None, 10.0, 1.0), ("Gold", -22.2, -68.2, 1, None, 20.0, 2.0)]
+    rows = [("Gold", -22.1, -68.1, 9, 10.0, 1.0), ("Gold", -22.2, -68.2, 1, 20.0, 2.0)]
     (one,) = resolve.by_region(spark.createDataFrame(rows, OCCURRENCE)).collect()
     assert (one.avg_depth_m, one.avg_grade_g_t, one.n_source_reports) == (15.0, 1.5, 10)
 
 
 def test_region_rounding_scales_first(spark):
-    rows = [("Gold", -22.1, -68.1, 1, None, 284.45, 284.405)]
+    rows = [("Gold", -22.1, -68.1, 1, 284.45, 284.405)]
     (one,) = resolve.by_region(spark.createDataFrame(rows, OCCURRENCE)).collect()
     assert (one.avg_depth_m, one.avg_grade_g_t) == (284.5, 284.4)
 

@@ -79,10 +79,25 @@ def test_column_and_list_queries_agree(spark):
         vectors.distance(F.col("v"), [1.0], "nearest")
 
 
-def test_long_vectors_use_the_array_form(spark):
-    n = vectors.UNROLL_LIMIT + 5
-    df = spark.createDataFrame([([1.0] * n,)], "v array<double>")
-    assert df.select(vectors.squared_l2(F.col("v"), [0.0] * n).alias("d")).first().d == n
+@pytest.mark.parametrize("n", [1, 64, 300])
+def test_one_formula_at_any_length(spark, n):
+    df = spark.createDataFrame([([1.0] * n,), (None,)], "v array<double>")
+    for metric, want in (("l2", float(n)), ("cosine", 1.0)):
+        found = df.select(vectors.distance(F.col("v"), [0.0] * n, metric).alias("d")).collect()
+        assert [r.d for r in found] == [want, None]
+
+
+@pytest.mark.parametrize("n", [1, 3])
+def test_other_lengths_are_refused(spark, n):
+    df = spark.createDataFrame([("a", [1.0] * n)], "id string, embedding array<double>")
+    for metric in ("l2", "cosine"):
+        with pytest.raises(Exception, match=f"vector of {n} dimensions, expected 2"):
+            retrieve.top_k(df, [0.0, 0.0], metric=metric).collect()
+
+
+def test_absent_vectors_are_not_ranked(spark):
+    df = spark.createDataFrame([("a", None), ("b", [5.0]), ("c", [1.0])], "id string, embedding array<double>")
+    assert [r.id for r in retrieve.top_k(df, [0.0], 3).collect()] == ["c", "b"]
 
 
 def test_context_in_text_order_with_fallback(spark):

@@ -161,7 +161,8 @@ def test_occurrence_search_prunes_folders(spark, tmp_path):
     )
     writers.write_occurrences(records, str(tmp_path))
     served = readers.view(spark, str(tmp_path / "occurrences"), "served").filter("mineral = 'Gold'")
-    assert [tuple(r.report_ids) for r in served.collect()] == [("a",)]
+    assert [r.n_reports for r in served.collect()] == [1]
+    assert sorted(r.report_id for r in spark.read.parquet(str(tmp_path / "links")).collect()) == ["a", "b"]
     plan = served._jdf.queryExecution().executedPlan().toString()
     assert "PartitionFilters" in plan and "Gold" in plan.split("PartitionFilters")[1]
 

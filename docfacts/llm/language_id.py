@@ -5,7 +5,8 @@ at the word's ends), hashed to ``BUCKETS`` rows. Embeddings and softmax are trai
 stochastic gradient descent in numpy; half of the steps see a few subwords only, so that
 short texts are learnt too. A part of the sample is kept from training: it sets the
 temperature of the scores, and the score below which a prediction is rejected (at most
-``REJECT_LIMIT``, and lower where more than ``REJECT_SHARE`` of it would be rejected).
+``REJECT_LIMIT``, which a text that is half in one and half in another language passes,
+and lower where more than ``REJECT_SHARE`` of it would be rejected).
 
 The classifier is fitted on a bounded sample: about ``ROWS_PER_LANGUAGE`` labelled rows
 for each language, chosen by a hash of the id. Prediction reads every whole text. As all
@@ -38,7 +39,7 @@ LEAST_STEPS = 6000
 RATE = 0.5
 FEW = 40
 REJECT_SHARE = 0.001
-REJECT_LIMIT = 0.5
+REJECT_LIMIT = 0.35
 UNKNOWN = "und"
 
 _OTHER = re.compile(r"[\W\d_]+")

@@ -20,7 +20,9 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from docfacts.functions import text
 from docfacts.functions.vectors import distance
+from docfacts.session import computed_once
 
 # What extraction searches for, and how many passages it needs.
 RETRIEVAL_QUERY = "mineral occurrence depth coordinates assay grade drill hole"
@@ -120,25 +122,23 @@ def top_k(
     return hits.withColumn("rank", F.row_number().over(order)).filter(F.col("rank") <= k)
 
 
-def context(reports: DataFrame, chunks: DataFrame, hits: DataFrame) -> DataFrame:
+def context(reports: DataFrame, hits: DataFrame) -> DataFrame:
     """Add ``context``: the retrieved passages of each report in text order.
 
-    A report without hits keeps its full text. Hits carry positions only; a position
-    that the report does not have is dropped by the join. Both sides of the first join
-    are unique on (report_id, chunk_index), so neither can be skewed.
+    A report without hits keeps its full text. Only positions are gathered and joined, at
+    most k numbers a report; the passages are then picked from the report's own text, so
+    no passage moves. A position that the report does not have is dropped.
     """
-    passages = (
-        hits.select("report_id", "chunk_index")
-        .join(chunks.select("report_id", "chunk_index", "text"), ["report_id", "chunk_index"])
-        .groupBy("report_id")
-        .agg(F.array_sort(F.collect_list(F.struct("chunk_index", "text"))).alias("_hits"))
-        .select("report_id", F.array_join(F.col("_hits")["text"], " ").alias("_context"))
-    )
-    return (
-        reports.join(passages, "report_id", "left")
-        .withColumn("context", F.coalesce(F.nullif(F.col("_context"), F.lit("")), F.col("text")))
-        .drop("_context")
+    places = hits.groupBy("report_id").agg(F.array_sort(F.collect_list("chunk_index")).alias("_places"))
+    found = computed_once(
+        reports.join(places, "report_id", "left"),
+        {"_pieces": F.when(F.col("_places").isNotNull(), text.passages(F.col("text")))},
     )
+    picked = F.transform("_places", lambda i: text.strip(F.get("_pieces", i)))
+    joined = F.array_join(F.filter(picked, lambda passage: passage != ""), " ")
+    return found.withColumn(
+        "context", F.coalesce(F.nullif(joined, F.lit("")), F.col("text"))
+    ).drop("_places", "_pieces")
 
 
 def retrieve(
@@ -151,8 +151,7 @@ def retrieve(
     """Reports with their retrieval context; ``index`` holds already embedded chunks."""
     from docfacts.operators.chunk import chunk
 
-    chunks = chunk(reports)
-    vectors = embed(chunks, encoder) if index is None else index
+    vectors = embed(chunk(reports), encoder) if index is None else index
     hits = top_k(
         vectors.select("report_id", "chunk_index", "embedding"),
         query,
@@ -160,4 +159,4 @@ def retrieve(
         scope="report_id",
         tie_break="chunk_index",
     )
-    return context(reports, chunks, hits)
+    return context(reports, hits)

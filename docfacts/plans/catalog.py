@@ -223,9 +223,7 @@ def retrieval_context(spark: SparkSession, sf_dir: str) -> DataFrame:
     hits = retrieve.top_k(
         index, WANTED_COUNTS, retrieve.RETRIEVAL_TOP_K, scope="report_id", tie_break="chunk_index"
     )
-    found = retrieve.context(
-        documents.select("report_id", "text"), chunk.chunk(documents), hits
-    )
+    found = retrieve.context(documents.select("report_id", "text"), hits)
     return found.select("report_id", "context")
 
 
@@ -572,6 +570,44 @@ def occurrence_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@query
+def survey_run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """From uploads to regions on one set of texts, each stage reading what the one before left.
+
+    Every report is sent twice, the second time under another id.
+    """
+    base = scratch_dir(spark, "survey-run")
+    sent = derived.reports(table(spark, sf_dir, "orders"))
+    again = sent.withColumn("report_id", F.concat(F.lit("again-"), "report_id"))
+    gated = intake.gate(sent.unionByName(again), "report_id")
+    gated.write.parquet(f"{base}/verdicts")
+    gated = spark.read.parquet(f"{base}/verdicts")
+    writers.append_registry(intake.new_hashes(gated), f"{base}/registry")
+    accepted = intake.accepted_documents(gated)
+    documents = KeyedTable(spark, f"{base}/documents", accepted.schema, "report_id")
+    documents.put(accepted, 0)
+
+    reports = documents.read().select("report_id", "text")
+    encoder = retrieve.TermEncoder().fit(chunk.chunk(reports))
+    found = retrieve.retrieve(reports, encoder, retrieve.encode_query(reports, encoder))
+    outcomes = extract.run(found, extract.provider("rules"))
+    outcomes.write.parquet(f"{base}/outcomes")
+    outcomes = spark.read.parquet(f"{base}/outcomes")
+    log = extract.attempt_log(outcomes)
+    writers.append_attempts(log, f"{base}/attempts")
+    records = outcomes.filter(F.col("status") == extract.EXTRACTED).select("report_id", "record.*")
+    stored = KeyedTable(spark, f"{base}/extractions", records.schema, "report_id")
+    stored.put(records, 0)
+
+    writers.write_occurrences(stored.read(), f"{base}/served")
+    readers.view(spark, f"{base}/served/occurrences", "docfacts_run")
+    denied = spark.read.schema(log.schema).parquet(f"{base}/attempts").filter("NOT allowed").count()
+    known = spark.read.schema(REGISTRY).parquet(f"{base}/registry").count()
+    # Counts only: a mean that lies on a rounding edge depends on the order of its terms.
+    regions = resolve.by_region(spark.table("docfacts_run")).drop("avg_depth_m", "avg_grade_g_t")
+    return regions.withColumns({"n_denied": F.lit(denied).cast("long"), "n_texts": F.lit(known).cast("long")})
+
+
 @query
 def missing_view(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A table that was never written serves as an empty view beside the records."""

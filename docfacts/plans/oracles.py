@@ -440,6 +440,12 @@ _SELECTS = {
                round(avg(avg_depth_m), 1) AS avg_depth_m,
                round(avg(avg_grade_g_t), 2) AS avg_grade_g_t
         FROM occurrences GROUP BY ALL""",
+    "survey_run": """
+        SELECT mineral, round(lat_bucket, 0) AS region_lat, round(lon_bucket, 0) AS region_lon,
+               count(*) AS n_occurrences, CAST(sum(n_reports) AS BIGINT) AS n_source_reports,
+               (SELECT count(*) FILTER (NOT valid) FROM checked) AS n_denied,
+               (SELECT count(DISTINCT text) FROM reports) AS n_texts
+        FROM occurrences GROUP BY ALL""",
     "search_occurrences": f"{_SITES} WHERE mineral = 'Gold'",
     "search_all_occurrences": "SELECT mineral, lat_bucket, lon_bucket, n_reports FROM occurrences",
     "lookup_extraction": f"SELECT report_id, {_LIST} FROM valid WHERE report_id = 'RPT-5'",

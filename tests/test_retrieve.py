@@ -108,7 +108,7 @@ def test_context_in_text_order_with_fallback(spark):
     hits = spark.createDataFrame(
         [("A", 5), ("A", 0), ("A", 2), ("A", 99)], "report_id string, chunk_index int"
     )
-    out = {r.report_id: r.context for r in retrieve.context(reports, chunk(reports), hits).collect()}
+    out = {r.report_id: r.context for r in retrieve.context(reports, hits).collect()}
     assert out == {"A": "One. Three. Six.", "B": "Never indexed. At all."}
 
 

@@ -649,7 +649,8 @@ def evaluation_files(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _share(part: F.Column, whole: F.Column) -> F.Column:
-    return F.round(F.coalesce(F.try_divide(part, whole), F.lit(1.0)), 6)
+    """Null, which passes no check, where there was nothing to measure."""
+    return F.round(F.try_divide(part, whole), 6)
 
 
 def _checks(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -685,25 +686,25 @@ def _checks(spark: SparkSession, sf_dir: str) -> DataFrame:
                 copies,
                 check(
                     "validity",
-                    "intake_accepts_new_content",
+                    "share_of_texts_accepted_once",
                     _share(F.count_if(hashed & (F.col("accepted") == 1)), F.count_if(hashed)),
                     1.0,
                 ),
                 check(
                     "validity",
-                    "intake_rejects_duplicate_content",
+                    "share_of_repeated_texts_with_one_in",
                     _share(F.count_if(hashed & again & others_out), F.count_if(hashed & again)),
                     1.0,
                 ),
                 check(
                     "validity",
-                    "intake_rejects_malformed_upload",
+                    "share_of_short_uploads_rejected",
                     _share(F.sum("short_rejected"), F.sum("short")),
                     1.0,
                 ),
                 check(
                     "completeness",
-                    "every_upload_has_a_status",
+                    "share_of_uploads_with_a_verdict",
                     _share(F.sum(with_status), F.sum("n")),
                     1.0,
                 ),
@@ -712,7 +713,7 @@ def _checks(spark: SparkSession, sf_dir: str) -> DataFrame:
                 checked,
                 check(
                     "validity",
-                    "schema_rejects_out_of_region_coordinates",
+                    "share_of_outside_latitudes_invalid",
                     _share(F.count_if(outside & ~F.col("valid")), F.count_if(outside)),
                     1.0,
                 ),
@@ -721,13 +722,13 @@ def _checks(spark: SparkSession, sf_dir: str) -> DataFrame:
                 _matches(spark, sf_dir),
                 check(
                     "correctness",
-                    "gate_fails_gracefully_not_silently",
+                    "share_of_failures_after_all_attempts",
                     _share(F.count_if(failed & used_up), F.count_if(failed)),
                     1.0,
                 ),
                 check(
                     "correctness",
-                    "field_level_precision",
+                    "share_of_fields_as_labelled",
                     F.round(F.sum(correct) / fields, 4),
                     0.99,
                 ),
@@ -743,7 +744,7 @@ def _checks(spark: SparkSession, sf_dir: str) -> DataFrame:
                 _occurrences(spark, sf_dir),
                 check(
                     "consistency",
-                    "resolution_merges_same_site",
+                    "reports_of_the_largest_site",
                     F.max("n_reports"),
                     2.0,
                     detail="reports of the most reported site",

@@ -227,24 +227,24 @@ _BLOCKS = {
                count(*) FILTER (status = 'duplicate') AS n_duplicate
         FROM gated WHERE error IS NULL GROUP BY content_hash""",
     "measures": """
-        SELECT 'validity' AS dimension, 'intake_accepts_new_content' AS name,
+        SELECT 'validity' AS dimension, 'share_of_texts_accepted_once' AS name,
                avg(CAST(n_accepted = 1 AS INT)) AS measured, 1.0 AS threshold, '' AS detail,
                true AS higher_is_better FROM copies
-        UNION ALL SELECT 'validity', 'intake_rejects_duplicate_content',
+        UNION ALL SELECT 'validity', 'share_of_repeated_texts_with_one_in',
                avg(CAST(n_duplicate = n - 1 AS INT)), 1.0, '', true FROM copies WHERE n > 1
-        UNION ALL SELECT 'validity', 'intake_rejects_malformed_upload',
+        UNION ALL SELECT 'validity', 'share_of_short_uploads_rejected',
                avg(CAST(status = 'rejected' AS INT)), 1.0, '', true
                FROM gated WHERE strlen(text) < 20
-        UNION ALL SELECT 'validity', 'schema_rejects_out_of_region_coordinates',
+        UNION ALL SELECT 'validity', 'share_of_outside_latitudes_invalid',
                avg(CAST(NOT valid AS INT)), 1.0, '', true FROM checked WHERE NOT lat_ok
-        UNION ALL SELECT 'correctness', 'gate_fails_gracefully_not_silently',
+        UNION ALL SELECT 'correctness', 'share_of_failures_after_all_attempts',
                avg(CAST(attempts = 2 AS INT)), 1.0, '', true
                FROM outcomes WHERE status = 'failed'
-        UNION ALL SELECT 'correctness', 'field_level_precision', field_level_precision, 0.99, '',
+        UNION ALL SELECT 'correctness', 'share_of_fields_as_labelled', field_level_precision, 0.99, '',
                true FROM summary
-        UNION ALL SELECT 'consistency', 'resolution_merges_same_site', max(n_reports), 2.0,
+        UNION ALL SELECT 'consistency', 'reports_of_the_largest_site', max(n_reports), 2.0,
                'reports of the most reported site', true FROM occurrences
-        UNION ALL SELECT 'completeness', 'every_upload_has_a_status',
+        UNION ALL SELECT 'completeness', 'share_of_uploads_with_a_verdict',
                avg(CAST(status IS NOT NULL AS INT)), 1.0, '', true FROM gated
         UNION ALL SELECT 'completeness', 'reports_lost_to_failed_extraction',
                round(avg(CAST(status = 'failed' AS INT)), 6), 0.25, '', false FROM outcomes""",

@@ -56,10 +56,21 @@ def runs(lengths: np.ndarray) -> np.ndarray:
     return np.arange(ends[-1] if len(ends) else 0) - np.repeat(ends - lengths, lengths)
 
 
+#: Rows of an Arrow batch that become Python objects at once.
+SLICE_ROWS = 256
+
+
+def sliced(batches: Iterator) -> Iterator:
+    """Arrow batches in slices of few rows, so that a batch isn't held twice."""
+    for batch in batches:
+        for start in range(0, batch.num_rows, SLICE_ROWS):
+            yield batch.slice(start, SLICE_ROWS)
+
+
 def rows_in_blocks(batches: Iterator, size_of, limit: int) -> Iterator[list]:
     """Rows of Arrow batches in lists whose sizes add up to ``limit`` at most, or one row."""
     block, total = [], 0
-    for batch in batches:
+    for batch in sliced(batches):
         for row in zip(*(column.to_pylist() for column in batch.columns)):
             size = size_of(row)
             if block and total + size > limit:

@@ -23,7 +23,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from docfacts.llm.common import mix, power_of_two, rows_in_blocks, runs
+from docfacts.llm.common import mix, power_of_two, rows_in_blocks, runs, sliced
 
 Q = 8
 EDIT_RATE = 0.08
@@ -170,16 +170,10 @@ def _search(shared):
 def _drop(shared, at: int):
     def drop(batches):
         items = Items(shared.value)
-        for batch in batches:
-            texts, start = batch.column(at).to_pylist(), 0
-            keep = np.ones(len(texts), bool)
-            while start < len(texts):
-                stop, chars = start, 0
-                while stop < len(texts) and (stop == start or chars + len(texts[stop] or "") <= _TEXT_CHARS):
-                    chars, stop = chars + len(texts[stop] or ""), stop + 1
-                for t, *_ in _in(items, texts[start:stop]):
-                    keep[start + t] = False
-                start = stop
+        for batch in sliced(batches):
+            keep = np.ones(batch.num_rows, bool)
+            for t, *_ in _in(items, batch.column(at).to_pylist()):
+                keep[t] = False
             yield batch.filter(pa.array(keep))
 
     return drop

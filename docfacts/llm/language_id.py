@@ -28,7 +28,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from docfacts.llm.common import mix, rows_in_blocks
+from docfacts.llm.common import mix, rows_in_blocks, sliced
 
 ORDERS = (2, 3, 4)
 BUCKETS = 2**16
@@ -43,7 +43,7 @@ REJECT_LIMIT = 0.35
 UNKNOWN = "und"
 
 _OTHER = re.compile(r"[\W\d_]+")
-_BLOCK_CHARS = 4_000_000
+_BLOCK_CHARS = 1_500_000
 
 
 def subwords(words: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
@@ -76,7 +76,7 @@ def letters(text: str | None) -> list[bytes]:
 
 def _features(batches):
     """Texts to their distinct buckets and how often each occurs."""
-    for batch in batches:
+    for batch in sliced(batches):
         found = []
         for text in batch.column(0).to_pylist():
             _, bucket = subwords(letters(text))
@@ -219,14 +219,7 @@ def accepted(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", la
     at = docs.columns.index(text_col)
 
     def accept(batches):
-        for batch in batches:
-            texts, start, out = batch.column(at).to_pylist(), 0, []
-            while start < len(texts):
-                stop, chars = start, 0
-                while stop < len(texts) and (stop == start or chars + len(texts[stop] or "") <= _BLOCK_CHARS):
-                    chars, stop = chars + len(texts[stop] or ""), stop + 1
-                out.append(predict(shared.value, texts[start:stop])[2])
-                start = stop
-            yield batch.filter(pa.array(~np.concatenate(out))) if out else batch
+        for batch in sliced(batches):
+            yield batch.filter(pa.array(~predict(shared.value, batch.column(at).to_pylist())[2]))
 
     return docs.mapInArrow(accept, docs.schema)

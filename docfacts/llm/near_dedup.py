@@ -52,7 +52,7 @@ _EXPECTED = SIMILAR + (1 - SIMILAR) * _CHANCE
 #: A share of equal registers below this, four standard deviations, is not followed up.
 LEAST_EQUAL = _EXPECTED - 4 * (_EXPECTED * (1 - _EXPECTED) / (FINE_BANDS * FINE_ROWS)) ** 0.5
 
-_BLOCK_CHARS = 2_000_000
+_BLOCK_CHARS = 1_000_000
 _HASH_BITS = 44
 _SPREAD = np.array([0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93, 0xA0761D6478BD642F], np.uint64)
 

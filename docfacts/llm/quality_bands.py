@@ -27,7 +27,7 @@ import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from docfacts.llm.common import mix, utf8
+from docfacts.llm.common import mix, sliced, utf8
 
 LEVEL = 3
 CHUNK = 4096
@@ -94,7 +94,7 @@ def within(size: int, ratio: float, bad_chunks: float) -> bool:
 
 def _measure(batches):
     compressor, drop = zstandard.ZstdCompressor(level=LEVEL), re.compile(rb"[\x80-\xBF]+")
-    for batch in batches:
+    for batch in sliced(batches):
         out = []
         for doc_id, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
             data = utf8(text)

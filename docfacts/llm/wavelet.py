@@ -13,7 +13,8 @@ A byte-level tokenizer encodes each match of its pattern on its own, and no matc
 across the start of a run of white space. So a text is cut there, a piece that is new to a
 bounded cache is cut into its matches, and those go to the byte-pair model of the
 tokenizers library; the ids are those of the whole text. Tokenizers of another kind get
-whole texts. The cache stays with the worker process from task to task.
+whole texts. From task to task the worker process keeps the pieces it met first, which
+are the most frequent.
 
 Nulls: a null text is empty (its one token is the end); null ids come last. Rows with one
 id are ordered by a hash of their text. Empty table: no rows.
@@ -28,7 +29,7 @@ import re
 import zlib
 from collections.abc import Iterator
 from functools import lru_cache
-from itertools import chain
+from itertools import chain, islice
 
 import numpy as np
 import pyarrow as pa
@@ -37,13 +38,14 @@ import zstandard
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from docfacts.llm.common import runs
+from docfacts.llm.common import runs, sliced
 
 END_ID = 2
 SHARD_TOKENS = 2**20
 PARTITION_BYTES = 32_000_000
 STEP = 512
-CACHE_PIECES = 1_000_000
+CACHE_PIECES = 600_000
+KEPT_PIECES = 150_000
 
 # Fixed value: the white space of the tokenizer's pattern.
 _SPACE = r"\t-\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
@@ -189,12 +191,17 @@ class PieceEncoder:
         before = told.get("pre_tokenizer") or {}
         self.by_pieces = told.get("normalizer") is None and before.get("type") == "ByteLevel" and before.get("use_regex") and not before.get("add_prefix_space")
         self.letters = _byte_letters()
-        self._clear()
-
-    def _clear(self) -> None:
         self.known, self.matches = _Numbers(), {}
         self.flat, self.lens, self.offsets = np.zeros(0, np.uint32), np.zeros(0, np.int64), np.zeros(0, np.int64)
 
+    def trim(self, kept: int = KEPT_PIECES) -> None:
+        """Forget all but the pieces that came first."""
+        first = _Numbers()
+        first.update(islice(self.known.items(), kept))
+        self.known, self.matches = first, {}
+        self.lens, self.offsets = self.lens[:kept].copy(), self.offsets[:kept].copy()
+        self.flat = self.flat[: int(self.lens.sum())].copy()
+
     def _ids(self, match: str) -> list[int]:
         ids = self.matches.get(match)
         if ids is None:
@@ -223,7 +230,7 @@ class PieceEncoder:
         if not self.by_pieces:
             return [np.array(x.ids, np.uint32) for x in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
         if len(self.known) > CACHE_PIECES:
-            self._clear()
+            self.trim()
         collects = gc.isenabled()
         gc.disable()  # nothing here refers in circles, and looking for it takes a tenth of the time
         try:
@@ -266,7 +273,7 @@ def _encode(tokenizer: str):
     def encoded(batches) -> Iterator[tuple[int, np.ndarray]]:
         encoder = _encoder(tokenizer)
         end = np.array([END_ID], np.uint32)
-        for batch in batches:
+        for batch in sliced(batches):
             doc_ids, texts = batch.column(0).to_pylist(), [t or "" for t in batch.column(1).to_pylist()]
             start = 0
             while start < len(texts):  # some texts at a time, so that long ones don't add up
@@ -276,6 +283,7 @@ def _encode(tokenizer: str):
                 for doc_id, ids in zip(doc_ids[start:stop], encoder.encode(texts[start:stop])):
                     yield doc_id, np.concatenate([ids.astype(np.uint32), end])
                 start = stop
+        encoder.trim()
 
     def encode(batches):
         from pyspark import TaskContext

@@ -35,6 +35,8 @@ QUERIES: dict[str, Query] = {}
 # Words counted for the exact retrieval query, and the counts searched for.
 COUNTED_WORDS = ("the", "que", "der", "la")
 WANTED_COUNTS = [3.0, 3.0, 3.0, 3.0]
+# Batches of the stream queries.
+MICRO_BATCHES = 4
 
 
 def query(function: Query) -> Query:
@@ -109,14 +111,24 @@ def accepted_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return intake.accepted_documents(intake.gate(_uploads(spark, sf_dir), "doc_id"))
 
 
+def _arriving(rows: DataFrame, by: F.Column) -> DataFrame:
+    """``rows`` as a stream of ``MICRO_BATCHES`` batches in the order of ``by``, a whole number.
+
+    The parts are written one after another, and every trigger takes the next.
+    """
+    spark = rows.sparkSession
+    path = scratch_dir(spark, "arriving")
+    low, high = rows.agg(F.min(by), F.max(by)).first()
+    width = (high - low) // MICRO_BATCHES + 1
+    for number in range(MICRO_BATCHES):
+        part = rows.filter(F.floor((by - low) / width) == number)
+        part.coalesce(1).write.mode("append").parquet(path)
+    return spark.readStream.schema(rows.schema).option("maxFilesPerTrigger", 1).parquet(path)
+
+
 def _document_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
-    schema = table(spark, sf_dir, "documents").schema
-    return (
-        spark.readStream.schema(schema)
-        .option("pathGlobFilter", "documents.parquet")
-        .parquet(sf_dir)
-        .withColumn("report_id", F.col("doc_id").cast("string"))
-    )
+    arriving = _arriving(table(spark, sf_dir, "documents"), F.col("doc_id"))
+    return arriving.withColumn("report_id", F.col("doc_id").cast("string"))
 
 
 @query
@@ -384,13 +396,9 @@ def attempt_admission(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _event_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
-    schema = table(spark, sf_dir, "events").schema
-    return (
-        spark.readStream.schema(schema)
-        .option("pathGlobFilter", "events.parquet")
-        .parquet(sf_dir)
-        .select("event_id", "ts", F.col("user_id").cast("string").alias("report_id"))
-    )
+    events = table(spark, sf_dir, "events")
+    arriving = _arriving(events, F.unix_micros(F.col("ts").cast("timestamp")))
+    return arriving.select("event_id", "ts", F.col("user_id").cast("string").alias("report_id"))
 
 
 @query
@@ -437,12 +445,7 @@ def extraction_upsert(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def extraction_upsert_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     work = scratch_dir(spark, "extraction-upsert")
-    orders = table(spark, sf_dir, "orders")
-    stream = (
-        spark.readStream.schema(orders.schema)
-        .option("pathGlobFilter", "orders.parquet")
-        .parquet(sf_dir)
-    )
+    stream = _arriving(table(spark, sf_dir, "orders"), F.col("o_orderkey"))
     written = derived.records(stream).withColumn(
         "report_id", F.concat(F.lit("CUST-"), F.col("c").cast("string"))
     )

@@ -49,6 +49,7 @@ def records(orders: DataFrame) -> DataFrame:
 
 def _report_text() -> Column:
     """The facts stated in sentences."""
+    # The wording of a report.
     return F.concat(
         F.lit("GEOLOGICAL SURVEY REPORT "),
         F.col("report_id"),

@@ -8,7 +8,14 @@ from __future__ import annotations
 
 import re
 
-from docfacts.functions.text import HINT_END, HINT_START, PROMPT_FOOTER, PROMPT_HEADER
+# The wording sent to a provider, stated apart from the code under test.
+PROMPT_HEADER = (
+    "Extract the following fields from this geological survey report as a single JSON object "
+    "with keys exactly: mineral, depth_m, lat, lon, grade_g_t, hole_id.\n"
+)
+PROMPT_FOOTER = "\n\nReturn only the JSON object, nothing else."
+HINT_START = "A previous extraction attempt failed validation: "
+HINT_END = ". Be precise about field types and value ranges."
 
 _FIELDS = ("mineral", "depth_m", "lat", "lon", "grade_g_t", "hole_id")
 _NUMBERS = ("depth_m", "lat", "lon", "grade_g_t")

@@ -41,18 +41,6 @@ LABELLED_REPORT = _struct(
     ),
 )
 
-CHUNK = _struct(
-    ("id", T.StringType()),
-    ("text", T.StringType()),
-    ("metadata", _struct(("report_id", T.StringType()), ("chunk_index", T.IntegerType()))),
-)
-
-VECTOR = _struct(
-    ("id", T.StringType()),
-    ("embedding", T.ArrayType(T.DoubleType())),
-    ("metadata", _struct(("report_id", T.StringType()), ("chunk_index", T.IntegerType()))),
-)
-
 # A stored extraction keeps every value in a one-entry wrapper naming its type.
 _S = _struct(("S", T.StringType()))
 _N = _struct(("N", T.StringType()))

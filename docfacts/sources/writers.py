@@ -40,11 +40,6 @@ def write_occurrences(records: DataFrame, path: str) -> None:
     _served(facts_of(written), f"{path}/occurrences")
 
 
-def write_documents(documents: DataFrame, path: str) -> None:
-    """Accepted texts as Parquet, many documents per file."""
-    documents.write.mode("overwrite").parquet(path)
-
-
 def append_registry(new_hashes: DataFrame, path: str) -> None:
     new_hashes.write.mode("append").parquet(path)
 

@@ -253,4 +253,13 @@ def test_pipeline_stages(spark, sf_dir, tmp_path):
         if k < 4:
             assert docs.columns == names and 0 < docs.count()
     assert docs.count() == before.count()
-    assert QUERIES and corpus_pipeline.run(spark, sf_dir).count() == docs.count()
+
+
+def test_pipeline_runs_its_stages_in_a_row(spark, sf_dir, monkeypatch):
+    stages = [("few", lambda _, docs, __: docs.filter("doc_id < 5")), ("ids", lambda _, docs, __: docs.select("doc_id"))]
+    monkeypatch.setattr(corpus_pipeline, "STAGES", stages)
+    assert sorted(r.doc_id for r in corpus_pipeline.run(spark, sf_dir).collect()) == [0, 1, 2, 3, 4]
+
+
+def test_ten_operators_are_registered():
+    assert [int(name[2:].split("_")[0]) for name in QUERIES] == list(range(1, 11))

@@ -271,7 +271,8 @@ def labelled(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") ->
 
     wanted = spokes.select("content").distinct()
     marked = saved(nodes.select("content", "mark").join(wanted, "content", "left_semi"), "marked")
-    texts = source.select("mark", "text").join(marked.select("mark", "content"), "mark").dropDuplicates(["content"])
+    # the same plan at every size: few nodes would else be broadcast on small tables only
+    texts = source.select("mark", "text").join(marked.select("mark", "content").hint("merge"), "mark").dropDuplicates(["content"])
     shingled = saved(texts.select("content", "text").mapInArrow(_shingled, "content long, shingles binary, weights binary"), "shingled")
 
     def compared(pairs: DataFrame) -> DataFrame:

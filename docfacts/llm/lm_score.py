@@ -8,13 +8,12 @@ follows the corpus.
 
 An n-gram with count c enters the filter as (n-gram, 1) ... (n-gram, q) with
 q = 1 + floor(log_b c); a reader probes level after level until one is absent. The
-filter is cut into one slice for each hash range, built where the range is counted.
+filter is cut into one slice for each hash range, built where the range is counted, with
+``BITS_PER_ENTRY`` bits for each of its entries. So every n-gram of the corpus is in it,
+and absent ones are taken for present as rarely in a large corpus as in a small one.
 
-Its size is the smallest power of two that gives ``BITS_PER_TOKEN`` bits to each token,
-and ``MAX_BITS`` at most, which bounds the broadcast. Each slice keeps at least
-``BITS_PER_ENTRY`` bits an entry: it takes n-grams from the lowest quantised count that
-fits (1 unless the corpus is far larger than the filter); rarer ones read as unseen and
-the model backs off. All counts are gathered over the whole corpus in any case.
+No task holds more than one slice: the range's n-grams of all blocks, those of held-out
+documents too, are probed where the slice is, and the levels go back to their blocks.
 
 Score of a text: runs of ``RUN`` tokens each take the mixture of two experts, the unigram
 model and a bigram model smoothed towards it, so text like the corpus profits from
@@ -41,9 +40,7 @@ from docfacts.llm.common import (
 from docfacts.session import scratch_dir
 
 LOG_BASE = 1.5
-BITS_PER_TOKEN = 8
-BITS_PER_ENTRY = 4
-MAX_BITS = 2**29
+BITS_PER_ENTRY = 12
 PROBES = 3
 BLOCK_BYTES = 4_000_000
 RANGE_BYTES = 8_000_000
@@ -53,7 +50,9 @@ PRIOR = 1.0
 ALPHA = 0.1
 
 _END = b" "  # no word has a space, so the end can't meet one
+_END_HASH = np.uint64(xxhash.xxh3_64_intdigest(_END))
 _KEY_BITS = 48
+_MOST_LEVELS = 1 + int(np.log(2.0**63) / np.log(LOG_BASE))  # so a full slice ends a reader too
 _BLOCKS = "block long, ids array<long>, held binary, lens binary, seq binary, words binary"
 _COUNTED = "block long, range int, keys binary, counts binary"
 _SCORES = (
@@ -86,17 +85,13 @@ def _positions(keys: np.ndarray, levels: np.ndarray, probe: int, bits: int, rang
     """Bit of the whole filter: the key's slice, and a place in it by level and probe."""
     own = bits // ranges
     spread = mix(keys * np.uint64(0x2545F4914F6CDD1D) + levels.astype(np.uint64) * np.uint64(PROBES) + np.uint64(probe))
-    return (keys >> np.uint64(_KEY_BITS - ranges.bit_length() + 1)) * np.uint64(own) + (spread & np.uint64(own - 1))
+    return (keys >> np.uint64(_KEY_BITS - ranges.bit_length() + 1)) * np.uint64(own) + spread % np.uint64(own)
 
 
 def filter_slice(keys: np.ndarray, counts: np.ndarray, range_id: int, bits: int, ranges: int) -> bytes:
-    """The slice of the filter for one hash range."""
+    """The slice of the filter for one hash range; n-grams of count 0 have no entry."""
     own = bits // ranges
     levels = level(counts)
-    least = 1
-    while levels[levels >= least].sum() * BITS_PER_ENTRY > own:
-        least += 1
-    keys, levels = keys[levels >= least], levels[levels >= least]
     flags = np.zeros(own, np.uint8)
     for j in range(1, int(levels.max(initial=0)) + 1):
         here = keys[levels >= j]
@@ -105,14 +100,15 @@ def filter_slice(keys: np.ndarray, counts: np.ndarray, range_id: int, bits: int,
     return np.packbits(flags).tobytes()
 
 
-def probe_levels(table: np.ndarray, keys: np.ndarray, bits: int, ranges: int) -> np.ndarray:
-    """Quantised counts by probing level after level until one is absent."""
+def probe_levels(table: np.ndarray, keys: np.ndarray, bits: int, ranges: int, first: int = 0) -> np.ndarray:
+    """Quantised counts by probing level after level until one is absent; ``table`` begins with the slice ``first``."""
+    skipped = np.uint64(first * (bits // ranges))
     found = np.zeros(len(keys), np.int64)
     alive = np.arange(len(keys))
     j = 1
-    while len(alive):
+    while len(alive) and j <= _MOST_LEVELS:
         for probe in range(PROBES):
-            at = _positions(keys[alive], np.full(len(alive), j), probe, bits, ranges)
+            at = _positions(keys[alive], np.full(len(alive), j), probe, bits, ranges) - skipped
             alive = alive[(table[at >> np.uint64(3)] >> (np.uint64(7) - (at & np.uint64(7))).astype(np.uint8)) & 1 == 1]
         found[alive] = j
         j += 1
@@ -169,15 +165,18 @@ class _Block:
         train = np.repeat(~self.held, self.lens)
         return self.words, np.bincount(self.seq[train], minlength=len(self.words))
 
+    def grams(self, history: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Keys of the words and distinct bigrams, what sorts them, and each token's place among the bigrams."""
+        grams, place = np.unique(bigram_keys(history, self.words[self.seq]), return_inverse=True)
+        keys = np.concatenate([unigram_keys(self.words), grams])
+        return keys, np.argsort(keys, kind="stable"), place
+
     def gram_counts(self) -> tuple[np.ndarray, np.ndarray]:
+        keys, by, place = self.grams(self.before(self.words, _END_HASH))
         train = np.repeat(~self.held, self.lens)
-        history = self.before(self.words, np.uint64(xxhash.xxh3_64_intdigest(_END)))
-        grams, times = np.unique(bigram_keys(history[train], self.words[self.seq[train]]), return_counts=True)
         _, counts = self.word_counts()
-        seen = counts > 0
-        keys, times = np.concatenate([unigram_keys(self.words[seen]), grams]), np.concatenate([counts[seen], times])
-        by = np.argsort(keys, kind="stable")
-        return keys[by], times[by]
+        counts = np.concatenate([counts, np.bincount(place[train], minlength=len(keys) - len(counts))])
+        return keys[by], counts[by]
 
 
 def _counted(what: str, key_bits: int, ranges: int):
@@ -226,36 +225,47 @@ def _count_words(part: pa.Table) -> pa.Table:
     })
 
 
-def _build(bits: int, ranges: int):
-    def build(part: pa.Table) -> pa.Table:
-        _, keys, _, totals = _merged(part)
+def _level_grams(ranges: int):
+    def levels(part: pa.Table) -> pa.Table:
+        """For each block of one hash range, the levels of its n-grams by the range's slice of the filter."""
+        own, keys, place, totals = _merged(part)
         i = part["range"][0].as_py()
-        return pa.table({"range": pa.array([i], pa.int32()), "bits": pa.array([filter_slice(keys, totals, i, bits, ranges)], pa.binary())})
+        bits = ranges * max(64, -(-int(level(totals).sum()) * BITS_PER_ENTRY // 8) * 8)
+        table = np.frombuffer(filter_slice(keys, totals, i, bits, ranges), np.uint8)
+        found = probe_levels(table, keys, bits, ranges, i).astype(np.uint8)
+        at = np.cumsum([0, *map(len, own)])
+        return pa.table({
+            "block": part["block"], "range": part["range"],
+            "levels": pa.array([pack(found[place[a:b]]) for a, b in zip(at, at[1:])], pa.binary()),
+        })
+
+    return levels
 
-    return build
 
+def _in_order(answers: list[dict], name: str, dtype) -> np.ndarray:
+    """A block's answers, one for each hash range, as one array."""
+    return np.concatenate([unpack(a[name], dtype) for a in sorted(answers, key=lambda a: a["range"])]).astype(np.int64)
 
-def _score(shared, bits: int, ranges: int, tokens: int, distinct: int, estimated: float):
+
+def _score(tokens: int, distinct: int, estimated: float):
     floor = tokens + ALPHA * (distinct + 1)
     spread = estimated + ALPHA * (distinct + 1)
 
     def score(batches):
-        table = np.frombuffer(shared.value, np.uint8)
         schema = pa.schema([("doc_id", pa.int64()), ("held_out", pa.bool_()), ("n_tokens", pa.int64()), ("n_known", pa.int64()), ("train_tokens", pa.int64()), ("base_score", pa.float64()), ("score", pa.float64())])
-        end = np.array([xxhash.xxh3_64_intdigest(_END)], np.uint64)
-        end_count = estimate(probe_levels(table, unigram_keys(end), bits, ranges))[0]
         for batch in batches:
-            for ids, held, lens, seq, words, answers in zip(*(c.to_pylist() for c in batch.columns)):
+            for ids, held, lens, seq, words, answers, levels in zip(*(c.to_pylist() for c in batch.columns)):
                 own = _Block(held, lens, seq, words)
                 lens, words, seq, starts = own.lens, own.words, own.seq, own.starts
-                counts = np.concatenate([unpack(a["counts"], np.uint64) for a in sorted(answers, key=lambda a: a["range"])]).astype(np.int64)
+                counts = _in_order(answers, "counts", np.uint64)
                 base = np.add.reduceat(np.log10((counts + ALPHA) / floor)[seq], starts)
                 known = np.add.reduceat((counts > 0)[seq].astype(np.int64), starts)
-                one = estimate(probe_levels(table, unigram_keys(words), bits, ranges))
+                _, by, place = own.grams(own.before(words, _END_HASH))
+                grams = np.empty(len(by))
+                grams[by] = estimate(_in_order(levels, "levels", np.uint8))
+                one, two = grams[: len(words)], grams[len(words) :][place]
                 single = ((one + ALPHA) / spread)[seq]
-                history, history_count = own.before(words, end[0]), own.before(one, end_count)
-                grams, place = np.unique(bigram_keys(history, words[seq]), return_inverse=True)
-                two = estimate(probe_levels(table, grams, bits, ranges))[place]
+                history_count = own.before(one, one[np.searchsorted(words, _END_HASH)])  # each text has its end
                 two = np.minimum(two, np.minimum(history_count, one[seq]))  # no pair is more frequent than its words
                 double = (two + PRIOR * single) / (history_count + PRIOR)
                 n_runs = -(-lens // RUN)
@@ -293,18 +303,13 @@ def score(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Da
     ).write.parquet(f"{folder}/answers")
     answers = spark.read.parquet(f"{folder}/answers")
     tokens, distinct, estimated = answers.agg(F.sum("tokens"), F.sum("distinct"), F.sum("estimated")).first()
-    bits = max(64 * ranges, min(MAX_BITS, power_of_two(BITS_PER_TOKEN * max(tokens, 1))))
-    slices = (
-        packed.mapInArrow(_counted("gram_counts", _KEY_BITS, ranges), _COUNTED)
-        .groupBy("range").applyInArrow(_build(bits, ranges), "range int, bits binary")
-    )
-    slices.write.parquet(f"{folder}/slices")
-    whole, own = bytearray(bits // 8), bits // 8 // ranges
-    for i, part in spark.read.parquet(f"{folder}/slices").toLocalIterator():  # a few slices at a time
-        whole[i * own : (i + 1) * own] = part
-    shared = spark.sparkContext.broadcast(whole)
+    packed.mapInArrow(_counted("gram_counts", _KEY_BITS, ranges), _COUNTED).groupBy("range").applyInArrow(
+        _level_grams(ranges), "block long, range int, levels binary"
+    ).write.parquet(f"{folder}/levels")
+    levels = spark.read.parquet(f"{folder}/levels")
     known = answers.groupBy("block").agg(F.collect_list(F.struct("range", "counts")).alias("answers"))
+    known = known.join(levels.groupBy("block").agg(F.collect_list(F.struct("range", "levels")).alias("levels")), "block")
     return (
-        blocks.join(known, "block").select("ids", "held", "lens", "seq", "words", "answers")
-        .mapInArrow(_score(shared, bits, ranges, tokens, distinct, estimated), _SCORES)
+        blocks.join(known, "block").select("ids", "held", "lens", "seq", "words", "answers", "levels")
+        .mapInArrow(_score(tokens, distinct, estimated), _SCORES)
     )

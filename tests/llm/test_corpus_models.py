@@ -56,6 +56,48 @@ def test_filter_keeps_every_count():
     assert (absent == 0).mean() > 0.5
 
 
+def test_filter_drops_no_count():
+    """Rare n-grams stay in a slice that has few bits for them."""
+    keys = np.unique(mix(np.arange(5000)) >> np.uint64(17))
+    counts = np.arange(len(keys)) % 3 + 1
+    table = np.frombuffer(lm_score.filter_slice(keys, counts, 0, 2**12, 2), np.uint8)
+    assert (lm_score.probe_levels(table, keys, 2**12, 2) >= lm_score.level(counts)).all()
+
+
+def exact_scores(given):
+    """The model's scores by exact quantised counts."""
+    tokens = [(i, [w.encode().lower() for w in words(t)] + [None]) for i, t in given]
+    one, two = collections.Counter(), collections.Counter()
+    for i, ws in tokens:
+        if not held(i, 10, 0):
+            one.update(ws)
+            two.update(zip([None, *ws], ws))
+    quantised = lambda c: float(lm_score.estimate(lm_score.level(np.array([c])))[0])
+    one, two = ({k: quantised(c) for k, c in counts.items()} for counts in (one, two))
+    spread = sum(one.values()) + 0.1 * (len(one) + 1)
+    for i, ws in tokens:
+        pairs = list(zip([None, *ws], ws))
+        single = [math.log10((one.get(w, 0) + 0.1) / spread) for w in ws]
+        double = [
+            math.log10((min(two.get((h, w), 0), one.get(h, 0), one.get(w, 0)) + 10**p) / (one.get(h, 0) + 1))
+            for (h, w), p in zip(pairs, single)
+        ]
+        ends = range(0, len(ws), 16)
+        yield i, len(ws), sum(np.log10(0.9 * 10.0 ** sum(single[k : k + 16]) + 0.1 * 10.0 ** sum(double[k : k + 16])) for k in ends)
+
+
+def test_scores_are_those_of_exact_counts_at_any_size(spark, sf_dir, monkeypatch):
+    """Neither a limit of the filter nor the number of its slices changes what the model knows."""
+    monkeypatch.setattr(lm_score, "MAX_BITS", 2**14, raising=False)
+    monkeypatch.setattr(lm_score, "RANGE_BYTES", 50_000)
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text").filter("length(text) < 20000")
+    found = {r.doc_id: r.score for r in lm_score.score(docs).collect()}
+    want = list(exact_scores([tuple(r) for r in docs.collect()]))
+    assert len(found) == len(want)
+    off = [abs(found[i] - s) / n for i, n, s in want]
+    assert max(off) < 0.2 and sum(off) / len(off) < 0.01
+
+
 @pytest.mark.parametrize("some", [rows(), []])
 def test_scores_of_odd_rows(spark, some):
     found = lm_score.score(frame(spark, some)).collect()

@@ -1,11 +1,13 @@
 """Language-model scores, language ID, quality rules, mixing and token files on odd rows and by brute force."""
 
+import base64
 import collections
 import math
 import zlib
 
 import numpy as np
 import pytest
+import zstandard
 
 import corpus_pipeline
 from docfacts.llm import html_text, language_id, lm_score, mixing, quality_bands, wavelet
@@ -159,6 +161,31 @@ def test_compression_bands(spark):
     assert {r.doc_id: r.kept for r in found} == {1: False, 2: True, 3: False}
 
 
+def test_base64_of_each_length_is_rejected(spark):
+    rng = np.random.default_rng(3)
+
+    def base64_lines(n, width=76):
+        data = base64.b64encode(rng.bytes(n)).decode()
+        return "\n".join(data[i : i + width] for i in range(0, len(data), width))[:n]
+
+    def varied(n):
+        return " ".join("".join(rng.choice(list("etaoinshrdlu"), rng.integers(2, 9))) for _ in range(n // 3))[:n]
+
+    compressor = zstandard.ZstdCompressor(level=quality_bands.LEVEL)
+    for n in (256, 400, 511, 512, 800, 1023, 1024, 1600, 4095, 4096, 9000, 40_000):
+        for text, good in ((base64_lines(n), False), (varied(n), True)):
+            assert quality_bands.within(n, *quality_bands.compression(text.encode(), compressor)) == good, (n, good)
+    sizes = (1600, 2500, 3500, 4090, 6000, 20_000)
+    texts = [base64_lines(n) for n in sizes]
+    texts.append(varied(8000) + "\n" + base64_lines(12_000))
+    texts.append(base64_lines(4096)[:4095] + "\n" + varied(4096) + base64_lines(3000))  # the last chunk tips it
+    texts += [varied(n) for n in sizes]
+    found = {r.doc_id: r for r in quality_bands.measure(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")).collect()}
+    assert not any(r.base_failed for r in found.values())
+    assert [found[i].kept for i in range(len(texts))] == [False] * (len(sizes) + 2) + [True] * len(sizes)
+    assert found[len(sizes) + 1].bad_chunks == pytest.approx(7096 / 11192)
+
+
 def water_filled(sizes, weights):
     total, full = sum(sizes), set()
     while True:

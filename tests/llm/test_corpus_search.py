@@ -246,6 +246,20 @@ def test_lines_by_brute_force(spark, sf_dir, monkeypatch, rare):
     assert all(r.n_lines == given[r.doc_id].count("\n") + 1 for r in found) and sum(r.n_deleted for r in found) > 0
 
 
+def test_a_frequent_passage_of_short_lines(spark, monkeypatch):
+    """It goes from all later documents however many share it, also where its lines differ in length."""
+    monkeypatch.setattr(line_dedup, "RARE", 5)
+    monkeypatch.setattr(line_dedup, "RUNS_FROM", 5, raising=False)
+    even = [prose(100 + i, 7) for i in range(8)]
+    mixed = [prose(200, 5), prose(201, 3), "", prose(202, 12), prose(203, 4), prose(204, 2)]
+    few = [prose(300, 4), prose(301, 4)]
+    given = [(i, "\n".join([prose(10_000 + i, 9), *even, prose(20_000 + i, 9), *mixed, prose(30_000 + i, 9), *few])) for i in range(9)]
+    found = {r.doc_id: r.text.split("\n") for r in line_dedup.deduplicate(spark.createDataFrame(given, "doc_id long, text string")).collect()}
+    assert found[0] == given[0][1].split("\n")
+    for i in range(1, 9):
+        assert found[i] == [prose(10_000 + i, 9), prose(20_000 + i, 9), "", prose(30_000 + i, 9), *few]
+
+
 def test_lines_of_odd_rows(spark):
     found = line_dedup.deduplicate(frame(spark)).collect()
     assert len(found) == len(rows())

@@ -1,9 +1,13 @@
 """Cross-document resolution of records to occurrences, and the queries on them.
 
-Spark plan: counts and means of a site use partial aggregates, so a site reported by a
+Spark plan: counts and sums of a site use partial aggregates, so a site reported by a
 third of all records costs one row per map task. Which reports a site rests on is a table
 of its own, ``links``: a projection of the records without aggregate or shuffle, which
 holds every id of every site, whatever its size.
+
+Means don't depend on how rows are split or ordered: measures are added up as decimals,
+which is exact, and sum and count stay apart until the end (``totals``), so that the totals
+of several runs can be merged as well. A mean is the exact quotient as the nearest double.
 """
 
 from __future__ import annotations
@@ -11,10 +15,11 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from docfacts.functions.numeric import round_scaled
+from docfacts.functions.numeric import exact_mean, exact_part, inexact_part, round_mean
 from docfacts.schemas import RECORD_FIELDS
 
 SITE = ["mineral", "lat_bucket", "lon_bucket"]
+MEASURES = ("depth_m", "grade_g_t")
 
 
 def with_site(records: DataFrame) -> DataFrame:
@@ -22,22 +27,43 @@ def with_site(records: DataFrame) -> DataFrame:
     return records.withColumns({"lat_bucket": F.round("lat", 2), "lon_bucket": F.round("lon", 2)})
 
 
-def _facts() -> list[Column]:
-    return [
-        F.count("*").alias("n_reports"),
-        F.avg("depth_m").alias("avg_depth_m"),
-        F.avg("grade_g_t").alias("avg_grade_g_t"),
+def totals(sited: DataFrame) -> DataFrame:
+    """Count of reports, and count and exact sum of each measure, of every site.
+
+    ``sited`` has its site columns already. Values a decimal can't hold (NaN, infinite or
+    of 10^15 and more) are added up apart, as doubles.
+    """
+    sums = [
+        column
+        for name in MEASURES
+        for column in (
+            F.count(name).alias(f"{name}_n"),
+            F.sum(exact_part(F.col(name))).alias(f"{name}_sum"),
+            F.sum(inexact_part(F.col(name))).alias(f"{name}_rest"),
+        )
     ]
+    return sited.groupBy(*SITE).agg(F.count("*").alias("n_reports"), *sums)
 
 
-def occurrences(records: DataFrame) -> DataFrame:
-    """One row per site: count, mean depth and mean grade. One scan, one shuffle of partial sums."""
-    return facts_of(with_site(records))
+def merged(parts: DataFrame) -> DataFrame:
+    """One row of totals per site from the totals of several runs, put one below another."""
+    kept = [name for name in parts.columns if name not in SITE]
+    return parts.groupBy(*SITE).agg(
+        *[F.sum(name).cast(parts.schema[name].dataType).alias(name) for name in kept]
+    )
 
 
-def facts_of(sited: DataFrame) -> DataFrame:
-    """The same for records that have their site already."""
-    return sited.groupBy(*SITE).agg(*_facts())
+def facts_of(site_totals: DataFrame) -> DataFrame:
+    """Occurrences from totals: count and the mean of each measure."""
+    means = [
+        exact_mean(F.col(f"{m}_sum"), F.col(f"{m}_rest"), F.col(f"{m}_n")).alias(f"avg_{m}") for m in MEASURES
+    ]
+    return site_totals.select(*SITE, "n_reports", *means)
+
+
+def occurrences(records: DataFrame) -> DataFrame:
+    """One row per site: count, mean depth and mean grade. One scan, one shuffle of partial sums."""
+    return facts_of(totals(with_site(records)))
 
 
 def links(records: DataFrame) -> DataFrame:
@@ -54,7 +80,10 @@ def stats(occ: DataFrame) -> DataFrame:
 
 
 def by_region(occ: DataFrame) -> DataFrame:
-    """Occurrences per mineral and whole-degree cell; means are unweighted over sites."""
+    """Occurrences per mineral and whole-degree cell; means are unweighted over sites.
+
+    Site means are added up to twelve decimals, exactly; see ``round_mean`` for ties.
+    """
     return (
         occ.groupBy(
             "mineral",
@@ -64,8 +93,7 @@ def by_region(occ: DataFrame) -> DataFrame:
         .agg(
             F.count("*").alias("n_occurrences"),
             F.sum("n_reports").alias("n_source_reports"),
-            round_scaled(F.avg("avg_depth_m"), 1).alias("avg_depth_m"),
-            round_scaled(F.avg("avg_grade_g_t"), 2).alias("avg_grade_g_t"),
+            *[round_mean(F.col(f"avg_{m}"), digits).alias(f"avg_{m}") for m, digits in zip(MEASURES, (1, 2))],
         )
         .orderBy(F.desc("n_occurrences"), "mineral", "region_lat", "region_lon")
     )

@@ -500,6 +500,20 @@ def occurrences_by_region(spark: SparkSession, sf_dir: str) -> DataFrame:
     return resolve.by_region(_occurrences(spark, sf_dir))
 
 
+@query
+def resolve_merged(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Each order priority is resolved by a run of its own, then their totals are merged."""
+    orders = table(spark, sf_dir, "orders")
+    names = [row[0] for row in orders.select("o_orderpriority").distinct().collect()]
+    path = scratch_dir(spark, "totals")
+    for number, name in enumerate(names):
+        run = orders.filter(F.col("o_orderpriority").eqNullSafe(F.lit(name)))
+        valid = validate.split(validate.check(derived.records(run)))[0]
+        resolve.totals(resolve.with_site(valid)).write.parquet(f"{path}/run={number}")
+    known = resolve.merged(spark.read.parquet(path).drop("run"))
+    return resolve.by_region(resolve.facts_of(known))
+
+
 @query
 def search_occurrences(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = resolve.search(_occurrences(spark, sf_dir), "Gold")
@@ -606,8 +620,7 @@ def survey_run(spark: SparkSession, sf_dir: str) -> DataFrame:
     readers.view(spark, f"{base}/served/occurrences", "docfacts_run")
     denied = spark.read.schema(log.schema).parquet(f"{base}/attempts").filter("NOT allowed").count()
     known = spark.read.schema(REGISTRY).parquet(f"{base}/registry").count()
-    # Counts only: a mean that lies on a rounding edge depends on the order of its terms.
-    regions = resolve.by_region(spark.table("docfacts_run")).drop("avg_depth_m", "avg_grade_g_t")
+    regions = resolve.by_region(spark.table("docfacts_run"))
     return regions.withColumns({"n_denied": F.lit(denied).cast("long"), "n_texts": F.lit(known).cast("long")})
 
 

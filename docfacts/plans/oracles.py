@@ -121,8 +121,18 @@ _BLOCKS = {
         SELECT *, round(lat, 2) AS lat_bucket, round(lon, 2) AS lon_bucket FROM valid""",
     "occurrences": """
         SELECT mineral, lat_bucket, lon_bucket, count(*) AS n_reports,
-               avg(depth_m) AS avg_depth_m, avg(grade_g_t) AS avg_grade_g_t
+               sum(CAST(depth_m AS DECIMAL(24, 9))) / count(*) AS avg_depth_m,
+               sum(CAST(grade_g_t AS DECIMAL(24, 9))) / count(*) AS avg_grade_g_t
         FROM sited GROUP BY ALL""",
+    # Site means added up exactly; quotients equal to nine decimals are one number.
+    "regions": """
+        SELECT mineral, round(lat_bucket, 0) AS region_lat, round(lon_bucket, 0) AS region_lon,
+               count(*) AS n_occurrences, CAST(sum(n_reports) AS BIGINT) AS n_source_reports,
+               round(CAST(CAST(sum(CAST(avg_depth_m AS DECIMAL(27, 12))) / count(*)
+                               AS DECIMAL(24, 9)) AS DOUBLE), 1) AS avg_depth_m,
+               round(CAST(CAST(sum(CAST(avg_grade_g_t AS DECIMAL(27, 12))) / count(*)
+                               AS DECIMAL(24, 9)) AS DOUBLE), 2) AS avg_grade_g_t
+        FROM occurrences GROUP BY ALL""",
     # Records with absent fields.
     "spoilt": """
             SELECT report_id, lat, lon, CASE WHEN k % 11 <> 0 THEN mineral END AS m,
@@ -441,18 +451,12 @@ _SELECTS = {
     "resolve_stats": """
         SELECT CAST(sum(n_reports) AS BIGINT) AS n_raw_records, count(*) AS n_resolved_occurrences
         FROM occurrences""",
-    "occurrences_by_region": """
-        SELECT mineral, round(lat_bucket, 0) AS region_lat, round(lon_bucket, 0) AS region_lon,
-               count(*) AS n_occurrences, CAST(sum(n_reports) AS BIGINT) AS n_source_reports,
-               round(avg(avg_depth_m), 1) AS avg_depth_m,
-               round(avg(avg_grade_g_t), 2) AS avg_grade_g_t
-        FROM occurrences GROUP BY ALL""",
+    "occurrences_by_region": "SELECT * FROM regions",
+    "resolve_merged": "SELECT * FROM regions",
     "survey_run": """
-        SELECT mineral, round(lat_bucket, 0) AS region_lat, round(lon_bucket, 0) AS region_lon,
-               count(*) AS n_occurrences, CAST(sum(n_reports) AS BIGINT) AS n_source_reports,
-               (SELECT count(*) FILTER (NOT valid) FROM checked) AS n_denied,
+        SELECT *, (SELECT count(*) FILTER (NOT valid) FROM checked) AS n_denied,
                (SELECT count(DISTINCT text) FROM reports) AS n_texts
-        FROM occurrences GROUP BY ALL""",
+        FROM regions""",
     "search_occurrences": f"{_SITES} WHERE mineral = 'Gold'",
     "search_all_occurrences": "SELECT mineral, lat_bucket, lon_bucket, n_reports FROM occurrences",
     "lookup_extraction": f"SELECT report_id, {_LIST} FROM valid WHERE report_id = 'RPT-5'",

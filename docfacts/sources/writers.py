@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from docfacts.operators import evaluate, quality
-from docfacts.operators.resolve import SITE, facts_of, with_site
+from docfacts.operators.resolve import SITE, facts_of, totals, with_site
 from docfacts.schemas import NUMBER_FIELDS, RECORD_FIELDS
 
 
@@ -37,7 +37,7 @@ def write_occurrences(records: DataFrame, path: str) -> None:
     sited = with_site(records).select(*SITE, "report_id", "depth_m", "grade_g_t")
     _served(sited, f"{path}/links")
     written = records.sparkSession.read.schema(sited.schema).parquet(f"{path}/links")
-    _served(facts_of(written), f"{path}/occurrences")
+    _served(facts_of(totals(written)), f"{path}/occurrences")
 
 
 def append_registry(new_hashes: DataFrame, path: str) -> None:

@@ -1,7 +1,10 @@
 from collections import defaultdict
+from decimal import Decimal
+from fractions import Fraction
 
 from docfacts.operators import resolve, upsert
 from docfacts.schemas import OCCURRENCE, RECORD
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 RECORDS = T.StructType([T.StructField("report_id", T.StringType()), *RECORD.fields])
@@ -80,3 +83,48 @@ def test_upsert_keeps_the_last_version(spark):
     new = spark.createDataFrame([("a", 2, "new"), ("c", 1, "add"), ("a", 3, "newest")], schema)
     rows = upsert.upsert(stored, new, "report_id", "v").orderBy("report_id").collect()
     assert [(r.report_id, r.x) for r in rows] == [("a", "newest"), ("b", "keep"), ("c", "add")]
+
+
+def test_means_do_not_depend_on_order_or_partitions(spark):
+    """Depths whose double sums differ by order, and region means that lie on a tie."""
+    df = spark.range(20_000).selectExpr(
+        "concat('r', id) AS report_id", "IF(id % 3 = 0, 'Gold', 'Zinc') AS mineral",
+        "CAST(0.1 * (id % 977) + 0.05 AS double) AS depth_m", "-22 + (id % 41) / 100D AS lat", "-68D AS lon",
+        "CAST((id * 7919) % 1000 / 1000 AS double) AS grade_g_t", "'DH' AS hole_id",
+    )
+    found = set()
+    for n, seed in ((1, 1), (7, 2), (211, 3)):
+        mixed = df.repartition(n, F.xxhash64("report_id", F.lit(seed))).sortWithinPartitions(F.rand(seed))
+        occ = resolve.occurrences(mixed)
+        sites = sorted(map(repr, occ.collect()))
+        found.add((tuple(sites), tuple(sorted(map(repr, resolve.by_region(occ.repartition(n)).collect())))))
+    assert len(found) == 1
+    exact = defaultdict(list)
+    for r in df.collect():
+        exact[(r.mineral, Decimal(str(r.lat)).quantize(Decimal("0.01")))].append(Decimal(repr(r.depth_m)))
+    means = defaultdict(list)
+    for (mineral, lat), depths in exact.items():
+        means[(mineral, round(lat))].append(Fraction(sum(depths)) / len(depths))
+    wanted = {k: int(float(sum(v) / len(v)) * 10 + 0.5) / 10 for k, v in means.items()}
+    got = {(r.mineral, int(r.region_lat)): r.avg_depth_m for r in resolve.by_region(resolve.occurrences(df)).collect()}
+    assert got == wanted
+
+
+def test_a_tie_rounds_the_same_from_any_side(spark):
+    sites = [("Gold", -22.1, -68.1, 1, x, 1.0) for x in (211.3, 211.6, 211.35, 211.55)]
+    for turn in range(4):
+        df = spark.createDataFrame(sites[turn:] + sites[:turn], OCCURRENCE).repartition(turn + 1)
+        assert resolve.by_region(df).first().avg_depth_m == 211.5
+    thirds = [("Gold", -22.1, -68.1, 1, x, 1.0) for x in (634 / 3 - 1e-13, 634.35 - 2 * 634 / 3, 634 / 3)]
+    assert resolve.by_region(spark.createDataFrame(thirds, OCCURRENCE)).first().avg_depth_m == 211.5
+
+
+def test_runs_merge_to_the_whole(spark):
+    rows = [record(f"r{i}", -22.0 - i % 3, -68.0, depth=0.1 * i, grade=float("nan") if i == 5 else 0.01 * i) for i in range(90)]
+    rows += [record("huge", -22.0, -68.0, depth=1e30), ("none", None, None, None, None, None, None)]
+    df = resolve.with_site(spark.createDataFrame(rows, RECORDS))
+    runs = [resolve.totals(df.filter(F.substring("report_id", -1, 1).isin(*part))) for part in ("024", "13579", "68es")]
+    parts = runs[0].unionByName(runs[1]).unionByName(runs[2])
+    whole = {repr(r) for r in resolve.occurrences(df.drop("lat_bucket", "lon_bucket")).collect()}
+    assert {repr(r) for r in resolve.facts_of(resolve.merged(parts)).collect()} == whole
+    assert sum("nan" in r for r in whole) == 1 and any("avg_depth_m=None" in r for r in whole)

@@ -7,7 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from docfacts.llm import (
-    decontaminate, html_text, language_id, line_dedup, lm_score, mixing, near_dedup, quality_bands, secret_ledger, wavelet,
+    decontaminate, hash_tree, html_text, language_id, line_dedup, lm_score, mixing, near_dedup, oracles, prefix_trie,
+    quality_bands, resampling, secret_ledger, wavelet,
 )
 from docfacts.llm.common import table
 from docfacts.session import scratch_dir
@@ -63,6 +64,18 @@ def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language_id.identify(table(spark, sf_dir, "documents"))
 
 
+def op11_hash_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return hash_tree.layout(table(spark, sf_dir, "documents"), oracles.SHARDS)
+
+
+def op12_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return prefix_trie.trie(table(spark, sf_dir, "conversations"))
+
+
+def op13_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return resampling.resample(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_near_dedup": op1_near_dedup,
     "op2_decontaminate": op2_decontaminate,
@@ -74,5 +87,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_mixing": op8_mixing,
     "op9_line_dedup": op9_line_dedup,
     "op10_language_id": op10_language_id,
+    "op11_hash_tree": op11_hash_tree,
+    "op12_prefix_trie": op12_prefix_trie,
+    "op13_resampling": op13_resampling,
 }
-ORACLES: dict[str, str] = {}
+ORACLES: dict[str, str] = oracles.ORACLES

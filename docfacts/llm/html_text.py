@@ -6,19 +6,23 @@ ratio of text characters to tags is taken, the row of ratios is smoothed with a
 and lines over a threshold (``DEVIATIONS`` standard deviations of the ratios from zero)
 form the content clusters. The clusters choose the content region: the deepest element
 that holds most of the clusters' text, or the article around it. All of the region's lines
-are its text, short ones too, apart from what is never content: scripts, styles, navigation, headers and footers of
-the page, asides, forms, and elements named by class, id or role as menus, adverts,
-notices, sidebars or comments of readers.
+are its text, short ones too, apart from two or more lines in a row outside the clusters whose
+text is links only, such as a list of links beside the paragraphs, and from what is never content: scripts, styles,
+navigation, headers and footers of the page, asides, forms, and elements named by class, id or
+role as menus, adverts, notices, sidebars or comments of readers. The clusters also overrule a
+name: an element that holds nearly all of their text (``MOST``) is the page's frame, whatever it
+is called, as in ``<div class="page sidebar-left">``.
 
 Character references are decoded, also without a semicolon. White space inside a line
 becomes one space; lines are joined by one. A tag that is cut off at the end of the page
-is not text. Nulls and pages without content give the empty text; null ids are kept.
-Repeated rows each get a row; an empty table gives none.
+is not text; a declaration of any form ends at the next ``>``. Nulls and pages without content
+give the empty text; null ids are kept. Repeated rows each get a row; an empty table gives none.
 """
 
 from __future__ import annotations
 
 import re
+from collections import Counter
 from html.parser import HTMLParser
 
 import numpy as np
@@ -53,7 +57,8 @@ _NAMED = re.compile(
 )
 _ROLES = frozenset("navigation banner contentinfo complementary search form dialog alert alertdialog menu menubar".split())
 _KEPT = frozenset(["html", "body", "main", "article"])
-_BESIDE = re.compile(r"(?<![a-z])(?:has|with|no|without)[-_]*[a-z]+")
+#: Names that say what a frame has or lacks: "has-sidebar", "no-menu".
+_BESIDE = re.compile(r"(?<![a-z])(?:has|with|no|without)[-_]+[a-z]+")
 
 
 class _Lines(HTMLParser):
@@ -62,26 +67,35 @@ class _Lines(HTMLParser):
     def __init__(self):
         super().__init__(convert_charrefs=True)
         self.open: list[tuple[str, int, bool]] = []  # tag, element number, inside what is never content
-        self.parents, self.tags = [-1], ["#"]
-        self.lines: list[tuple[str, int, int]] = []  # text, tags, element
+        self.parents, self.tags, self.named = [-1], ["#"], [False]
+        self.lines: list[tuple[str, int, int, bool]] = []  # text, tags, element, links only
         self.parts: list[str] = []
-        self.count = 0
+        self.count = self.links = self.plain = 0
+        # Open elements by tag, and those since each open container, so that an end tag without
+        # a beginning costs one look.
+        self.tally: Counter[str] = Counter()
+        self.since: list[Counter[str]] = [Counter()]
 
     def _line(self) -> None:
         text = " ".join("".join(self.parts).split())
         if text or self.count:
-            self.lines.append((text, self.count, self.open[-1][1] if self.open else 0))
-        self.parts, self.count = [], 0
+            self.lines.append((text, self.count, self.open[-1][1] if self.open else 0, self.links > 0 and not self.plain))
+        self.parts, self.count, self.links, self.plain = [], 0, 0, 0
 
-    def _never(self, tag: str, attrs) -> bool:
+    def _never(self, tag: str, named: dict[str, str | None]) -> bool:
         if tag in _NEVER:
             return True
         if tag == "header":
-            return not any(t == "article" for t, _, _ in self.open)
+            return not self.tally["article"]
         if tag in _KEPT:
             return False
-        named = dict(attrs)
-        if "hidden" in named or (named.get("aria-hidden") or "").lower() == "true" or (named.get("role") or "").lower() in _ROLES:
+        return "hidden" in named or (named.get("aria-hidden") or "").lower() == "true"
+
+    def _beside(self, tag: str, named: dict[str, str | None]) -> bool:
+        """Whether its name says that an element stands beside the content."""
+        if tag in _KEPT:
+            return False
+        if (named.get("role") or "").lower() in _ROLES:
             return True
         names = f"{named.get('class') or ''} {named.get('id') or ''}".strip()
         if not names:
@@ -98,30 +112,58 @@ class _Lines(HTMLParser):
         if tag in _VOID:
             return
         above = self.open[-1] if self.open else ("#", 0, False)
-        never = above[2] or self._never(tag, attrs)
+        named = dict(attrs)
+        never = above[2] or self._never(tag, named)
         self.parents.append(above[1])
         self.tags.append(tag)
+        self.named.append(not never and self._beside(tag, named))
         self.open.append((tag, len(self.parents) - 1, never))
+        self.tally[tag] += 1
+        if tag in _HOLDS:
+            self.since.append(Counter())
+        else:
+            self.since[-1][tag] += 1
 
     def _close(self) -> None:
-        if self.open[-1][0] in _BLOCK:
+        tag = self.open[-1][0]
+        if tag in _BLOCK:
             self._line()
         self.open.pop()
+        self.tally[tag] -= 1
+        if tag in _HOLDS:
+            self.since.pop()
+        else:
+            self.since[-1][tag] -= 1
 
     def handle_endtag(self, tag):
-        for depth in range(len(self.open) - 1, -1, -1):
-            if self.open[depth][0] == tag:
-                while len(self.open) > depth:
-                    self._close()
-                break
-            if self.open[depth][0] in _HOLDS and tag not in _HOLDS:
-                break  # an end tag of a part doesn't reach out of its container
+        # An end tag of a part doesn't reach out of its container.
+        if (self.tally if tag in _HOLDS else self.since[-1])[tag] > 0:
+            while self.open[-1][0] != tag:
+                self._close()
+            self._close()
         self.count += 1
 
     def handle_data(self, data):
         if self.open and self.open[-1][2]:
             return
         self.parts.append(data)
+        if not data.isspace():
+            if self.tally["a"]:
+                self.links += 1
+            else:
+                self.plain += 1
+
+    def parse_comment(self, i, report=1):
+        for empty in ("<!-->", "<!--->"):
+            if self.rawdata.startswith(empty, i):
+                return i + len(empty)
+        return super().parse_comment(i, report)
+
+    def parse_html_declaration(self, i):
+        if self.rawdata.startswith("<!--", i):
+            return self.parse_comment(i)
+        end = self.rawdata.find(">", i)
+        return end + 1 if end >= 0 else -1
 
     def close(self):
         if self.rawdata.startswith("<"):  # cut off inside a tag
@@ -138,18 +180,37 @@ def smoothed(values: np.ndarray, sigma: float = SIGMA) -> np.ndarray:
     return full / np.convolve(np.ones(len(values)), kernel)[reach : reach + len(values)]
 
 
-def _region(parser: _Lines) -> int:
-    """The deepest container with most of the clusters' text."""
-    lengths = np.array([len(text) for text, _, _ in parser.lines], float)
-    ratios = lengths / np.maximum(1, [tags for _, tags, _ in parser.lines])
-    even = smoothed(ratios)
-    content = (even >= DEVIATIONS * ratios.std()) & (lengths > 0)
-    weight = dict.fromkeys(range(len(parser.parents)), 0.0)
-    for (_, _, element), size, used in zip(parser.lines, lengths, content):
-        if used:
-            weight[element] += size
+def clusters(lengths: np.ndarray, tags: np.ndarray) -> np.ndarray:
+    """Which lines are content by their smoothed ratio of text to tags."""
+    if not len(lengths):
+        return np.zeros(0, dtype=bool)
+    ratios = lengths / np.maximum(1, tags)
+    return (smoothed(ratios) >= DEVIATIONS * ratios.std()) & (lengths > 0)
+
+
+def _weights(parser: _Lines, kept: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Which of the lines kept are in clusters, and the clusters' text within every element."""
+    lengths = np.array([len(text) for text, *_ in parser.lines], float)
+    tags = np.array([n for _, n, *_ in parser.lines], float)
+    content = np.zeros(len(lengths), dtype=bool)
+    content[kept] = clusters(lengths[kept], tags[kept])
+    elements = np.array([element for _, _, element, _ in parser.lines], dtype=np.int64)
+    weight = np.bincount(elements[content], lengths[content], minlength=len(parser.parents))
     for element in range(len(parser.parents) - 1, 0, -1):  # children come after their parents
         weight[parser.parents[element]] += weight[element]
+    return content, weight
+
+
+def _within(parser: _Lines, chosen: list[bool]) -> np.ndarray:
+    """Which lines stand in one of the elements chosen."""
+    inside = list(chosen)
+    for element in range(1, len(parser.parents)):
+        inside[element] = inside[element] or inside[parser.parents[element]]
+    return np.array([inside[element] for _, _, element, _ in parser.lines], dtype=bool)
+
+
+def _region(parser: _Lines, weight: np.ndarray) -> int:
+    """The deepest container with most of the clusters' text, or the article around it."""
     best = 0
     for element in range(1, len(parser.parents)):
         if parser.tags[element] in _HOLDS and weight[element] >= MOST * weight[0] > 0:
@@ -168,12 +229,21 @@ def main_text(html: str | None) -> str:
     parser = _Lines()
     parser.feed(html)
     parser.close()
-    if not any(text for text, _, _ in parser.lines):
+    if not any(text for text, *_ in parser.lines):
         return ""
-    region, inside = _region(parser), [False] * len(parser.parents)
-    for element, parent in enumerate(parser.parents):
-        inside[element] = element == region or (parent >= 0 and inside[parent])
-    return " ".join(text for text, _, element in parser.lines if text and inside[element])
+    everything = np.ones(len(parser.lines), dtype=bool)
+    if any(parser.named):
+        _, weight = _weights(parser, everything)
+        beside = [named and not weight[e] >= MOST * weight[0] > 0 for e, named in enumerate(parser.named)]
+        everything &= ~_within(parser, beside)
+    content, weight = _weights(parser, everything)
+    region = _region(parser, weight)
+    kept = everything & _within(parser, [element == region for element in range(len(parser.parents))])
+    shown = [i for i, (text, *_) in enumerate(parser.lines) if text and kept[i]]
+    # Lines of links only that lie outside the clusters; one by itself belongs to the text around it.
+    away = [parser.lines[i][3] and not content[i] for i in shown]
+    lists = [off and (any(away[max(0, n - 1) : n]) or any(away[n + 1 : n + 2])) for n, off in enumerate(away)]
+    return " ".join(parser.lines[i][0] for i, dropped in zip(shown, lists) if not dropped)
 
 
 def _extract(batches):

@@ -51,6 +51,8 @@ KEPT_PIECES = 150_000
 _SPACE = r"\t-\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
 # Fixed value: the pattern of byte-level tokenizers.
 _MATCH = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+")
+#: Marks that are one match together after a word.
+_STOPS = "!\"#$%&()*+,-./:;<=>?@[\\]^_`{|}~"
 _PIECE = re.compile(f"[{_SPACE}]*[^{_SPACE}]+|[{_SPACE}]+")
 _FILES = (
     "part int, seq int, n_tokens long, doc_ids array<long>, lens array<long>, alphabet array<int>, matrix binary"
@@ -191,6 +193,7 @@ class PieceEncoder:
         before = told.get("pre_tokenizer") or {}
         self.by_pieces = told.get("normalizer") is None and before.get("type") == "ByteLevel" and before.get("use_regex") and not before.get("add_prefix_space")
         self.letters = _byte_letters()
+        self.space = self.letters[32]
         self.known, self.matches = _Numbers(), {}
         self.flat, self.lens, self.offsets = np.zeros(0, np.uint32), np.zeros(0, np.int64), np.zeros(0, np.int64)
 
@@ -205,20 +208,22 @@ class PieceEncoder:
     def _ids(self, match: str) -> list[int]:
         ids = self.matches.get(match)
         if ids is None:
-            if match.isascii() and match[1:].isalpha() and match[0] == " ":
-                spelt = self.letters[32] + match[1:]
+            if match.isascii() and match.isprintable():  # each letter but the space is itself
+                spelt = match.replace(" ", self.space)
             else:
                 spelt = match.encode("utf-8").decode("latin-1").translate(self.letters)
             ids = self.matches[match] = [token.id for token in self.tokenizer.model.tokenize(spelt)]
         return ids
 
     def _learn(self) -> None:
-        found = []
+        found, ids_of = [], self._ids
         for piece in self.known.fresh:
-            if piece[1:].isalpha() and (piece[0] == " " or piece[0].isalpha()):  # a single match
-                found.append(self._ids(piece))
+            body = piece.rstrip(_STOPS)
+            if body[1:].isalpha() and (body[0] == " " or body[0].isalpha()):  # a word, and one match for its stops
+                stop = piece[len(body) :]
+                found.append(ids_of(body) + ids_of(stop) if stop else ids_of(body))
             else:
-                found.append(list(chain.from_iterable(map(self._ids, _MATCH.findall(piece)))))
+                found.append(list(chain.from_iterable(map(ids_of, _MATCH.findall(piece)))))
         self.known.fresh = []
         lens = np.fromiter(map(len, found), np.int64, len(found))
         flat = np.fromiter(chain.from_iterable(found), np.uint32, int(lens.sum()))

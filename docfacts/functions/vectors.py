@@ -1,4 +1,4 @@
-"""Vector distances on array columns."""
+"""Vectors of texts, and distances on array columns."""
 
 from __future__ import annotations
 
@@ -8,6 +8,57 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 
+# Runs of letters and digits are words; a component is a multiple of 2 ** -14, so
+# that squares and their sums are exact in doubles, in any order.
+WORD = r"[\p{L}\p{N}]+"
+UNIT = 1 << 14
+
+
+def signed_draws(words: Column, dims: int) -> Column:
+    """Two numbers in one for each word, from its MD5: twice the dimension, plus 1 where it counts
+    negatively."""
+    def draw(word: Column) -> Column:
+        digits = F.md5(word)
+        dim = F.pmod(F.conv(F.substring(digits, 1, 8), 16, 10).cast("long"), F.lit(dims))
+        return (dim * 2 + (F.substring(digits, 9, 1) >= "8").cast("long")).cast("int")
+
+    return F.transform(words, draw)
+
+
+def signed_counts(draws: Column, different: Column, starts: Column, weights: Sequence[int]) -> Column:
+    """For each of the ``different`` draws, its weight times how often it occurs, with its sign.
+
+    ``draws`` is sorted; ``starts`` says where each of the different ones begins, from 1.
+    """
+    table = F.array(*[F.lit(int(w)).cast("long") for w in weights])
+    end = lambda i: F.coalesce(F.get(starts, i + 1), F.size(draws).cast("long") + 1)
+    return F.transform(
+        different,
+        lambda draw, i: F.get(table, F.shiftright(draw, 1))
+        * F.when(draw.bitwiseAND(1) == 0, 1).otherwise(-1)
+        * (end(i) - F.get(starts, i)),
+    )
+
+
+def per_dimension(dims: Column, different: Column, signed: Column) -> Column:
+    """The sum of what counts for and against each of ``dims``: whole numbers."""
+    at = lambda draw: F.coalesce(F.get(signed, (F.array_position(different, draw) - 1).cast("int")), F.lit(0).cast("long"))
+    return F.transform(dims, lambda d: at(d * 2) + at(d * 2 + 1))
+
+
+def unit_vector(dims: Column, values: Column, length: Column, size: int) -> Column:
+    """``size`` components: ``values`` at ``dims``, scaled to length one and rounded to multiples
+    of 2 ** -14, zeros elsewhere. Gaps are filled, so the work follows the values that are there."""
+    unit = F.lit(float(UNIT))
+    rounded = lambda x: F.signum(x.cast("double")) * F.floor(F.abs(x).cast("double") * unit / length + 0.5) / unit
+    gap = lambda d, i: d - F.coalesce(F.get(dims, i - 1), F.lit(-1)) - 1
+    zeros = lambda n: F.array_repeat(F.lit(0.0), n)
+    pieces = F.transform(dims, lambda d, i: F.concat(
+        zeros(gap(d, i)), F.array(F.when(F.get(values, i) == 0, F.lit(0.0)).otherwise(rounded(F.get(values, i))))
+    ))
+    return F.concat(F.flatten(pieces), zeros(F.lit(size - 1) - F.coalesce(F.array_max(dims), F.lit(-1))))
+
+
 def _sum_over(vector: Column, query: Sequence[float] | Column, term) -> Column:
     """The terms of two vectors added in order, at any length. A null vector gives null; another
     length is an error, never a distance."""

@@ -7,7 +7,8 @@ A provider turns prompts into output texts. Two kinds exist:
   passed are not evaluated again, and nothing is shuffled or written in between.
 * ``BatchProvider`` answers with Python (one client per task, whole batches). Its
   answers cannot be repeated, so every round is written to the shared folder before it
-  is split: a lost executor or a second action never asks the provider again.
+  is split: a lost executor or a second action never asks the provider again. A
+  ``LedgerProvider`` around it keeps the answers over runs as well.
 """
 
 from __future__ import annotations
@@ -17,14 +18,15 @@ from functools import reduce
 from typing import Any
 
 import pandas as pd
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from docfacts.functions import text
 from docfacts.operators.parse import parse_outputs
 from docfacts.operators.validate import DOMAIN_RULES, Rule, check, reason
-from docfacts.schemas import RECORD_FIELDS
+from docfacts.schemas import ANSWER, RECORD_FIELDS
 from docfacts.session import computed_once, materialize
+from docfacts.sources.readers import parquet_or_empty
 
 # Attempts per report, and the size asked of a provider.
 MAX_ATTEMPTS = 2
@@ -66,6 +68,35 @@ class BatchProvider:
         return df.withColumn("output", run.asNondeterministic()(F.col("prompt")))
 
 
+class LedgerProvider:
+    """Asks another provider, and asks nothing twice: answers are kept in a ledger.
+
+    The ledger is a Parquet table of prompt hash, attempt and output. A prompt that it has for
+    an attempt is answered from there; equal prompts are asked once. A run that is repeated, or
+    goes on after a failure, asks only for what is missing.
+    """
+
+    repeatable = False
+
+    def __init__(self, source: BatchProvider, path: str):
+        self.source, self.path = source, path.rstrip("/")
+
+    def answers(self, spark: SparkSession, attempt: int) -> DataFrame:
+        """``prompt_hash`` and ``output``, one row for each prompt of an attempt asked so far."""
+        kept = parquet_or_empty(spark, f"{self.path}/attempt={attempt}", ANSWER)
+        return kept.dropDuplicates(["prompt_hash"])
+
+    def complete(self, df: DataFrame, attempt: int) -> DataFrame:
+        spark = df.sparkSession
+        hashed = df.withColumn("_hash", F.sha2(F.col("prompt"), 256))
+        known = self.answers(spark, attempt).select(F.col("prompt_hash").alias("_hash"))
+        new = hashed.filter(F.col("prompt").isNotNull()).select("_hash", "prompt").join(known, "_hash", "left_anti")
+        asked = self.source.complete(new.dropDuplicates(["_hash"]), attempt)
+        asked.select(F.col("_hash").alias("prompt_hash"), "output").write.mode("append").parquet(f"{self.path}/attempt={attempt}")
+        found = self.answers(spark, attempt).withColumnRenamed("prompt_hash", "_hash")
+        return hashed.join(found, "_hash", "left").drop("_hash")
+
+
 def _stated_as_json(prompt: Column, attempt: int) -> Column:
     """Answer of the rule-based provider: the facts stated in the report, as JSON."""
     found = [text.stated_fact(prompt, f).alias(f) for f in RECORD_FIELDS]

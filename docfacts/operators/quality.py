@@ -6,11 +6,15 @@ check; only that frame is ever collected.
 
 from __future__ import annotations
 
+import time
+from collections.abc import Iterator
+from contextlib import contextmanager
 from dataclasses import dataclass
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from docfacts.functions.numeric import share
 from docfacts.schemas import CHECK
@@ -53,6 +57,41 @@ def measure(df: DataFrame, *wanted: Measure) -> DataFrame:
     return totals.select(F.inline(F.array(*rows)))
 
 
+class Suite:
+    """Checks of a run, measured while its stages are written.
+
+    ``stage`` attaches measures to a DataFrame as observed metrics: they are computed by the job
+    that writes it, without a pass of their own. ``timed`` measures how long a part of the run
+    takes. ``checks`` is called when all stages were written.
+    """
+
+    def __init__(self, spark: SparkSession):
+        self.spark = spark
+        self._observed: list[tuple[Observation, tuple[Measure, ...]]] = []
+        self._taken: list[tuple] = []
+
+    def stage(self, df: DataFrame, *wanted: Measure) -> DataFrame:
+        seen = Observation()
+        self._observed.append((seen, wanted))
+        return df.observe(seen, *[m.measured.cast("double").alias(f"m{i}") for i, m in enumerate(wanted)])
+
+    @contextmanager
+    def timed(self, name: str, limit: float) -> Iterator[None]:
+        start = time.monotonic()
+        yield
+        took = time.monotonic() - start
+        self._taken.append(("timeliness", name, took, float(limit), "seconds", False))
+
+    def checks(self) -> DataFrame:
+        rows = [
+            (m.dimension, m.name, seen.get[f"m{i}"], float(m.threshold), m.detail, m.higher_is_better)
+            for seen, wanted in self._observed
+            for i, m in enumerate(wanted)
+        ]
+        schema = T.StructType([CHECK[n] for n in ("dimension", "name", "measured", "threshold", "detail", "higher_is_better")])
+        return evaluate(self.spark.createDataFrame(rows + self._taken, schema))
+
+
 def evaluate(measures: DataFrame | list[DataFrame]) -> DataFrame:
     """Add ``passed``: reaching the threshold counts as passing, in either direction."""
     if isinstance(measures, list):

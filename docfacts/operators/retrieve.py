@@ -4,24 +4,23 @@ Spark plan: the query vector is one row and is written into the expression, so
 distances are computed in the scan stage without any join. A global top-k is a
 ``TakeOrderedAndProject``. A scoped top-k keeps k rows per scope in every map task
 before its shuffle (Spark's window group limit), so a report that owns a third of all
-passages sends k rows per task.
+passages sends k rows per task. Spark has that limit for small k only; for others a scope is
+dealt out first, k rows are kept of each share, and only these are merged.
 """
 
 from __future__ import annotations
 
+import math
 from collections.abc import Callable, Iterator, Sequence
 from typing import Any
 
 import numpy as np
 import pandas as pd
-from pyspark.ml import Pipeline, PipelineModel
-from pyspark.ml.feature import IDF, HashingTF, Normalizer, RegexTokenizer
-from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from docfacts.functions import text
-from docfacts.functions.vectors import distance
+from docfacts.functions.vectors import WORD, distance, per_dimension, signed_counts, signed_draws, unit_vector
 from docfacts.session import computed_once
 
 # What extraction searches for, and how many passages it needs.
@@ -31,35 +30,54 @@ DEFAULT_TOP_K = 5
 
 
 class TermEncoder:
-    """Default encoder: hashed term frequencies, weighted by rarity, at unit length.
+    """Default encoder: signed feature hashing, weighted by rarity, at unit length.
 
-    Fitting reads the corpus once and keeps one weight per dimension.
+    A word's MD5 draws its dimension and sign. A dimension weighs by how few passages have a
+    word in it, as a whole number (thousandths of a logarithm). Fitting reads the corpus once and
+    keeps one weight per dimension; encoding is column expressions without any shuffle.
+    Components are multiples of 2 ** -14, so that distances are exact sums.
     """
 
     def __init__(self, dims: int = 256) -> None:
         self.dims = dims
-        self._model: PipelineModel | None = None
+        self.weights: list[int] | None = None
+
+    def _draws(self, df: DataFrame, text_col: str) -> DataFrame:
+        words = F.regexp_extract_all(F.lower(F.coalesce(text_col, F.lit(""))), F.lit(WORD), F.lit(0))
+        return computed_once(df, {"_draws": F.array_sort(signed_draws(words, self.dims))})
 
     def fit(self, corpus: DataFrame, text_col: str = "text") -> TermEncoder:
-        words = RegexTokenizer(
-            inputCol="_text", outputCol="_words", pattern=r"[^\p{L}\p{N}]+", minTokenLength=1
+        """At most one count for each dimension, and one for all, reach the driver."""
+        used = F.array_distinct(F.transform("_draws", lambda draw: F.shiftright(draw, 1)))
+        found = self._draws(corpus.select(text_col), text_col).select(
+            F.explode(F.concat(F.array(F.lit(-1)), used)).alias("dim")
         )
-        counts = HashingTF(inputCol="_words", outputCol="_counts", numFeatures=self.dims)
-        weights = IDF(inputCol="_counts", outputCol="_weighted")
-        unit = Normalizer(inputCol="_weighted", outputCol="_unit", p=2.0)
-        texts = corpus.select(F.col(text_col).alias("_text"))
-        self._model = Pipeline(stages=[words, counts, weights, unit]).fit(texts)
+        passages = {row["dim"]: row["n"] for row in found.groupBy("dim").agg(F.count("*").alias("n")).collect()}
+        everything = passages.get(-1, 0)
+        self.weights = [
+            math.floor(1000 * math.log((everything + 1) / (passages.get(d, 0) + 1)) + 0.5) for d in range(self.dims)
+        ]
         return self
 
     def encode(self, df: DataFrame, text_col: str = "text") -> DataFrame:
-        if self._model is None:
+        if self.weights is None:
             self.fit(df, text_col)
-        named = df.withColumn("_text", F.col(text_col))
-        return (
-            self._model.transform(named)
-            .withColumn("embedding", vector_to_array("_unit"))
-            .select(*df.columns, "embedding")
-        )
+        draws, different, dims, values = (F.col(c) for c in ("_draws", "_different", "_dims", "_values"))
+        steps = [
+            {"_different": F.array_distinct(draws)},
+            {
+                "_starts": F.transform(different, lambda draw: F.array_position(draws, draw)),
+                "_dims": F.array_distinct(F.transform(different, lambda draw: F.shiftright(draw, 1))),
+            },
+            {"_signed": signed_counts(draws, different, F.col("_starts"), self.weights)},
+            {"_values": per_dimension(dims, different, F.col("_signed"))},
+            {"_length": F.sqrt(F.aggregate(values, F.lit(0).cast("long"), lambda total, x: total + x * x).cast("double"))},
+            {"embedding": unit_vector(dims, values, F.col("_length"), self.dims)},
+        ]
+        coded = self._draws(df, text_col)
+        for step in steps:  # each evaluated once per row, however often the next one uses it
+            coded = computed_once(coded, step)
+        return coded.select(*[c for c in df.columns if c != "embedding"], "embedding")
 
 
 class BatchEncoder:
@@ -101,6 +119,22 @@ def _ranked(
     return found.filter(F.col("distance").isNotNull()).drop("embedding")
 
 
+# Shares that a scope is dealt out to where k is too large for Spark's own limit.
+SHARES = 32
+
+
+def _nearest_per_scope(hits: DataFrame, k: int, scope: str, tie_break: str) -> DataFrame:
+    """``rank`` within each scope, up to k. No task sorts more of a scope than a share of it, or
+    k rows of each share."""
+    limit = int(hits.sparkSession.conf.get("spark.sql.optimizer.windowGroupLimitThreshold"))
+    nearest = lambda *by: F.row_number().over(Window.partitionBy(*by).orderBy("distance", tie_break))
+    if k >= limit:
+        share = F.pmod(F.xxhash64(tie_break, "distance"), F.lit(SHARES))
+        hits = hits.withColumn("_share", share).withColumn("rank", nearest(scope, "_share"))
+        hits = hits.filter(F.col("rank") <= k).drop("_share", "rank")
+    return hits.withColumn("rank", nearest(scope)).filter(F.col("rank") <= k)
+
+
 def top_k(
     vectors: DataFrame,
     query: Sequence[float] | Column,
@@ -118,8 +152,7 @@ def top_k(
     hits = _ranked(vectors, query, where, metric)
     if scope is None:
         return hits.orderBy("distance", tie_break).limit(k)
-    order = Window.partitionBy(scope).orderBy("distance", tie_break)
-    return hits.withColumn("rank", F.row_number().over(order)).filter(F.col("rank") <= k)
+    return _nearest_per_scope(hits, k, scope, tie_break)
 
 
 def context(reports: DataFrame, hits: DataFrame) -> DataFrame:

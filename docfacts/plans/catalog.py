@@ -27,7 +27,9 @@ from docfacts.schemas import ATTEMPT, LINK, RECORD_FIELDS, REGISTRY
 from docfacts.session import scratch_dir
 from docfacts.sources import readers, writers
 from docfacts.sources.keyed import KeyedTable
-from docfacts.streaming import online
+from docfacts.sources.prefixed import PrefixedTable
+from docfacts.sources.vector_index import VectorIndex
+from docfacts.streaming import online, state
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -35,6 +37,8 @@ QUERIES: dict[str, Query] = {}
 # Words counted for the exact retrieval query, and the counts searched for.
 COUNTED_WORDS = ("the", "que", "der", "la")
 WANTED_COUNTS = [3.0, 3.0, 3.0, 3.0]
+# Fixed value: seconds that resolution may take.
+RESOLVE_SECONDS = 120
 # Batches of the stream queries.
 MICRO_BATCHES = 4
 
@@ -114,16 +118,17 @@ def accepted_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
 def _arriving(rows: DataFrame, by: F.Column) -> DataFrame:
     """``rows`` as a stream of ``MICRO_BATCHES`` batches in the order of ``by``, a whole number.
 
-    The parts are written one after another, and every trigger takes the next.
+    The parts are written one after another, each by all tasks, and every trigger takes as many
+    files as a part has. Rows without ``by`` come in the first.
     """
     spark = rows.sparkSession
-    path = scratch_dir(spark, "arriving")
+    path, files = scratch_dir(spark, "arriving"), spark.sparkContext.defaultParallelism
     low, high = rows.agg(F.min(by), F.max(by)).first()
-    width = (high - low) // MICRO_BATCHES + 1
+    width = ((high or 0) - (low or 0)) // MICRO_BATCHES + 1
+    number_of = F.coalesce(F.floor((by - F.lit(low or 0)) / width), F.lit(0))
     for number in range(MICRO_BATCHES):
-        part = rows.filter(F.floor((by - low) / width) == number)
-        part.coalesce(1).write.mode("append").parquet(path)
-    return spark.readStream.schema(rows.schema).option("maxFilesPerTrigger", 1).parquet(path)
+        rows.filter(number_of == number).repartition(files).write.mode("append").parquet(path)
+    return spark.readStream.schema(rows.schema).option("maxFilesPerTrigger", files).parquet(path)
 
 
 def _document_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -134,24 +139,30 @@ def _document_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def intake_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     work = scratch_dir(spark, "intake-stream")
-    online.intake_stream(_document_stream(spark, sf_dir)).select(
-        "content_hash", "report_id"
-    ).writeStream.format("parquet").option("checkpointLocation", f"{work}/state").trigger(
-        availableNow=True
-    ).start(f"{work}/accepted").awaitTermination()
+    accepted = online.intake_stream(_document_stream(spark, sf_dir)).select("content_hash", "report_id")
+    online.land(accepted, f"{work}/accepted", f"{work}/state").awaitTermination()
     return readers.parquet_or_empty(spark, f"{work}/accepted", REGISTRY).select("content_hash")
 
 
-@query
-def intake_stream_verdicts(spark: SparkSession, sf_dir: str) -> DataFrame:
+def _stream_verdicts(spark: SparkSession, sf_dir: str, registry: DataFrame | None = None) -> DataFrame:
     work = scratch_dir(spark, "intake-verdicts")
-    registry = KeyedTable(spark, f"{work}/registry", REGISTRY, "content_hash")
-    run = online.gate_batch(registry, f"{work}/verdicts", "doc_id")
     stream = _document_stream(spark, sf_dir).select("doc_id", "report_id", "text")
-    online.each_batch(stream, run, f"{work}/state").awaitTermination()
+    online.land(state.verdicts(stream, "doc_id", registry), f"{work}/verdicts", f"{work}/state").awaitTermination()
     return spark.read.parquet(f"{work}/verdicts").select("report_id", "content_hash", "status")
 
 
+@query
+def intake_stream_verdicts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _stream_verdicts(spark, sf_dir)
+
+
+@query
+def intake_stream_registry(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One source was taken in by an earlier run; now all documents arrive as a stream."""
+    earlier = intake.gate(_uploads(spark, sf_dir).filter(F.col("source") == "src0"), "doc_id")
+    return _stream_verdicts(spark, sf_dir, intake.new_hashes(earlier))
+
+
 # --- passages and retrieval --------------------------------------------------------
 
 
@@ -217,6 +228,30 @@ def vector_cosine_scoped(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _hits(hits, "vec_id", "label", "rank")
 
 
+@query
+def vector_topk_deep(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Thousands of vectors of each label, in order: more than Spark's own limit on ranks."""
+    vectors = table(spark, sf_dir, "embeddings")
+    hits = retrieve.top_k(vectors, _query_vector(vectors), 5000, scope="label", tie_break="vec_id")
+    return _hits(hits, "vec_id", "label", "rank")
+
+
+@query
+def vector_index_exact(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All lists of the index probed: every vector is in it, and the nearest are the exact ones."""
+    vectors = table(spark, sf_dir, "embeddings")
+    index = VectorIndex(spark, scratch_dir(spark, "vector-index")).build(vectors, lists=16, key="vec_id")
+    return _hits(index.search(_query_vector(vectors), 100, probes=16, tie_break="vec_id"), "vec_id", "label")
+
+
+@query
+def vector_index_lists(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Vectors in the index by label, from its lists."""
+    path = scratch_dir(spark, "vector-index")
+    VectorIndex(spark, path).build(table(spark, sf_dir, "embeddings"), lists=16, key="vec_id")
+    return spark.read.parquet(f"{path}/lists").groupBy("label").agg(F.count("*").alias("n_vectors"))
+
+
 def _count_vectors(chunks: DataFrame) -> DataFrame:
     """Passages with whole-number vectors, so that distances are exact in any engine."""
     counts = [
@@ -268,23 +303,31 @@ def vector_upsert(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def embed_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every component that is not zero of the vector of every passage."""
     chunks = chunk.chunk(table(spark, sf_dir, "documents"), "doc_id")
     vectors = retrieve.embed(chunks)
-    norm = F.sqrt(F.aggregate("embedding", F.lit(0.0), lambda total, x: total + x * x))
-    return vectors.select(
-        "id", F.size("embedding").alias("dims"), F.round(norm, 6).alias("norm")
-    )
+    return vectors.select("id", F.posexplode("embedding").alias("dim", "value")).filter("value <> 0")
 
 
-@query
-def retrieve_passages(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Embed, search and reassemble, on the derived reports."""
-    reports = derived.reports(table(spark, sf_dir, "orders"))
+def _retrieved(reports: DataFrame) -> DataFrame:
+    """Embed, search and reassemble with the default encoder, fitted on the passages."""
     encoder = retrieve.TermEncoder().fit(chunk.chunk(reports))
     wanted = retrieve.encode_query(reports, encoder)
     return retrieve.retrieve(reports, encoder, wanted).select("report_id", "context")
 
 
+@query
+def retrieve_passages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The best passages of the derived reports."""
+    return _retrieved(derived.reports(table(spark, sf_dir, "orders")))
+
+
+@query
+def retrieve_document_passages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The best four of up to thousands of passages of each document."""
+    return _retrieved(_uploads(spark, sf_dir).select("report_id", "text"))
+
+
 # --- extraction --------------------------------------------------------------------
 
 
@@ -381,6 +424,46 @@ def batch_provider_outcomes(spark: SparkSession, sf_dir: str) -> DataFrame:
     return outcomes.select("report_id", "status", "attempts", "reason", "record.mineral")
 
 
+@query
+def ledger_outcomes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A provider that reads its hint, behind a ledger; the second run is answered by the ledger.
+
+    It takes holes of odd number for unreadable until a note says that this failed.
+    """
+
+    def connect():
+        import json
+        import re
+
+        hole = re.compile(r"Drill hole (DH-\d+) intersected ([\d.]+) g/t (\w+)")
+        depth = re.compile(r"at a depth of (\d+)m")
+        place = re.compile(r"at the collar: ([-\d.]+), (-\d+\.\d+)")
+
+        def ask(prompts, max_tokens):
+            for prompt in prompts:
+                name, grade, mineral = hole.search(prompt).groups()
+                lat, lon = place.search(prompt).groups()
+                unreadable = int(name[3:]) % 2 and "\nNote: " not in prompt
+                yield json.dumps({
+                    "mineral": mineral, "depth_m": "illegible" if unreadable else depth.search(prompt)[1],
+                    "lat": lat, "lon": lon, "grade_g_t": grade, "hole_id": name,
+                })
+
+        return ask
+
+    def never():
+        def ask(prompts, max_tokens):
+            raise RuntimeError("the ledger has every answer")
+
+        return ask
+
+    reports = derived.reports(table(spark, sf_dir, "orders"))
+    path = scratch_dir(spark, "ledger")
+    extract.run(reports, extract.LedgerProvider(extract.BatchProvider(connect), path))
+    again = extract.run(reports, extract.LedgerProvider(extract.BatchProvider(never), path))
+    return again.select("report_id", "status", "attempts", "reason", "record.depth_m")
+
+
 @query
 def attempts_per_report(spark: SparkSession, sf_dir: str) -> DataFrame:
     return extract.attempts_per_report(extract.attempt_log(_outcomes(spark, sf_dir)))
@@ -417,11 +500,8 @@ def attempt_counter_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def attempt_admission_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     work = scratch_dir(spark, "attempt-admission")
-    counters = KeyedTable(spark, f"{work}/counters", ATTEMPT, "report_id")
-    run = online.admit_batch(
-        counters, f"{work}/verdicts", ["ts", "event_id"], F.date_trunc("hour", "ts")
-    )
-    online.each_batch(_event_stream(spark, sf_dir), run, f"{work}/state").awaitTermination()
+    admitted = state.admissions(_event_stream(spark, sf_dir), ["ts", "event_id"])
+    online.land(admitted, f"{work}/verdicts", f"{work}/state").awaitTermination()
     verdicts = spark.read.parquet(f"{work}/verdicts")
     return verdicts.select("event_id", "report_id", "attempts", "allowed")
 
@@ -543,6 +623,29 @@ def typed_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return readers.read_stored(spark, path)
 
 
+@query
+def document_versions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents accepted twice under one id: the later text replaces the earlier.
+
+    First everything arrives, then all documents with a language again with a note, which makes
+    them new texts; what intake accepts is put into the table of documents both times.
+    """
+    base = scratch_dir(spark, "document-versions")
+    uploads = table(spark, sf_dir, "documents").select("doc_id", F.col("doc_id").cast("string").alias("report_id"), "text", "lang")
+    note = F.concat("text", F.lit(" Corrected in "), "lang")
+    waves = [uploads, uploads.filter(F.col("lang").isNotNull()).withColumn("text", note)]
+    stored = None
+    for number, wave in enumerate(waves):
+        known = readers.parquet_or_empty(spark, f"{base}/registry", REGISTRY)
+        intake.gate(wave, "doc_id", known).write.parquet(f"{base}/verdicts/wave={number}")
+        gated = spark.read.parquet(f"{base}/verdicts/wave={number}")
+        accepted = intake.accepted_documents(gated)
+        stored = PrefixedTable(spark, f"{base}/documents", accepted.schema, "report_id", fan_in=2)
+        stored.put(accepted, number)
+        writers.append_registry(intake.new_hashes(gated), f"{base}/registry")
+    return stored.read()
+
+
 @query
 def report_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One text file per document, read whole; the writer ends each with a line break."""
@@ -550,7 +653,7 @@ def report_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     documents = table(spark, sf_dir, "documents").select("doc_id", "text")
     spread = documents.repartition(spark.sparkContext.defaultParallelism, "doc_id")
     spread.write.partitionBy("doc_id").text(path)
-    return readers.read_reports(spark, path).select("text")
+    return readers.read_reports(spark, path, folder="doc_id")
 
 
 @query
@@ -587,41 +690,69 @@ def occurrence_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-@query
-def survey_run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """From uploads to regions on one set of texts, each stage reading what the one before left.
+def _survey(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
+    """From uploads to regions on one set of texts, each stage reading what the one before left;
+    and the checks of the run, measured as its stages are written.
 
     Every report is sent twice, the second time under another id.
     """
-    base = scratch_dir(spark, "survey-run")
+    base, suite, check = scratch_dir(spark, "survey-run"), quality.Suite(spark), quality.Measure
+    status = F.col("status")
     sent = derived.reports(table(spark, sf_dir, "orders"))
     again = sent.withColumn("report_id", F.concat(F.lit("again-"), "report_id"))
-    gated = intake.gate(sent.unionByName(again), "report_id")
+    gated = suite.stage(
+        intake.gate(sent.unionByName(again), "report_id"),
+        check("completeness", "share_of_uploads_with_a_verdict", _share(F.count("status"), F.count("*")), 1.0),
+        check("validity", "share_of_uploads_let_in", _share(F.count_if(status == intake.ACCEPTED), F.count("*")), 0.5,
+              higher_is_better=False),
+    )
     gated.write.parquet(f"{base}/verdicts")
     gated = spark.read.parquet(f"{base}/verdicts")
     writers.append_registry(intake.new_hashes(gated), f"{base}/registry")
     accepted = intake.accepted_documents(gated)
-    documents = KeyedTable(spark, f"{base}/documents", accepted.schema, "report_id")
+    documents = PrefixedTable(spark, f"{base}/documents", accepted.schema, "report_id")
     documents.put(accepted, 0)
 
     reports = documents.read().select("report_id", "text")
     encoder = retrieve.TermEncoder().fit(chunk.chunk(reports))
     found = retrieve.retrieve(reports, encoder, retrieve.encode_query(reports, encoder))
-    outcomes = extract.run(found, extract.provider("rules"))
+    failed = status == extract.FAILED
+    used_up = F.col("attempts") == extract.MAX_ATTEMPTS
+    outcomes = suite.stage(
+        extract.run(found, extract.provider("rules")),
+        check("correctness", "share_of_failures_after_all_attempts",
+              _share(F.count_if(failed & used_up), F.count_if(failed)), 1.0),
+        check("completeness", "share_of_reports_extracted", _share(F.count_if(~failed), F.count("*")), 0.75),
+    )
     outcomes.write.parquet(f"{base}/outcomes")
     outcomes = spark.read.parquet(f"{base}/outcomes")
     log = extract.attempt_log(outcomes)
     writers.append_attempts(log, f"{base}/attempts")
     records = outcomes.filter(F.col("status") == extract.EXTRACTED).select("report_id", "record.*")
-    stored = KeyedTable(spark, f"{base}/extractions", records.schema, "report_id")
+    stored = PrefixedTable(spark, f"{base}/extractions", records.schema, "report_id")
     stored.put(records, 0)
 
-    writers.write_occurrences(stored.read(), f"{base}/served")
+    with suite.timed("seconds_to_resolve", RESOLVE_SECONDS):
+        writers.write_occurrences(stored.read(), f"{base}/served")
     readers.view(spark, f"{base}/served/occurrences", "docfacts_run")
     denied = spark.read.schema(log.schema).parquet(f"{base}/attempts").filter("NOT allowed").count()
     known = spark.read.schema(REGISTRY).parquet(f"{base}/registry").count()
     regions = resolve.by_region(spark.table("docfacts_run"))
-    return regions.withColumns({"n_denied": F.lit(denied).cast("long"), "n_texts": F.lit(known).cast("long")})
+    counted = {"n_denied": F.lit(denied).cast("long"), "n_texts": F.lit(known).cast("long")}
+    return regions.withColumns(counted), suite.checks()
+
+
+@query
+def survey_run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _survey(spark, sf_dir)[0]
+
+
+@query
+def survey_checks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The checks of the run; how many seconds it took is not shown, only whether too many."""
+    checks = _survey(spark, sf_dir)[1]
+    shown = F.when(F.col("dimension") != "timeliness", F.round("measured", 6))
+    return checks.select("dimension", "name", shown.alias("measured"), "passed")
 
 
 @query

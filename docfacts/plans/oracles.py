@@ -57,6 +57,16 @@ _BLOCKS = {
                    lambda x: regexp_replace(x, '^\s+|\s+$', '', 'g')),
                    lambda x: x <> ''), 1) - 1 AS chunk_index
         FROM documents""",
+    # Passages of the derived reports, cut at the same places.
+    "report_pieces": r"""
+        SELECT report_id, unnest(list_filter(list_transform(string_split(
+                   regexp_replace(text, '([.\n])\s+', '\1' || chr(1), 'g'), chr(1)),
+                   lambda x: regexp_replace(x, '^\s+|\s+$', '', 'g')), lambda x: x <> '')) AS text,
+               generate_subscripts(list_filter(list_transform(string_split(
+                   regexp_replace(text, '([.\n])\s+', '\1' || chr(1), 'g'), chr(1)),
+                   lambda x: regexp_replace(x, '^\s+|\s+$', '', 'g')), lambda x: x <> ''), 1) - 1
+                   AS chunk_index
+        FROM reports""",
     # Derived reports.
     "keys": "SELECT o_orderkey AS k, o_custkey AS c FROM orders",
     "facts": f"""
@@ -308,7 +318,11 @@ def _with_blocks(select: str) -> str:
 
     add(_reads(select))
     blocks = ",\n".join(f"{name} AS ({_BLOCKS[name]})" for name in needed)
-    return f"WITH {blocks}\n{select}" if needed else select
+    if not needed:
+        return select
+    # A select may bring blocks of its own, which come after those it reads.
+    own = select.strip().removeprefix("WITH ")
+    return f"WITH {blocks}" + (f",\n{own}" if own != select.strip() else f"\n{select}")
 
 
 _HINTED = f"{_quoted(HINT_START)} || reason || {_quoted(HINT_END)}"
@@ -337,6 +351,55 @@ _LATEST = f"""
 _SITES = """
     SELECT mineral, lat_bucket, lon_bucket, n_reports FROM occurrences"""
 
+def _embedded(pieces: str, query: str | None = None) -> str:
+    """Blocks from passages to the components of their vectors: word, draw, weight, length.
+
+    A query text is one more passage (position -1) that takes no part in the weights.
+    """
+    asked = f" UNION ALL SELECT NULL, '{query}', -1" if query else ""
+    return rf"""
+        texts AS (SELECT report_id, text, chunk_index FROM {pieces}{asked}),
+        drawn AS (SELECT report_id, chunk_index, CAST('0x' || substr(md5(word), 1, 8) AS BIGINT) % 256 AS dim,
+                         CASE WHEN substr(md5(word), 9, 1) >= '8' THEN -1 ELSE 1 END AS sign
+                  FROM (SELECT report_id, chunk_index,
+                               unnest(regexp_extract_all(lower(text), '[\p{{L}}\p{{N}}]+')) AS word FROM texts)),
+        weights AS (SELECT dim, CAST(floor(1000 * ln(((SELECT count(*) FROM texts WHERE chunk_index >= 0) + 1) / (n + 1)) + 0.5)
+                                     AS BIGINT) AS weight
+                    FROM (SELECT dim, count(*) FILTER (chunk_index >= 0) AS n
+                          FROM (SELECT DISTINCT report_id, chunk_index, dim FROM drawn) GROUP BY dim)),
+        valued AS (SELECT report_id, chunk_index, dim, CAST(sum(sign) * any_value(weight) AS BIGINT) AS v
+                   FROM drawn JOIN weights USING (dim) GROUP BY report_id, chunk_index, dim),
+        vectors AS (SELECT report_id, chunk_index, dim,
+                           round(CAST(v AS DOUBLE) * 16384.0 / sqrt(CAST(length AS DOUBLE)), 0) / 16384.0 AS value
+                    FROM (SELECT *, sum(v * v) OVER (PARTITION BY report_id, chunk_index) AS length FROM valued)
+                    WHERE v <> 0)"""
+
+
+def _best_passages(pieces: str, texts: str) -> str:
+    """Blocks, then the four nearest passages of each report, in text order."""
+    query = "mineral occurrence depth coordinates assay grade drill hole"
+    return f"""{_embedded(pieces, query)},
+        asked AS (SELECT dim, value AS wanted FROM vectors WHERE chunk_index = -1),
+        distances AS (SELECT p.report_id, p.chunk_index, p.text,
+                             (SELECT sum(wanted * wanted) FROM asked) + coalesce(d, 0) AS distance
+                      FROM {pieces} p LEFT JOIN (
+                          SELECT report_id, chunk_index, sum(value * value - 2 * value * coalesce(wanted, 0)) AS d
+                          FROM vectors LEFT JOIN asked USING (dim) GROUP BY report_id, chunk_index) USING (report_id, chunk_index)),
+        best AS (SELECT * FROM distances QUALIFY row_number() OVER (
+                     PARTITION BY report_id ORDER BY distance, chunk_index) <= 4)
+        SELECT t.report_id, coalesce(nullif(found, ''), t.text) AS context
+        FROM {texts} t LEFT JOIN (SELECT report_id, string_agg(text, ' ' ORDER BY chunk_index) AS found
+                                  FROM best GROUP BY report_id) USING (report_id)"""
+
+
+_KNOWN = """
+    SELECT report_id, content_hash,
+           CASE WHEN error IS NOT NULL THEN 'rejected'
+                WHEN EXISTS (SELECT 1 FROM hashed h
+                             WHERE h.source = 'src0' AND h.content_hash = g.content_hash)
+                THEN 'duplicate' ELSE status END AS status
+    FROM gated g"""
+
 _SELECTS = {
     "intake_status": """
         SELECT report_id, content_hash, status, error,
@@ -352,13 +415,8 @@ _SELECTS = {
               FROM (SELECT * FROM hashed UNION ALL SELECT * FROM hashed))
         GROUP BY ALL""",
     "intake_summary": "SELECT status, count(*) AS n_uploads FROM gated GROUP BY status",
-    "intake_registry": """
-        SELECT report_id, content_hash,
-               CASE WHEN error IS NOT NULL THEN 'rejected'
-                    WHEN EXISTS (SELECT 1 FROM hashed h
-                                 WHERE h.source = 'src0' AND h.content_hash = g.content_hash)
-                    THEN 'duplicate' ELSE status END AS status
-        FROM gated g""",
+    "intake_registry": _KNOWN,
+    "intake_stream_registry": _KNOWN,
     "accepted_documents": """
         SELECT report_id, text, content_hash FROM gated WHERE status = 'accepted'""",
     "intake_stream": "SELECT content_hash FROM gated WHERE status = 'accepted'",
@@ -379,6 +437,13 @@ _SELECTS = {
     "vector_topk_scoped": _NEAREST.format(
         columns="vec_id, label, rank", distance=_L2, scope="PARTITION BY e.label", where="", k=4
     ),
+    "vector_topk_deep": _NEAREST.format(
+        columns="vec_id, label, rank", distance=_L2, scope="PARTITION BY e.label", where="", k=5000
+    ),
+    "vector_index_exact": _NEAREST.format(
+        columns="vec_id, label", distance=_L2, scope="", where="", k=100
+    ),
+    "vector_index_lists": "SELECT label, count(*) AS n_vectors FROM embeddings GROUP BY label",
     "vector_cosine_scoped": _NEAREST.format(
         columns="vec_id, label, rank",
         distance=_COSINE,
@@ -411,7 +476,28 @@ _SELECTS = {
                CASE WHEN valid THEN 1 ELSE 2 END AS attempts, nullif(reason, '') AS reason,
                CASE WHEN valid THEN mineral END AS mineral
         FROM checked""",
-    "report_files": "SELECT text || chr(10) AS text FROM documents",
+    # Both waves in order of arrival; a hash is let in once, the last text let in under an id stays.
+    "document_versions": """
+        WITH sent AS (
+            SELECT 0 AS wave, doc_id, text FROM documents
+            UNION ALL SELECT 1, doc_id, text || ' Corrected in ' || lang FROM documents WHERE lang IS NOT NULL),
+        known AS (SELECT *, sha256(text) AS content_hash FROM sent WHERE strlen(text) >= 20),
+        let_in AS (SELECT * FROM known
+                   QUALIFY row_number() OVER (PARTITION BY content_hash ORDER BY wave, doc_id) = 1)
+        SELECT CAST(doc_id AS VARCHAR) AS report_id, text, content_hash FROM let_in
+        QUALIFY row_number() OVER (PARTITION BY doc_id ORDER BY wave DESC) = 1""",
+    "report_files": """
+        SELECT CAST(doc_id AS VARCHAR) AS report_id, text || chr(10) AS text FROM documents""",
+    "ledger_outcomes": """
+        SELECT report_id, CASE WHEN valid THEN 'extracted' ELSE 'failed' END AS status,
+               CASE WHEN valid AND CAST(substr(hole_id, 4) AS INT) % 2 = 0 THEN 1 ELSE 2 END AS attempts,
+               nullif(reason, '') AS reason, CASE WHEN valid THEN depth_m END AS depth_m
+        FROM checked""",
+    "embed_documents": f"""
+        WITH {_embedded("pieces")}
+        SELECT report_id || '-chunk-' || chunk_index AS id, dim, value FROM vectors WHERE value <> 0""",
+    "retrieve_passages": f"WITH {_best_passages('report_pieces', 'reports')}",
+    "retrieve_document_passages": f"WITH {_best_passages('pieces', 'uploads')}",
     "extract_rules": f"SELECT report_id, {_LIST} FROM stated",
     "extract_step": f"SELECT report_id, {_LIST} FROM stated",
     "validate_records": """
@@ -457,6 +543,14 @@ _SELECTS = {
         SELECT *, (SELECT count(*) FILTER (NOT valid) FROM checked) AS n_denied,
                (SELECT count(DISTINCT text) FROM reports) AS n_texts
         FROM regions""",
+    "survey_checks": """
+        SELECT 'completeness' AS dimension, 'share_of_uploads_with_a_verdict' AS name, 1.0 AS measured, true AS passed
+        UNION ALL SELECT 'validity', 'share_of_uploads_let_in',
+               round(count(DISTINCT text) / (2 * count(*)), 6), true FROM reports
+        UNION ALL SELECT 'correctness', 'share_of_failures_after_all_attempts', 1.0, true
+        UNION ALL SELECT 'completeness', 'share_of_reports_extracted', round(avg(CAST(valid AS INT)), 6),
+               avg(CAST(valid AS INT)) >= 0.75 FROM checked
+        UNION ALL SELECT 'timeliness', 'seconds_to_resolve', NULL, true""",
     "search_occurrences": f"{_SITES} WHERE mineral = 'Gold'",
     "search_all_occurrences": "SELECT mineral, lat_bucket, lon_bucket, n_reports FROM occurrences",
     "lookup_extraction": f"SELECT report_id, {_LIST} FROM valid WHERE report_id = 'RPT-5'",

@@ -67,6 +67,8 @@ LINK = _struct(
     ("report_id", T.StringType()),
 )
 
+ANSWER = _struct(("prompt_hash", T.StringType()), ("output", T.StringType()))
+
 ATTEMPT = _struct(("report_id", T.StringType()), ("attempts", T.LongType()))
 
 CHECK = _struct(

@@ -17,16 +17,19 @@ from docfacts.schemas import (
 )
 
 
-def read_reports(spark: SparkSession, path: str) -> DataFrame:
-    """Every ``*.txt`` of a folder as one document; ``report_id`` is the file stem."""
-    return (
-        spark.read.option("pathGlobFilter", "*.txt")
-        .text(path, wholetext=True)
-        .select(
-            F.regexp_extract(F.col("_metadata.file_name"), r"^(.*)\.txt$", 1).alias("report_id"),
-            F.col("value").alias("text"),
-        )
-    )
+def read_reports(spark: SparkSession, path: str, folder: str | None = None) -> DataFrame:
+    """Every ``*.txt`` of a folder as one document; ``report_id`` is the file stem.
+
+    With ``folder`` the files lie one to a folder named ``<folder>=<id>``, as Spark writes them,
+    and the id is taken from there.
+    """
+    name = F.regexp_extract(F.col("_metadata.file_name"), r"^(.*)\.txt$", 1)
+    if folder is not None:
+        name = F.regexp_extract(F.col("_metadata.file_path"), rf"/{folder}=([^/]*)/[^/]*$", 1)
+        for _ in ("the path as an address", "the value as a folder's name"):  # both are escaped
+            name = F.url_decode(F.replace(name, F.lit("+"), F.lit("%2B")))
+    files = spark.read.option("pathGlobFilter", "*.txt").option("recursiveFileLookup", folder is not None)
+    return files.text(path, wholetext=True).select(name.alias("report_id"), F.col("value").alias("text"))
 
 
 def read_labelled(spark: SparkSession, path: str, array_file: bool = True) -> DataFrame:

@@ -1,14 +1,19 @@
-"""Intake, attempt counting and upserts on streams."""
+"""Intake, attempt counting and upserts on streams.
+
+What a stream has to remember is kept by key in Spark's state store (RocksDB, snapshots below the
+checkpoint): the hashes let in so far, and the attempts of each report. A micro-batch touches
+the keys it holds and nothing else, however old the stream is.
+"""
 
 from __future__ import annotations
 
-from collections.abc import Callable, Sequence
+from collections.abc import Callable
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from docfacts.operators import extract, intake
+from docfacts.operators import intake
 from docfacts.sources.keyed import KeyedTable
 
 # Copies of one text are first dropped within this many shares, then across them.
@@ -63,49 +68,15 @@ def each_batch(
     )
 
 
-def gate_batch(registry: KeyedTable, verdicts: str, order_by: str | Sequence[str]) -> Batch:
-    """Intake with all three outcomes, duplicates and rejections included.
-
-    Each micro-batch runs the batch gate against the hashes accepted before it.
-    Verdicts and new hashes of a batch go to folders of their own, so repeating a batch
-    changes nothing.
-    """
-
-    def run(batch: DataFrame, number: int) -> None:
-        folder = f"{verdicts.rstrip('/')}/batch={number}"
-        known = registry.history(before=number)
-        intake.gate(batch, order_by, known).write.mode("overwrite").parquet(folder)
-        registry.put(intake.new_hashes(batch.sparkSession.read.parquet(folder)), number)
-
-    return run
-
-
-def admit_batch(
-    counters: KeyedTable,
-    verdicts: str,
-    order_by: str | Sequence[str],
-    slice_by: Column,
-    max_attempts: int = extract.MAX_ATTEMPTS,
-) -> Batch:
-    """A verdict for every attempt of a stream.
-
-    ``counters`` (key, attempts) holds what earlier batches used; a batch puts the new
-    counters of the reports it saw.
-    """
-
-    def run(batch: DataFrame, number: int) -> None:
-        folder = f"{verdicts.rstrip('/')}/batch={number}"
-        key = counters.key
-        prior = counters.read(before=number)
-        extract.admit(batch, order_by, slice_by, max_attempts, prior, key).write.mode(
-            "overwrite"
-        ).parquet(folder)
-        used = batch.sparkSession.read.parquet(folder).groupBy(key).agg(
-            F.max("attempts").alias("attempts")
-        )
-        counters.put(used, number)
-
-    return run
+def land(stream: DataFrame, path: str, checkpoint: str, **trigger) -> StreamingQuery:
+    """Append a stream to the Parquet files below ``path``, each row once; by default until the
+    present input is used up."""
+    return (
+        stream.writeStream.format("parquet")
+        .option("checkpointLocation", checkpoint)
+        .trigger(**(trigger or {"availableNow": True}))
+        .start(path)
+    )
 
 
 def put_batch(table: KeyedTable) -> Batch:

@@ -173,3 +173,29 @@ def test_admission_equals_one_sorted_task(spark):
         seen[row.report_id] = seen.get(row.report_id, 0) + 1
         assert row.attempts == seen[row.report_id] and row.allowed == (row.attempts <= 2)
     assert len(rows) == 900
+
+
+def test_ledger_asks_nothing_twice(spark, tmp_path):
+    """Equal prompts are asked once, a second run asks only for new reports, a retry has its own answers."""
+    log = tmp_path / "asked"
+
+    def connect():
+        def ask(prompts, max_tokens):
+            with open(log, "a") as file:
+                file.writelines("x" for _ in prompts)
+            fact = '{"mineral": "Gold", "depth_m": %s, "lat": -22.5, "lon": -68.1, "grade_g_t": 2.5, "hole_id": "DH-1"}'
+            return [fact % ("50000" if "hard" in p and "Note: " not in p else "100") for p in prompts]
+
+        return ask
+
+    texts = {f"r{i}": ("easy report", "hard report", f"own hard report {i}")[i % 3] for i in range(30)}
+    df = spark.createDataFrame(list(texts.items()), "report_id string, text string")
+    provider = extract.LedgerProvider(extract.BatchProvider(connect), str(tmp_path / "ledger"))
+    outcome = lambda some: {r.report_id: (r.status, r.attempts) for r in extract.run(some, provider).collect()}
+    want = {k: ("extracted", 2 if "hard" in t else 1) for k, t in texts.items()}
+    assert outcome(df) == want
+    asked = len(log.read_text())
+    assert asked == 12 + 11, "12 different prompts, 11 of them again with a hint"
+    assert outcome(df.repartition(5)) == want and len(log.read_text()) == asked
+    more = df.unionByName(spark.createDataFrame([("new", "another easy one")], df.schema))
+    assert outcome(more) == want | {"new": ("extracted", 1)} and len(log.read_text()) == asked + 1

@@ -127,3 +127,27 @@ def test_field_matches_and_summary(spark):
 def test_summary_of_nothing(spark):
     matches = evaluate.field_matches(spark.createDataFrame([], OUTCOME), spark.createDataFrame([], TRUTH))
     assert tuple(evaluate.summary(matches).first()) == (0, 0, 0.0, 0.0, 0.0)
+
+
+def test_suite_measures_while_stages_are_written(spark, tmp_path):
+    suite = quality.Suite(spark)
+    ran = spark.sparkContext.accumulator(0)
+
+    @F.udf("long")
+    def counted(x):
+        ran.add(1)
+        return x
+
+    stage = suite.stage(
+        spark.range(100).select(counted("id").alias("id")),
+        quality.Measure("validity", "small", F.avg((F.col("id") < 90).cast("int")), 0.9),
+        quality.Measure("completeness", "gone", F.count_if(F.col("id") > 97), 1.0, higher_is_better=False),
+    )
+    stage.write.parquet(str(tmp_path / "stage"))
+    with suite.timed("quick", 60):
+        pass
+    with suite.timed("never", -1):
+        pass
+    checks = {r["name"]: (r.dimension, r.passed) for r in suite.checks().collect()}
+    assert checks == {"small": ("validity", True), "gone": ("completeness", False), "quick": ("timeliness", True), "never": ("timeliness", False)}
+    assert ran.value == 100, "the measures took no pass of their own"

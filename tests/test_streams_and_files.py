@@ -1,4 +1,6 @@
+import hashlib
 import json
+import random
 
 import pytest
 from pyspark.sql import functions as F
@@ -8,7 +10,8 @@ from docfacts.schemas import ATTEMPT, OCCURRENCE, REGISTRY
 from docfacts.session import scratch_dir
 from docfacts.sources import readers, writers
 from docfacts.sources.keyed import KeyedTable
-from docfacts.streaming import online
+from docfacts.sources.prefixed import PrefixedTable
+from docfacts.streaming import online, state
 
 LONG = "a report text that is long enough"
 
@@ -18,6 +21,10 @@ def land(folder, name, rows):
     (folder / name).write_text("\n".join(r if isinstance(r, str) else json.dumps(r) for r in rows))
 
 
+def content_hash(text):
+    return hashlib.sha256(text.encode()).hexdigest()
+
+
 def upload(report_id, text, n=0):
     return {"report_id": report_id, "text": text}
 
@@ -43,28 +50,36 @@ def test_stream_accepts_each_text_once_over_batches(spark, tmp_path, watermark):
 
 
 def test_stream_verdicts_over_batches(spark, tmp_path):
-    source = tmp_path / "in"
-    registry = KeyedTable(spark, str(tmp_path / "registry"), REGISTRY, "content_hash")
-    verdicts, state = str(tmp_path / "verdicts"), str(tmp_path / "state")
+    """Each run starts again from the checkpoint and knows the hashes of the runs before it."""
+    source, out = tmp_path / "in", str(tmp_path / "verdicts")
+    registry = spark.createDataFrame([(content_hash("known from an earlier run"),)], "content_hash string")
 
     def run():
-        stream = readers.stream_uploads(spark, str(source))
-        gate = online.gate_batch(registry, verdicts, "report_id")
-        online.each_batch(stream, gate, state).awaitTermination()
-        return {r.report_id: r.status for r in spark.read.parquet(verdicts).collect()}
-
-    land(source, "1.json", [upload("A1", LONG), upload("A2", LONG), upload("A3", "short")])
-    assert run() == {"A1": "accepted", "A2": "duplicate", "A3": "rejected"}
-    land(source, "2.json", [upload("A0", LONG), upload("B1", LONG + "!")])
-    out = run()
-    assert out["A0"] == "duplicate" and out["B1"] == "accepted" and len(out) == 5
-    assert registry.history().count() == 2
+        stream = readers.stream_uploads(spark, str(source)).withColumn("at", F.nullif(F.length("report_id"), F.lit(9)))
+        found = state.verdicts(stream, ["at", "report_id"], registry)
+        assert "text" not in found.columns
+        query = online.land(found, out, str(tmp_path / "state"))
+        query.awaitTermination()
+        return {r.report_id: r.status for r in spark.read.parquet(out).collect()}, query.lastProgress
+
+    hot = [upload(f"H{i:03}", LONG + " hot") for i in range(200)]
+    random.Random(1).shuffle(hot)
+    rows = [upload("A2", LONG), upload("A1", LONG), upload("A3", "short"), upload("nullorder", LONG + "n"), upload("B", LONG + "n")]
+    land(source, "1.json", [*rows, *hot, upload("K", "known from an earlier run"), "not json"])
+    found, _ = run()
+    assert (found["A1"], found["A2"], found["A3"], found["K"]) == ("accepted", "duplicate", "rejected", "duplicate")
+    assert (found["B"], found["nullorder"]) == ("accepted", "duplicate"), "a null order comes last"
+    assert [k for k, v in found.items() if k and k[0] == "H" and v == "accepted"] == ["H000"] and len(found) == 207
+    land(source, "2.json", [upload("A0", LONG), upload("C", LONG + "!"), upload("H", LONG + " hot")])
+    found, progress = run()
+    assert (found["A0"], found["C"], found["H"], len(found)) == ("duplicate", "accepted", "duplicate", 210)
+    (operator,) = progress["stateOperators"]
+    assert operator["numRowsUpdated"] == 1, "of the state, only the new hash is written"
 
 
 def test_attempt_counters_and_admission_over_batches(spark, tmp_path):
     source = tmp_path / "in"
     totals = KeyedTable(spark, str(tmp_path / "totals"), ATTEMPT, "report_id")
-    counters = KeyedTable(spark, str(tmp_path / "counters"), ATTEMPT, "report_id")
     verdicts = str(tmp_path / "verdicts")
     schema = "report_id string, at long"
 
@@ -73,20 +88,41 @@ def test_attempt_counters_and_admission_over_batches(spark, tmp_path):
         online.each_batch(
             online.attempts(stream()), online.put_batch(totals), str(tmp_path / "s1"), "update"
         ).awaitTermination()
-        admit = online.admit_batch(counters, verdicts, "at", F.floor(F.col("at") / 2))
-        online.each_batch(stream(), admit, str(tmp_path / "s2")).awaitTermination()
+        online.land(state.admissions(stream(), "at"), verdicts, str(tmp_path / "s2")).awaitTermination()
         rows = spark.read.parquet(verdicts).collect()
         return (
             dict(map(tuple, totals.read().collect())),
-            sorted((r.report_id, r.at, r.attempts, r.allowed) for r in rows),
+            sorted((r.report_id or "", r.at or 0, r.attempts, r.allowed) for r in rows),
         )
 
-    land(source, "1.json", [{"report_id": "A", "at": 1}, {"report_id": "B", "at": 5}])
-    assert run() == ({"A": 1, "B": 1}, [("A", 1, 1, True), ("B", 5, 1, True)])
-    land(source, "2.json", [{"report_id": "A", "at": 7}, {"report_id": "A", "at": 9}])
+    land(source, "1.json", [{"report_id": "A", "at": 1}, {"report_id": "B", "at": 5}, {"at": 3}])
+    counts, rows = run()
+    assert counts == {"A": 1, "B": 1, None: 1}
+    assert rows == [("", 3, 1, True), ("A", 1, 1, True), ("B", 5, 1, True)]
+    land(source, "2.json", [{"report_id": "A", "at": 9}, {"report_id": "A", "at": 7}, {}, {"at": 4}])
     counts, rows = run()
-    assert counts == {"A": 3, "B": 1}
+    assert counts == {"A": 3, "B": 1, None: 3}
     assert [r for r in rows if r[0] == "A"] == [("A", 1, 1, True), ("A", 7, 2, True), ("A", 9, 3, False)]
+    assert [r for r in rows if r[0] == ""] == [("", 0, 2, True), ("", 3, 1, True), ("", 4, 3, False)]
+
+
+def test_idle_reports_are_let_go(spark, tmp_path):
+    """A timer clears the counter of a report once the watermark is an hour past its last attempt."""
+    source, out = tmp_path / "in", str(tmp_path / "out")
+
+    def run(number, *attempts):
+        land(source, f"{number}.json", [{"report_id": r, "at": f"2024-01-01T{at}:00Z"} for r, at in attempts])
+        stream = spark.readStream.schema("report_id string, at timestamp").json(str(source))
+        found = state.admissions(stream, "at", idle=("at", "0 seconds", 3600))
+        online.land(found, out, str(tmp_path / "state")).awaitTermination()
+        return {(r.report_id, r.at.hour): r.attempts for r in spark.read.parquet(out).collect()}
+
+    run(1, ("A", "01:00"), ("B", "01:00"))
+    run(2, ("B", "01:50"), ("C", "02:30"))
+    run(3, ("C", "04:00"))
+    found = run(4, ("A", "05:00"), ("C", "04:50"))
+    assert found[("A", 5)] == 1, "A was idle for more than an hour and counts anew"
+    assert found[("C", 4)] in (2, 3) and max(v for (r, _), v in found.items() if r == "C") == 3, "C was not"
 
 
 def test_stream_upsert_over_batches(spark, tmp_path):
@@ -106,6 +142,38 @@ def test_stream_upsert_over_batches(spark, tmp_path):
     assert run() == [("a", "three"), ("b", "b")]
 
 
+def test_prefixed_table(spark, tmp_path):
+    """Many puts against a dictionary; what a read opens stays bounded, and a put can be repeated."""
+    schema = spark.createDataFrame([], "k string, v long, x string").schema
+    table = PrefixedTable(spark, str(tmp_path / "t"), schema, "k", ["v"], digits=1, fan_in=3)
+    assert table.read().count() == 0 and table.lookup("k1").count() == 0
+    rng, want = random.Random(3), {}
+    for number in range(9):
+        rows = [(rng.choice([None, *(f"k{i}" for i in range(40))]), rng.randrange(5), f"{number}.{i}") for i in range(20)]
+        rows = list({(k, v): (k, v, x) for k, v, x in rows}.values())
+        df = spark.createDataFrame(rows, schema)
+        if number in (4, 7):
+            table.put(df.limit(3), number)  # a put that failed and is repeated
+        table.put(df, number)
+        for k, v, x in rows:
+            if k not in want or v >= want[k][0]:
+                want[k] = (v, x)
+        folders = table._manifest()
+        assert max(len(f) for f in folders.values()) < 3 and len(folders) <= 16
+        assert {r.k: (r.v, r.x) for r in table.read().collect()} == want
+    found = table.lookup("k1", "k2", "absent")
+    assert {r.k: (r.v, r.x) for r in found.collect()} == {k: want[k] for k in ("k1", "k2") if k in want}
+    opened = {f.rsplit("_prefix=", 1)[1][0] for f in found.inputFiles()}
+    assert opened <= {hashlib.md5(k.encode()).hexdigest()[0] for k in ("k1", "k2", "absent")}
+
+
+def test_document_folders(spark, tmp_path):
+    df = spark.createDataFrame([("a+b c/%d:é", "one"), ("d", "two\nlines")], "name string, text string")
+    df.write.partitionBy("name").text(str(tmp_path / "docs"))
+    read = readers.read_reports(spark, str(tmp_path / "docs"), folder="name")
+    assert {(r.report_id, r.text) for r in read.collect()} == {("a+b c/%d:é", "one\n"), ("d", "two\nlines\n")}
+
+
 def test_text_files(spark, tmp_path):
     (tmp_path / "RPT-001.txt").write_text("line one\n\nline two\n")
     (tmp_path / "RPT-002.txt").write_text("other")

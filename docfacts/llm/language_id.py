@@ -4,9 +4,9 @@ A text is the mean of the embeddings of its words' byte n-grams (``ORDERS``, wit
 at the word's ends), hashed to ``BUCKETS`` rows. Embeddings and softmax are trained by
 stochastic gradient descent in numpy; half of the steps see a few subwords only, so that
 short texts are learnt too. A part of the sample is kept from training: it sets the
-temperature of the scores, and the score below which a prediction is rejected (at most
-``REJECT_LIMIT``, which a text that is half in one and half in another language passes,
-and lower where more than ``REJECT_SHARE`` of it would be rejected).
+temperature of the scores, and the score below which a prediction is rejected: at most
+``REJECT_EDGE`` of the way from an even guess (1/k for k languages) to certainty, 0.35 for four
+languages, and lower where more than ``REJECT_SHARE`` of the part would be rejected.
 
 The classifier is fitted on a bounded sample: about ``ROWS_PER_LANGUAGE`` labelled rows
 for each language, chosen by a hash of the id. Prediction reads every whole text. As all
@@ -39,7 +39,7 @@ LEAST_STEPS = 6000
 RATE = 0.5
 FEW = 40
 REJECT_SHARE = 0.001
-REJECT_LIMIT = 0.35
+REJECT_EDGE = 0.4 / 3
 UNKNOWN = "und"
 
 _OTHER = re.compile(r"[\W\d_]+")
@@ -138,7 +138,8 @@ def train(samples: list[tuple[np.ndarray, np.ndarray, int]], languages: list[str
 
         model.heat = min(2.0 ** np.arange(-4, 4.5, 0.5), key=loss)
         best = np.sort(model.scores(sums, counts).max(axis=1))
-        model.needed = min(REJECT_LIMIT, float(best[int(REJECT_SHARE * len(best))]))
+        limit = (1 + REJECT_EDGE * (k - 1)) / k
+        model.needed = min(limit, float(best[int(REJECT_SHARE * len(best))]))
     return model
 
 

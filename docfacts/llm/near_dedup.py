@@ -313,5 +313,8 @@ def kept(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Dat
     first = rows.groupBy("label").agg(F.min(order).alias("first")).select("first.doc_id", "first.mark").distinct()
     mark = F.xxhash64(F.coalesce(docs[text_col], F.lit("")))
     same = docs[id_col].cast("long").eqNullSafe(first["doc_id"]) & (mark == first["mark"])
-    chosen = docs.join(first, same, "left_semi").withColumn("_mark", mark)
-    return chosen.dropDuplicates([id_col, "_mark"]).drop("_mark")
+    name = "_mark"
+    while name.lower() in (c.lower() for c in docs.columns):
+        name += "_"
+    chosen = docs.join(first, same, "left_semi").withColumn(name, mark)
+    return chosen.dropDuplicates([id_col, name]).drop(name)

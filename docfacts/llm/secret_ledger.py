@@ -15,6 +15,8 @@ An empty table gives no rows. Matches of one rule don't overlap; those of severa
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -26,11 +28,13 @@ RULES = (
     ("access", r"AKIA[A-Z0-9]{12}", r"AKIA[A-Z0-9]+", 0, 16),
     ("hex", r"[0-9a-f]{32}", r"[0-9a-f]{32,}", 0, 32),
     ("hub", r"gh[pousr]_[A-Za-z0-9]{36}", r"gh[pousr]_[A-Za-z0-9]+", 0, 40),
-    ("jwt", r"eyJ[A-Za-z0-9_-]{10}", r"eyJ[A-Za-z0-9_-]+\.eyJ[A-Za-z0-9_-]+\.[A-Za-z0-9_-]+", 0, 30),
-    ("key", r"-----BEGIN [A-Z ]*PRIVATE KEY-----", r"-----BEGIN [A-Z ]*PRIVATE KEY-----[A-Za-z0-9+/=\s]+-----END [A-Z ]*PRIVATE KEY-----", 0, 50),
+    ("jwt", r"eyJ[A-Za-z0-9_-]{10}", r"(?<![A-Za-z0-9_-])eyJ[A-Za-z0-9_-]++\.eyJ[A-Za-z0-9_-]++\.[A-Za-z0-9_-]+", 0, 30),
+    ("key", r"-----BEGIN [A-Z ]*PRIVATE KEY-----", r"-----BEGIN [A-Z ]*PRIVATE KEY-----[A-Za-z0-9+/=\s]++-----END [A-Z ]*PRIVATE KEY-----", 0, 50),
 )
 BASE = ("assign", "access", "hex")
 
+#: Matches that are walked through at a time.
+BLOCK = 128
 _SPAN = "array<struct<start:int,kind:int,end:int>>"
 
 
@@ -38,6 +42,15 @@ def rule_version(rules=RULES) -> Column:
     return F.sha2(F.lit(repr(rules)), 256)
 
 
+def _span(start: Column, kind: Column, end: Column) -> Column:
+    return F.struct(start.alias("start"), kind.alias("kind"), end.alias("end"))
+
+
+def _bound(value: Column, use: Callable[[Column], Column]) -> Column:
+    """``use(value)`` with the value computed once, however often it is used."""
+    return F.element_at(F.transform(F.array(value), use), 1)
+
+
 def _spans(text: Column, number: int, rule: tuple) -> Column:
     """The spans of one rule: each match begins after all pieces and matches before it."""
     _, needs, pattern, group, least = rule
@@ -48,21 +61,41 @@ def _spans(text: Column, number: int, rule: tuple) -> Column:
         F.transform(matches, F.length), F.slice(pieces, 1, F.size(matches)),
         lambda m, before: F.struct(before.alias("before"), m.alias("length")),
     )
-    walked = F.aggregate(
-        F.zip_with(steps, measured, lambda s, n: F.struct(s["before"].alias("before"), s["length"].alias("length"), n.alias("n"))),
-        F.struct(F.lit(0).alias("at"), F.array().cast(_SPAN).alias("found")),
-        lambda acc, s: F.struct(
-            (acc["at"] + s["before"] + s["length"]).alias("at"),
-            F.when(
-                s["n"] >= least,
-                F.concat(acc["found"], F.array(F.struct(
-                    (acc["at"] + s["before"]).alias("start"), F.lit(number).alias("kind"),
-                    (acc["at"] + s["before"] + s["length"]).alias("end"),
-                ))),
-            ).otherwise(acc["found"]).alias("found"),
-        ),
-        lambda acc: acc["found"],
+    steps = F.zip_with(
+        steps, measured, lambda s, n: F.struct(s["before"].alias("before"), s["length"].alias("length"), n.alias("n"))
+    )
+
+    def walk(block: Column) -> Column:
+        """Where a block of matches ends, and its spans, counted from its own beginning."""
+        return F.aggregate(
+            block,
+            F.struct(F.lit(0).alias("at"), F.array().cast(_SPAN).alias("found")),
+            lambda acc, s: F.struct(
+                (acc["at"] + s["before"] + s["length"]).alias("at"),
+                F.when(
+                    s["n"] >= least,
+                    F.concat(acc["found"], F.array(_span(
+                        acc["at"] + s["before"], F.lit(number), acc["at"] + s["before"] + s["length"]
+                    ))),
+                ).otherwise(acc["found"]).alias("found"),
+            ),
+        )
+
+    def placed(blocks: Column) -> Column:
+        """All spans: those of a block begin where the block before it ends."""
+        starts = F.aggregate(
+            blocks, F.array(F.lit(0)), lambda acc, block: F.concat(acc, F.array(F.element_at(acc, -1) + block["at"]))
+        )
+        return F.flatten(F.zip_with(blocks, F.slice(starts, 1, F.size(blocks)), lambda block, start: F.transform(
+            block["found"], lambda s: _span(s["start"] + start, s["kind"], s["end"] + start)
+        )))
+
+    # Arrays grow within a block and by block, so many matches cost a block's length each, not all of it.
+    in_blocks = lambda all_steps: F.transform(
+        F.sequence(F.lit(0), F.floor((F.size(all_steps) - 1) / BLOCK).cast("int")),
+        lambda b: walk(F.slice(all_steps, b * BLOCK + 1, F.lit(BLOCK))),
     )
+    walked = F.when(F.size(matches) > 0, _bound(_bound(steps, in_blocks), placed)).otherwise(F.array().cast(_SPAN))
     return F.when(text.rlike(needs), walked).otherwise(F.array().cast(_SPAN))
 
 

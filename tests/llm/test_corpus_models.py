@@ -8,6 +8,7 @@ import zlib
 import numpy as np
 import pytest
 import zstandard
+from pyspark.sql import functions as F
 
 import corpus_pipeline
 from docfacts.llm import html_text, language_id, lm_score, mixing, quality_bands, wavelet
@@ -116,6 +117,19 @@ def test_language_on_held_out_documents(spark, sf_dir):
     assert all(0 <= r.score <= 1 for r in found) and sum(r.rejected for r in found) <= 0.01 * len(found)
 
 
+@pytest.mark.parametrize("learnt", [("en", "de"), ("en", "fr", "de")])
+def test_a_language_that_was_not_learnt(spark, sf_dir, learnt):
+    """The limit lies above an even guess for any number of languages; clean texts pass it."""
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text", "lang")
+    known = docs.filter(F.col("lang").isin(*learnt))
+    model = language_id.fit(known, F.col("lang"))
+    assert 1 / len(learnt) < model.needed <= (1 + language_id.REJECT_EDGE * (len(learnt) - 1)) / len(learnt)
+    texts = [r.text for r in known.collect() if len(words(r.text)) > 20]
+    assert language_id.predict(model, texts)[2].mean() <= 0.02
+    mixed = [language_id.predict(model, ["\u4e2d\u6587 \u0440\u0443\u0441 " * 5])]
+    assert all(0 <= score[0] <= 1 for _, score, _ in mixed)
+
+
 def test_language_of_odd_rows(spark):
     letterless = [(9, "123 456 !? ", "en", "a", 1, "m", 1, "c"), (10, "²", "en", "a", 1, "m", 1, "c")]
     found = language_id.identify(frame(spark, rows() + letterless)).collect()

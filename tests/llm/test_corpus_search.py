@@ -5,6 +5,7 @@ import hashlib
 import itertools
 import random
 import re
+import time
 
 import numpy as np
 import pytest
@@ -87,6 +88,8 @@ def test_classes_of_odd_rows(spark):
     for r in found:
         of[r.doc_id].add(r.class_id)
     assert of[1] == of[2] == of[3] == {1} and of[6] == {6} and 6 in of[7]
+    clash = frame(spark).selectExpr("*", "mark AS _mark", "rank AS _mark_", "1 AS label", "2 AS content_", "3 AS node")
+    assert near_dedup.kept(clash).columns == clash.columns and near_dedup.kept(clash).count() == 7
     kept = near_dedup.kept(frame(spark))
     assert kept.columns == frame(spark).columns
     assert sorted(str(r.doc_id) for r in kept.collect()) == sorted(map(str, [1, None, 4, 5, 6, 7, 8]))
@@ -198,6 +201,26 @@ def test_secrets_by_brute_force(spark, sf_dir, tmp_path):
     assert secret_ledger.report(frame(spark, []), f"{tmp_path}/none").count() == 0
 
 
+def test_secrets_of_long_texts(spark, tmp_path):
+    """Texts of tokens only and texts of thousands of matches take time in proportion."""
+    hashes = [hashlib.sha256(str(i).encode()).hexdigest() for i in range(20_000)]
+    jwt = "eyJ" + "a" * 12 + ".eyJ" + "b" * 12 + "." + "c" * 9
+    texts = ["eyJhbGciOiJ" * 27_000, "\n".join(f"{h}  file{i}" for i, h in enumerate(hashes)), f"x {jwt} y{jwt}",
+             "-----BEGIN PRIVATE KEY-----abc" * 9000]
+    start = time.monotonic()
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    found = {r.doc_id: r for r in secret_ledger.report(docs, f"{tmp_path}/ledger").collect()}
+    assert time.monotonic() - start < 30
+    assert found[0].spans == "" and found[3].spans == ""
+    assert found[2].spans == f"jwt:2:{2 + len(jwt)}", "a token begins where no token character is before it"
+    assert found[1].n_hex == len(hashes)
+    at, want = 0, []
+    for i, h in enumerate(hashes):
+        want.append(f"hex:{at}:{at + 64}")
+        at += len(f"{h}  file{i}\n")
+    assert found[1].base_sha256 == hashlib.sha256(",".join(want).encode()).hexdigest()
+
+
 def test_patience_aligns_in_order():
     rng = random.Random(3)
     for _ in range(500):

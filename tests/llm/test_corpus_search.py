@@ -229,55 +229,95 @@ def test_patience_aligns_in_order():
         assert all(a[i] == b[j] for i, j in found)
         assert all(x < y and p < q for (x, p), (y, q) in zip(found, found[1:]))
     assert line_dedup.patience([1, 2, 3, 4], [9, 2, 3, 8]) == [(1, 1), (2, 2)]
+    assert line_dedup.patience([9, 5, 5, 8], [7, 5, 5, 6]) == [(1, 1), (2, 2)]
+
+
+def left_over(given):
+    """Each document's text without the runs of enough words that an earlier one holds."""
+    out, before = {}, set()
+    for i, text in sorted(given):
+        lines = text.split("\n")
+        at = [k for k, x in enumerate(lines) if words(x)]
+        bare = [lines[k].strip(" \t\n\r\x0b\x0c") for k in at]
+        runs = {}
+        for b in range(len(at)):
+            total = 0
+            for e in range(b, len(at)):
+                total += len(words(bare[e]))
+                if total >= line_dedup.BLOCK_WORDS:
+                    runs.setdefault(tuple(bare[b : e + 1]), set()).update(at[b : e + 1])
+                    if total - len(words(bare[b])) >= line_dedup.BLOCK_WORDS:
+                        break
+        gone = {k for run, places in runs.items() if run in before for k in places}
+        out[i] = "\n".join(x for k, x in enumerate(lines) if k not in gone)
+        before |= set(runs)
+    return out
 
 
-def left_over(given, rare):
-    """Each document's text without what earlier ones hold, by its definition."""
-    order = sorted(given)
-    bare = {i: [line.strip(" \t\n\r\x0b\x0c") for line in t.split("\n")] for i, t in order}
-    owner, docs = {}, collections.Counter()
-    for i, _ in order:
-        for line in set(bare[i]):
-            if len(words(line)) >= line_dedup.ANCHOR_WORDS:
-                owner.setdefault(line, i)
-                docs[line] += 1
-    out = {}
-    for i, text in order:
-        own, gone, pairs = bare[i], set(), set()
-        for line in set(own) & set(owner):
-            if owner[line] == i:
-                continue
-            if docs[line] <= rare:
-                pairs.add(owner[line])
-            elif len(words(line)) >= line_dedup.BLOCK_WORDS:
-                gone |= {k for k, x in enumerate(own) if x == line}
-        at = [k for k, x in enumerate(own) if x]
-        for other in pairs:
-            late = [own[k] for k in at]
-            gone |= {at[k] for k in line_dedup.common_blocks([x for x in bare[other] if x], late, [len(words(x)) for x in late])}
-        out[i] = "\n".join(x for k, x in enumerate(text.split("\n")) if k not in gone)
-    return out
+def texts_left(spark, given):
+    found = line_dedup.deduplicate(spark.createDataFrame(given, "doc_id long, text string")).collect()
+    assert all(r.n_deleted == r.n_lines - (r.text.count("\n") + 1 if r.n_deleted < r.n_lines else 0) for r in found)
+    return {r.doc_id: r.text for r in found}
 
 
 @pytest.mark.parametrize("rare", [1000, 2])
 def test_lines_by_brute_force(spark, sf_dir, monkeypatch, rare):
     monkeypatch.setattr(line_dedup, "RARE", rare)
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text")
-    found = line_dedup.deduplicate(docs).collect()
     given = {r.doc_id: r.text for r in docs.collect()}
-    assert {r.doc_id: r.text for r in found} == left_over(list(given.items()), rare)
+    found = line_dedup.deduplicate(docs).collect()
+    assert {r.doc_id: r.text for r in found} == left_over(list(given.items()))
     assert all(r.n_lines == given[r.doc_id].count("\n") + 1 for r in found) and sum(r.n_deleted for r in found) > 0
 
 
+@pytest.mark.parametrize("rare", [1000, 2])
+def test_short_and_repeated_lines_by_brute_force(spark, monkeypatch, rare):
+    """Lines of one to twelve words from a small stock, repeated, blank, in any order."""
+    monkeypatch.setattr(line_dedup, "RARE", rare)
+    rng = random.Random(rare)
+    stock = [prose(i, 1 + i % 12) for i in range(30)] + ["", "  "]
+    given = []
+    for i in range(60):
+        lines = [rng.choice(stock) for _ in range(rng.randrange(1, 25))]
+        if given and rng.random() < 0.5:
+            other = rng.choice(given)[1].split("\n")
+            start = rng.randrange(len(other))
+            lines[rng.randrange(len(lines)) :] = other[start : start + rng.randrange(1, 12)]
+        given.append((i, "\n".join([*lines, prose(1000 + i, 5)])))
+    assert texts_left(spark, given) == left_over(given)
+
+
+def test_passages_that_an_alignment_does_not_see(spark):
+    two_words = [prose(300 + i, 2) for i in range(40)]
+    twelve = prose(400, 12)
+    block = [prose(500 + i, 6) for i in range(8)]
+    given = [(i, "\n".join([prose(1000 + i, 9), *two_words, prose(2000 + i, 9)])) for i in range(3)]
+    given += [(i, "\n".join([prose(1000 + i, 9), twelve, twelve, prose(2000 + i, 9)])) for i in (10, 11)]
+    given += [(20 + i, f"{line}\n{prose(1020 + i, 9)}") for i, line in enumerate(block)]
+    given += [(i, "\n".join([prose(1000 + i, 9), *block, prose(2000 + i, 9)])) for i in (40, 41)]
+    found = texts_left(spark, given)
+    assert found == left_over(given)
+    for i in (1, 2, 11, 41):
+        assert found[i] == f"{prose(1000 + i, 9)}\n{prose(2000 + i, 9)}"
+    for i in (0, 10, 40):
+        assert found[i] == dict(given)[i]
+
+
+def test_deleting_many_lines_takes_time_in_proportion(spark):
+    lines = [prose(i, 12) for i in range(20_000)]
+    start = time.monotonic()
+    found = texts_left(spark, [(1, "\n".join(lines)), (2, "\n".join([*lines, "own"]))])
+    assert time.monotonic() - start < 20 and found[2] == "own" and found[1] == "\n".join(lines)
+
+
 def test_a_frequent_passage_of_short_lines(spark, monkeypatch):
     """It goes from all later documents however many share it, also where its lines differ in length."""
     monkeypatch.setattr(line_dedup, "RARE", 5)
-    monkeypatch.setattr(line_dedup, "RUNS_FROM", 5, raising=False)
     even = [prose(100 + i, 7) for i in range(8)]
     mixed = [prose(200, 5), prose(201, 3), "", prose(202, 12), prose(203, 4), prose(204, 2)]
     few = [prose(300, 4), prose(301, 4)]
     given = [(i, "\n".join([prose(10_000 + i, 9), *even, prose(20_000 + i, 9), *mixed, prose(30_000 + i, 9), *few])) for i in range(9)]
-    found = {r.doc_id: r.text.split("\n") for r in line_dedup.deduplicate(spark.createDataFrame(given, "doc_id long, text string")).collect()}
+    found = {i: text.split("\n") for i, text in texts_left(spark, given).items()}
     assert found[0] == given[0][1].split("\n")
     for i in range(1, 9):
         assert found[i] == [prose(10_000 + i, 9), prose(20_000 + i, 9), "", prose(30_000 + i, 9), *few]

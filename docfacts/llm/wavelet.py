@@ -66,7 +66,7 @@ class WaveletMatrix:
     def __init__(self, length: int, planes: list[np.ndarray]):
         self.length, self.planes = length, planes  # packed, the highest bit first
         self.ones = [self._directory(plane) for plane in planes]
-        self.zeros = [length - int(np.unpackbits(plane, count=length).sum()) for plane in planes]
+        self.zeros = [length - int(ones[-1]) for ones in self.ones]
 
     @staticmethod
     def _directory(plane: np.ndarray) -> np.ndarray:
@@ -79,9 +79,12 @@ class WaveletMatrix:
     def build(cls, values: np.ndarray, depth: int) -> WaveletMatrix:
         planes, now = [], np.asarray(values, np.uint16 if depth <= 16 else np.uint32)
         for bit in range(depth - 1, -1, -1):
-            ones = (now >> bit) & 1 == 1
+            ones = ((now >> bit) & 1).astype(bool)
             planes.append(np.packbits(ones))
-            now = np.concatenate([now[~ones], now[ones]])
+            after, zeros = np.empty_like(now), len(now) - int(np.count_nonzero(ones))
+            np.compress(~ones, now, out=after[:zeros])
+            np.compress(ones, now, out=after[zeros:])
+            now = after
         return cls(len(values), planes)
 
     def decode(self) -> np.ndarray:
@@ -89,9 +92,9 @@ class WaveletMatrix:
         kind = np.uint16 if len(self.planes) <= 16 else np.uint32
         now = np.zeros(self.length, kind)
         for bit, (plane, zeros) in enumerate(zip(reversed(self.planes), reversed(self.zeros))):
-            ones = np.unpackbits(plane, count=self.length).astype(bool)
+            ones = np.unpackbits(plane, count=self.length).view(bool)
             back = np.empty(self.length, kind)
-            back[~ones], back[ones] = now[:zeros], now[zeros:] | kind(1 << bit)
+            back[np.flatnonzero(~ones)], back[np.flatnonzero(ones)] = now[:zeros], now[zeros:] | kind(1 << bit)
             now = back
         return now
 

@@ -26,16 +26,17 @@ def parse_outputs(df: DataFrame, output: str, schema: T.StructType = RECORD) ->
         for f in fields
     }
 
-    # One projection per step keeps every regex, parse and look-up evaluated once.
-    parsed = (
-        df.withColumn("_clean", text.without_reasoning(F.col(output)))
-        .withColumn("_block", text.json_block(clean))
-        .withColumn("_parsed", records.parsed_block(block))
-        .withColumn("_variant", records.sole_object(F.col("_parsed")))
-        .withColumns({f"_kind_{f.name}": records.field_kind(variant, f.name) for f in fields})
-        .withColumns(
-            {f"_value_{n}": read[n](variant, kind[n], n) for n in (f.name for f in fields)}
-        )
+    # Each step is evaluated once per row; apart, their generated code stays small enough to be compiled.
+    blocks = computed_once(
+        df.withColumn("_clean", text.without_reasoning(F.col(output))),
+        {"_clean": clean, "_block": text.json_block(clean)},
+    )
+    objects = computed_once(
+        blocks.withColumn("_parsed", records.parsed_block(block)), {"_variant": records.sole_object(F.col("_parsed"))}
+    ).drop("_parsed")
+    kinds = computed_once(objects, {f"_kind_{f.name}": records.field_kind(variant, f.name) for f in fields})
+    parsed = computed_once(
+        kinds, {f"_value_{n}": read[n](variant, kind[n], n) for n in (f.name for f in fields)}
     )
     unparsed = F.when(block.isNull(), records.no_object(clean)).when(
         variant.isNull(), F.array(records.field_error("output", F.lit(records.BAD_JSON)))

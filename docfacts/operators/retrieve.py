@@ -115,7 +115,7 @@ def _ranked(
 ) -> DataFrame:
     for name, wanted in (where or {}).items():
         vectors = vectors.filter(F.col(name) == F.lit(wanted))
-    found = vectors.withColumn("distance", distance(F.col("embedding"), query, metric))
+    found = computed_once(vectors, {"distance": distance(F.col("embedding"), query, metric)})
     return found.filter(F.col("distance").isNotNull()).drop("embedding")
 
 

@@ -529,8 +529,8 @@ def extraction_upsert_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     written = derived.records(stream).withColumn(
         "report_id", F.concat(F.lit("CUST-"), F.col("c").cast("string"))
     )
-    stored = KeyedTable(
-        spark, f"{work}/extractions", _by_customer(spark, sf_dir).schema, "report_id", ["k"]
+    stored = PrefixedTable(
+        spark, f"{work}/extractions", _by_customer(spark, sf_dir).schema, "report_id", ["k"], digits=1, fan_in=3
     )
     online.each_batch(written, online.put_batch(stored), f"{work}/state").awaitTermination()
     return stored.read().select("report_id", *RECORD_FIELDS)

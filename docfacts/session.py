@@ -27,15 +27,23 @@ def local_session(cores: str | int = "*", app: str = "docfacts", **conf: str) ->
     return spark
 
 
-def _checkpoint_root(spark: SparkSession) -> str:
-    """The shared folder named by ``spark.checkpoint.dir``, else one below the warehouse.
+def scratch_root(warehouse: str, master: str) -> str:
+    """Where scratch data goes if ``spark.checkpoint.dir`` is unset: below the warehouse.
 
-    The rule is the same for every master: both are folders that all executors reach.
+    Under a cluster master that must be a shared folder. A folder of the machine is refused, as
+    every executor would write to its own and later reads would miss the others' files.
     """
+    if not master.startswith("local") and (":" not in warehouse or warehouse.startswith("file:")):
+        raise ValueError(f"{warehouse} is local to each machine; set spark.checkpoint.dir to a shared folder")
+    return f"{warehouse.rstrip('/')}/scratch"
+
+
+def _checkpoint_root(spark: SparkSession) -> str:
+    """The shared folder named by ``spark.checkpoint.dir``, else one below the warehouse."""
     context = spark.sparkContext
     root = spark.conf.get("spark.checkpoint.dir", None) or context.getCheckpointDir()
     if root is None:
-        root = f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/scratch"
+        root = scratch_root(spark.conf.get("spark.sql.warehouse.dir"), context.master)
     if context.getCheckpointDir() is None:
         context.setCheckpointDir(root)
     return root

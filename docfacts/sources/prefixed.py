@@ -8,7 +8,7 @@ of its keys. Folders are never changed: a reader goes on with the manifest it ha
 
 A put is named by an ascending number. Repeating the last one after a failure starts from the
 manifest before it and gives the same table, so streams can use it as an exactly-once sink. The
-manifest alternates between two places: the one of the put before stays valid until the new one
+manifest alternates between two places: the one a put starts from stays valid until the new one
 is written.
 """
 
@@ -45,18 +45,20 @@ class PrefixedTable:
     def _prefix(self, key: Column) -> Column:
         return F.substring(F.md5(F.coalesce(key.cast("string"), F.lit(""))), 1, self.digits)
 
-    def _manifest(self, before: int | None = None) -> dict[str, list[str]]:
-        """The current folders of each prefix, oldest first, as of the last put below ``before``."""
+    def _manifest(self, before: int | None = None) -> tuple[int, dict[str, list[str]]]:
+        """Where the last manifest below ``before`` stands, and the current folders of each prefix
+        by it, oldest first."""
         schema = T.StructType.fromDDL(_MANIFEST)
-        found: dict[int, list] = {}
+        found: dict[int, tuple[int, list]] = {}
         for place in (0, 1):
             for row in parquet_or_empty(self.spark, f"{self.path}/manifest-{place}", schema).collect():
                 if before is None or row["number"] < before:
-                    found.setdefault(row["number"], []).append(row)
+                    found.setdefault(row["number"], (place, []))[1].append(row)
+        place, rows = found[max(found)] if found else (1, [])
         current: dict[str, list[str]] = {}
-        for row in sorted(found[max(found)], key=lambda r: r["folder"]) if found else []:
+        for row in sorted(rows, key=lambda r: r["folder"]):
             current.setdefault(row["prefix"], []).append(row["folder"])
-        return current
+        return place, current
 
     def _open(self, folders: dict[str, list[str]]) -> DataFrame:
         with_put = T.StructType([*self.schema.fields, T.StructField("_put", T.LongType())])
@@ -79,7 +81,7 @@ class PrefixedTable:
         rows = rows.select(*self.schema.fieldNames())
         if self.version:
             rows = latest(rows, self.key, self.version)
-        folders = self._manifest(before=number)
+        place, folders = self._manifest(before=number)
         name = f"put-{number:012d}"
         for prefix in self._write(rows.withColumn("_put", F.lit(number).cast("long")), name):
             folders.setdefault(prefix, []).append(name)
@@ -90,7 +92,7 @@ class PrefixedTable:
             folders |= {prefix: [merged] for prefix in full}
         entries = [(number, prefix, folder) for prefix, names in folders.items() for folder in names]
         self.spark.createDataFrame(entries, _MANIFEST).coalesce(1).write.mode("overwrite").parquet(
-            f"{self.path}/manifest-{number % 2}"
+            f"{self.path}/manifest-{1 - place}"
         )
 
     def _latest(self, rows: DataFrame) -> DataFrame:
@@ -98,12 +100,12 @@ class PrefixedTable:
 
     def read(self) -> DataFrame:
         """The current row of every key."""
-        return self._latest(self._open(self._manifest())).drop("_put")
+        return self._latest(self._open(self._manifest()[1])).drop("_put")
 
     def lookup(self, *keys: object) -> DataFrame:
         """The current rows of some keys; only the folders of their prefixes are opened."""
         asked = self.spark.createDataFrame([(str(k),) for k in keys], "k string").select(self._prefix(F.col("k")))
         prefixes = {row[0] for row in asked.collect()}
-        folders = {prefix: names for prefix, names in self._manifest().items() if prefix in prefixes}
+        folders = {prefix: names for prefix, names in self._manifest()[1].items() if prefix in prefixes}
         wanted = F.col(self.key).cast("string").isin([str(k) for k in keys])
         return self._latest(self._open(folders).filter(wanted)).drop("_put")

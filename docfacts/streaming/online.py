@@ -15,6 +15,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from docfacts.operators import intake
 from docfacts.sources.keyed import KeyedTable
+from docfacts.sources.prefixed import PrefixedTable
 
 # Copies of one text are first dropped within this many shares, then across them.
 DEDUP_SHARES = 16
@@ -79,6 +80,6 @@ def land(stream: DataFrame, path: str, checkpoint: str, **trigger) -> StreamingQ
     )
 
 
-def put_batch(table: KeyedTable) -> Batch:
+def put_batch(table: KeyedTable | PrefixedTable) -> Batch:
     """Keep ``table`` at the latest row of each key of a stream."""
     return table.put

@@ -1,5 +1,8 @@
 """Every registered query against its SQL on the given tables."""
 
+import subprocess
+import sys
+
 import pytest
 
 import __spark_entry__ as entry_points
@@ -25,3 +28,16 @@ def test_every_sql_has_a_query():
 
 def test_entry_has_rows(spark):
     assert entry_points.entry(spark).count() > 0
+
+
+@pytest.mark.parametrize("absent", ["docfacts.llm", "corpus_pipeline", "zstandard"])
+def test_other_queries_do_without_those_for_training_data(absent):
+    code = f"""
+import sys
+sys.modules[{absent!r}] = None
+import __spark_entry__ as entry
+names = entry.queries()
+assert "intake_status" in names and "pipeline" not in names and not any(n.startswith("op") for n in names)
+assert set(entry.oracle_sql()) <= set(names)
+"""
+    subprocess.run([sys.executable, "-W", "ignore", "-c", code], check=True, timeout=120)

@@ -2,8 +2,11 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+import hashlib
+from collections.abc import Iterator, Sequence
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -12,51 +15,54 @@ from pyspark.sql import functions as F
 # that squares and their sums are exact in doubles, in any order.
 WORD = r"[\p{L}\p{N}]+"
 UNIT = 1 << 14
-
-
-def signed_draws(words: Column, dims: int) -> Column:
-    """Two numbers in one for each word, from its MD5: twice the dimension, plus 1 where it counts
-    negatively."""
-    def draw(word: Column) -> Column:
-        digits = F.md5(word)
-        dim = F.pmod(F.conv(F.substring(digits, 1, 8), 16, 10).cast("long"), F.lit(dims))
-        return (dim * 2 + (F.substring(digits, 9, 1) >= "8").cast("long")).cast("int")
-
-    return F.transform(words, draw)
-
-
-def signed_counts(draws: Column, different: Column, starts: Column, weights: Sequence[int]) -> Column:
-    """For each of the ``different`` draws, its weight times how often it occurs, with its sign.
-
-    ``draws`` is sorted; ``starts`` says where each of the different ones begins, from 1.
-    """
-    table = F.array(*[F.lit(int(w)).cast("long") for w in weights])
-    end = lambda i: F.coalesce(F.get(starts, i + 1), F.size(draws).cast("long") + 1)
-    return F.transform(
-        different,
-        lambda draw, i: F.get(table, F.shiftright(draw, 1))
-        * F.when(draw.bitwiseAND(1) == 0, 1).otherwise(-1)
-        * (end(i) - F.get(starts, i)),
-    )
-
-
-def per_dimension(dims: Column, different: Column, signed: Column) -> Column:
-    """The sum of what counts for and against each of ``dims``: whole numbers."""
-    at = lambda draw: F.coalesce(F.get(signed, (F.array_position(different, draw) - 1).cast("int")), F.lit(0).cast("long"))
-    return F.transform(dims, lambda d: at(d * 2) + at(d * 2 + 1))
-
-
-def unit_vector(dims: Column, values: Column, length: Column, size: int) -> Column:
-    """``size`` components: ``values`` at ``dims``, scaled to length one and rounded to multiples
-    of 2 ** -14, zeros elsewhere. Gaps are filled, so the work follows the values that are there."""
-    unit = F.lit(float(UNIT))
-    rounded = lambda x: F.signum(x.cast("double")) * F.floor(F.abs(x).cast("double") * unit / length + 0.5) / unit
-    gap = lambda d, i: d - F.coalesce(F.get(dims, i - 1), F.lit(-1)) - 1
-    zeros = lambda n: F.array_repeat(F.lit(0.0), n)
-    pieces = F.transform(dims, lambda d, i: F.concat(
-        zeros(gap(d, i)), F.array(F.when(F.get(values, i) == 0, F.lit(0.0)).otherwise(rounded(F.get(values, i))))
-    ))
-    return F.concat(F.flatten(pieces), zeros(F.lit(size - 1) - F.coalesce(F.array_max(dims), F.lit(-1))))
+# Components held at once while a batch is encoded.
+CELLS = 1 << 20
+
+
+def _draws(words: pa.Array, dims: int) -> tuple[np.ndarray, np.ndarray]:
+    """Dimension and sign of each word, from its MD5. Equal words are hashed once."""
+    coded = words.dictionary_encode()
+    digests = b"".join(hashlib.md5(w, usedforsecurity=False).digest() for w in coded.dictionary.cast(pa.binary()).to_pylist())
+    found = np.frombuffer(digests, np.uint8).reshape(-1, 16)
+    which = coded.indices.to_numpy(zero_copy_only=False)
+    drawn = found[:, :4].copy().view(">u4").ravel().astype(np.int64) % dims
+    return drawn[which], np.where(found[:, 4] < 128, 1, -1)[which]
+
+
+def _places(words: pa.Array, dims: int) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
+    """For a batch of word lists in stretches of at most ``CELLS`` components: how many lists, and
+    place (list * dims + dimension) and sign of each word."""
+    step = max(1, CELLS // dims)
+    for start in range(0, len(words), step):
+        part = words.slice(start, step)
+        lengths = part.value_lengths().to_numpy(zero_copy_only=False)
+        drawn, sign = _draws(part.flatten(), dims)
+        yield len(part), np.repeat(np.arange(len(part)) * dims, lengths) + drawn, sign
+
+
+def lists_with_dimension(words: pa.Array, dims: int) -> np.ndarray:
+    """For each dimension, how many of the word lists have a word in it."""
+    total = np.zeros(dims, np.int64)
+    for n, places, _ in _places(words, dims):
+        used = np.zeros(n * dims, bool)
+        used[places] = True
+        total += used.reshape(n, dims).sum(axis=0)
+    return total
+
+
+def unit_vectors(words: pa.Array, weights: np.ndarray) -> pa.Array:
+    """The vector of each word list: whole-number sums of signed weights, scaled to length one and
+    rounded to multiples of 2 ** -14."""
+    dims, done = len(weights), [np.zeros(0)]
+    for n, places, sign in _places(words, dims):
+        sums = np.zeros(n * dims, np.int64)
+        np.add.at(sums, places, sign * weights[places % dims])
+        sums = sums.reshape(n, dims)
+        length = np.sqrt((sums * sums).sum(axis=1).astype(np.float64))
+        length[length == 0] = 1
+        size = np.floor(np.abs(sums).astype(np.float64) * UNIT / length[:, None] + 0.5)
+        done.append((np.sign(sums) * size / UNIT).ravel())
+    return pa.ListArray.from_arrays(np.arange(len(words) + 1, dtype=np.int32) * dims, np.concatenate(done))
 
 
 def _sum_over(vector: Column, query: Sequence[float] | Column, term) -> Column:
@@ -97,3 +103,30 @@ def distance(vector: Column, query: Sequence[float] | Column, metric: str = "l2"
     if metric not in METRICS:
         raise ValueError(f"unknown metric {metric!r}, expected one of {sorted(METRICS)}")
     return METRICS[metric](vector, query)
+
+
+def squared_l2_by_batches(vector: Column, to: Sequence[float]) -> Column:
+    """``squared_l2`` to one vector, the same bits by Arrow batches. It is evaluated once per row:
+    filters above don't repeat it."""
+    query = np.array([float(x) for x in to], np.float64)
+
+    @F.arrow_udf("double")
+    def run(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        for vectors in batches:
+            known = vectors.drop_null()
+            lengths = known.value_lengths().to_numpy(zero_copy_only=False)
+            if (lengths != len(query)).any():
+                raise ValueError(f"vector of {lengths[lengths != len(query)][0]} dimensions, expected {len(query)}")
+            found = np.zeros(len(vectors))
+            missing = vectors.is_null().to_numpy(zero_copy_only=False).copy()
+            at, step = np.flatnonzero(~missing), max(1, CELLS // max(1, len(query)))
+            for start in range(0, len(known) if len(query) else 0, step):
+                part = known.slice(start, step).flatten()
+                values = part.to_numpy(zero_copy_only=False).reshape(-1, len(query))
+                found[at[start : start + step]] = np.cumsum((values - query) ** 2, axis=1)[:, -1]
+                if part.null_count:
+                    gaps = part.is_null().to_numpy(zero_copy_only=False).reshape(-1, len(query)).any(axis=1)
+                    missing[at[start : start + step]] = gaps
+            yield pa.array(found, mask=missing)
+
+    return run.asNondeterministic()(vector.cast("array<double>"))

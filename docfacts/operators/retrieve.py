@@ -1,7 +1,8 @@
 """Embeddings and exact nearest-passage retrieval.
 
 Spark plan: the query vector is one row and is written into the expression, so
-distances are computed in the scan stage without any join. A global top-k is a
+distances are computed in the scan stage without any join; vectors of the default encoder
+go to their distance within one Python worker. A global top-k is a
 ``TakeOrderedAndProject``. A scoped top-k keeps k rows per scope in every map task
 before its shuffle (Spark's window group limit), so a report that owns a third of all
 passages sends k rows per task. Spark has that limit for small k only; for others a scope is
@@ -16,11 +17,12 @@ from typing import Any
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from docfacts.functions import text
-from docfacts.functions.vectors import WORD, distance, per_dimension, signed_counts, signed_draws, unit_vector
+from docfacts.functions.vectors import WORD, distance, lists_with_dimension, squared_l2_by_batches, unit_vectors
 from docfacts.session import computed_once
 
 # What extraction searches for, and how many passages it needs.
@@ -34,7 +36,7 @@ class TermEncoder:
 
     A word's MD5 draws its dimension and sign. A dimension weighs by how few passages have a
     word in it, as a whole number (thousandths of a logarithm). Fitting reads the corpus once and
-    keeps one weight per dimension; encoding is column expressions without any shuffle.
+    keeps one weight per dimension; encoding goes by Arrow batches, without any shuffle.
     Components are multiples of 2 ** -14, so that distances are exact sums.
     """
 
@@ -42,42 +44,40 @@ class TermEncoder:
         self.dims = dims
         self.weights: list[int] | None = None
 
-    def _draws(self, df: DataFrame, text_col: str) -> DataFrame:
-        words = F.regexp_extract_all(F.lower(F.coalesce(text_col, F.lit(""))), F.lit(WORD), F.lit(0))
-        return computed_once(df, {"_draws": F.array_sort(signed_draws(words, self.dims))})
+    def _words(self, text_col: str) -> Column:
+        return F.regexp_extract_all(F.lower(F.coalesce(text_col, F.lit(""))), F.lit(WORD), F.lit(0))
 
     def fit(self, corpus: DataFrame, text_col: str = "text") -> TermEncoder:
-        """At most one count for each dimension, and one for all, reach the driver."""
-        used = F.array_distinct(F.transform("_draws", lambda draw: F.shiftright(draw, 1)))
-        found = self._draws(corpus.select(text_col), text_col).select(
-            F.explode(F.concat(F.array(F.lit(-1)), used)).alias("dim")
-        )
-        passages = {row["dim"]: row["n"] for row in found.groupBy("dim").agg(F.count("*").alias("n")).collect()}
-        everything = passages.get(-1, 0)
-        self.weights = [
-            math.floor(1000 * math.log((everything + 1) / (passages.get(d, 0) + 1)) + 0.5) for d in range(self.dims)
-        ]
+        """Each task counts its passages; at most one count for each dimension, and one for all,
+        reach the driver."""
+        dims = self.dims
+
+        def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            passages, everything = np.zeros(dims, np.int64), 0
+            for batch in batches:
+                passages += lists_with_dimension(batch.column(0), dims)
+                everything += batch.num_rows
+            counts = np.append(passages, everything)
+            yield pa.RecordBatch.from_arrays([pa.array(range(dims + 1), pa.int32()), pa.array(counts)], ["dim", "n"])
+
+        counted = corpus.select(self._words(text_col).alias("words")).mapInArrow(count, "dim int, n long")
+        found = {row["dim"]: row["n"] for row in counted.groupBy("dim").agg(F.sum("n").alias("n")).collect()}
+        everything = found.get(dims, 0)
+        self.weights = [math.floor(1000 * math.log((everything + 1) / (found.get(d, 0) + 1)) + 0.5) for d in range(dims)]
         return self
 
     def encode(self, df: DataFrame, text_col: str = "text") -> DataFrame:
         if self.weights is None:
             self.fit(df, text_col)
-        draws, different, dims, values = (F.col(c) for c in ("_draws", "_different", "_dims", "_values"))
-        steps = [
-            {"_different": F.array_distinct(draws)},
-            {
-                "_starts": F.transform(different, lambda draw: F.array_position(draws, draw)),
-                "_dims": F.array_distinct(F.transform(different, lambda draw: F.shiftright(draw, 1))),
-            },
-            {"_signed": signed_counts(draws, different, F.col("_starts"), self.weights)},
-            {"_values": per_dimension(dims, different, F.col("_signed"))},
-            {"_length": F.sqrt(F.aggregate(values, F.lit(0).cast("long"), lambda total, x: total + x * x).cast("double"))},
-            {"embedding": unit_vector(dims, values, F.col("_length"), self.dims)},
-        ]
-        coded = self._draws(df, text_col)
-        for step in steps:  # each evaluated once per row, however often the next one uses it
-            coded = computed_once(coded, step)
-        return coded.select(*[c for c in df.columns if c != "embedding"], "embedding")
+        weights = np.array(self.weights, np.int64)
+
+        @F.arrow_udf("array<double>")
+        def run(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+            for words in batches:
+                yield unit_vectors(words, weights)
+
+        kept = [c for c in df.columns if c != "embedding"]
+        return df.select(*kept, run(self._words(text_col)).alias("embedding"))
 
 
 class BatchEncoder:
@@ -115,7 +115,10 @@ def _ranked(
 ) -> DataFrame:
     for name, wanted in (where or {}).items():
         vectors = vectors.filter(F.col(name) == F.lit(wanted))
-    found = computed_once(vectors, {"distance": distance(F.col("embedding"), query, metric)})
+    if metric == "l2" and not isinstance(query, Column):
+        found = vectors.withColumn("distance", squared_l2_by_batches(F.col("embedding"), query))
+    else:
+        found = computed_once(vectors, {"distance": distance(F.col("embedding"), query, metric)})
     return found.filter(F.col("distance").isNotNull()).drop("embedding")
 
 

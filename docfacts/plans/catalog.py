@@ -319,7 +319,7 @@ def _retrieved(reports: DataFrame) -> DataFrame:
 @query
 def retrieve_passages(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The best passages of the derived reports."""
-    return _retrieved(derived.reports(table(spark, sf_dir, "orders")))
+    return _retrieved(derived.reports(derived.spread(table(spark, sf_dir, "orders"))))
 
 
 @query
@@ -698,7 +698,7 @@ def _survey(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
     """
     base, suite, check = scratch_dir(spark, "survey-run"), quality.Suite(spark), quality.Measure
     status = F.col("status")
-    sent = derived.reports(table(spark, sf_dir, "orders"))
+    sent = derived.reports(derived.spread(table(spark, sf_dir, "orders")))
     again = sent.withColumn("report_id", F.concat(F.lit("again-"), "report_id"))
     gated = suite.stage(
         intake.gate(sent.unionByName(again), "report_id"),

@@ -17,6 +17,13 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def spread(orders: DataFrame) -> DataFrame:
+    """The keys of the orders dealt out over all cores. A small file of keys is one task's input;
+    what is derived from a key is far larger than the key, and so is the work on it."""
+    tasks = 3 * orders.sparkSession.sparkContext.defaultParallelism
+    return orders.select("o_orderkey", "o_custkey").repartition(tasks, "o_orderkey", "o_custkey")
+
+
 def _decimal(value: Column, digits: int) -> Column:
     """``value`` counted in units of the last of ``digits`` decimals."""
     return (value / F.lit(10**digits)).cast(f"decimal(9,{digits})")

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from docfacts.operators import retrieve
 from docfacts.operators.chunk import chunk
 from docfacts.functions import vectors
+from docfacts.plans import derived
 from docfacts.session import scratch_dir
 from docfacts.sources.vector_index import VectorIndex
 
@@ -228,3 +229,33 @@ def test_vector_index(spark):
             assert everything == retrieve.top_k(df, query, 10).select(everything[0].__fields__).collect()
     assert found >= 0.9 * wanted
     assert {r.kind for r in index.search(given[0], 5, where={"kind": 2}).collect()} == {2}
+
+
+def test_distance_by_batches_is_that_of_the_expression(spark):
+    rng = random.Random(3)
+    rows = [(i, [rng.uniform(-9, 9) for _ in range(5)]) for i in range(40)]
+    rows += [(40, None), (41, [1.0, None, 2.0, 3.0, 4.0]), (42, [float("nan")] * 5), (43, [-0.0] * 5)]
+    df = spark.createDataFrame(rows, "n int, embedding array<double>").coalesce(1)
+    query = [0.1, -0.7, 3.3, 0.0, 2.5]
+    pairs = df.select(
+        vectors.squared_l2(F.col("embedding"), query).alias("a"),
+        vectors.squared_l2_by_batches(F.col("embedding"), query).alias("b"),
+    ).collect()
+    assert [repr(r.a) for r in pairs] == [repr(r.b) for r in pairs] and pairs[41].b is None
+
+
+def test_encoding_and_ranking_share_one_python_pass(spark):
+    """The interpreted lambdas over 256 components per passage were most of the time."""
+    reports = spark.createDataFrame([("A", "One gold. Two gold.")], "report_id string, text string")
+    encoder = retrieve.TermEncoder(16).fit(chunk(reports))
+    hits = retrieve.top_k(retrieve.embed(chunk(reports), encoder), [0.0] * 16, 1, scope="report_id", tie_break="chunk_index")
+    plan = hits.select("id", "rank")._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("ArrowEvalPython") == 1 and "lambdafunction" not in plan
+
+
+def test_keys_of_one_small_file_are_dealt_out(spark, tmp_path):
+    spark.range(90).selectExpr("id AS o_orderkey", "id % 7 AS o_custkey").coalesce(1).write.parquet(f"{tmp_path}/orders")
+    orders = spark.read.parquet(f"{tmp_path}/orders")
+    spread = derived.spread(orders)
+    assert spread.rdd.getNumPartitions() > orders.rdd.getNumPartitions() == 1
+    assert sorted(spread.collect()) == sorted(orders.collect())

@@ -10,7 +10,6 @@ from __future__ import annotations
 from collections.abc import Iterator, Sequence
 from typing import Any
 
-import numpy as np
 import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame, Row, SparkSession
@@ -134,22 +133,27 @@ class _Counter(StatefulProcessor):
         self.handle = handle
         self.used = handle.getValueState("used", "attempts long")
 
-    def handleInputRows(self, key: Any, rows: Iterator[pd.DataFrame], timerValues: Any) -> Iterator[pd.DataFrame]:
-        batch = pd.concat(list(rows), ignore_index=True)
-        used = int(self.used.get()[0]) if self.used.exists() else 0
-        batch = batch.sort_values(self.order, kind="stable", na_position="first")
-        batch["attempts"] = np.arange(used + 1, used + len(batch) + 1, dtype=np.int64)
-        batch["allowed"] = batch["attempts"] <= self.max_attempts
+    def _place(self, row: Row) -> tuple:
+        """A sort key in which null, and NaN, comes first."""
+        return tuple((False,) if v is None or v != v else (True, v) for v in (row[c] for c in self.order))
+
+    def handleInputRows(self, key: Any, rows: Iterator[Row], timerValues: Any) -> Iterator[Row]:
+        batch = sorted(rows, key=self._place)
+        state = self.used.get()
+        used = int(state[0]) if state is not None else 0
         self.used.update((used + len(batch),))
-        if self.idle is not None and batch[self.idle[0]].notna().any():
-            for timer in list(self.handle.listTimers()):
-                self.handle.deleteTimer(timer)
-            last = pd.Timestamp(batch[self.idle[0]].max())
-            last = last.tz_localize("UTC") if last.tz is None else last
-            self.handle.registerTimer(int(last.timestamp() * 1000) + 1000 * self.idle[1])
-        yield batch
-
-    def handleExpiredTimer(self, key: Any, timerValues: Any, expiredTimerInfo: Any) -> Iterator[pd.DataFrame]:
+        if self.idle is not None:
+            times = [t for t in (row[self.idle[0]] for row in batch) if t is not None]
+            if times:
+                for timer in list(self.handle.listTimers()):
+                    self.handle.deleteTimer(timer)
+                last = pd.Timestamp(max(times))
+                last = last.tz_localize("UTC") if last.tz is None else last
+                self.handle.registerTimer(int(last.timestamp() * 1000) + 1000 * self.idle[1])
+        for number, row in enumerate(batch, used + 1):
+            yield Row(**row.asDict(), attempts=number, allowed=number <= self.max_attempts)
+
+    def handleExpiredTimer(self, key: Any, timerValues: Any, expiredTimerInfo: Any) -> Iterator[Row]:
         self.used.clear()
         return iter(())
 
@@ -184,4 +188,4 @@ def admissions(
     schema = T.StructType([
         *attempts.schema.fields, T.StructField("attempts", T.LongType()), T.StructField("allowed", T.BooleanType())
     ])
-    return rows.groupBy(key).transformWithStateInPandas(_Counter(order, max_attempts, limit), schema, "Append", mode)
+    return rows.groupBy(key).transformWithState(_Counter(order, max_attempts, limit), schema, "Append", mode)

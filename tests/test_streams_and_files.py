@@ -3,6 +3,7 @@ import json
 import random
 
 import pytest
+from pyspark.sql import Row
 from pyspark.sql import functions as F
 
 from docfacts.operators import intake, synth
@@ -275,3 +276,24 @@ def test_skewed_picks(spark):
     assert df.collect() == synth.skewed(spark.range(5000), items).collect()
     only = synth.skewed(spark.range(20), ["only"]).select("item").distinct().collect()
     assert [r.item for r in only] == ["only"]
+
+
+def test_attempts_are_numbered_row_by_row():
+    """A frame for each report cost more than its few attempts; null comes first, ties as they came."""
+
+    class Counter:
+        value = None
+
+        def get(self):
+            return self.value
+
+        def update(self, value):
+            self.value = value
+
+    counter = state._Counter(["at"], 2, None)
+    counter.used = Counter()
+    rows = [Row(event=e, at=at) for e, at in (("a", 5), ("b", None), ("c", 5), ("d", 1))]
+    found = list(counter.handleInputRows(("A",), iter(rows), None))
+    assert [(r.event, r.attempts, r.allowed) for r in found] == [("b", 1, True), ("d", 2, True), ("a", 3, False), ("c", 4, False)]
+    again = counter.handleInputRows(("A",), iter([Row(event="e", at=0)]), None)
+    assert [r.attempts for r in again] == [5] and counter.used.value == (5,)

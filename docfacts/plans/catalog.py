@@ -650,9 +650,7 @@ def document_versions(spark: SparkSession, sf_dir: str) -> DataFrame:
 def report_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One text file per document, read whole; the writer ends each with a line break."""
     path = scratch_dir(spark, "report-files")
-    documents = table(spark, sf_dir, "documents").select("doc_id", "text")
-    spread = documents.repartition(spark.sparkContext.defaultParallelism, "doc_id")
-    spread.write.partitionBy("doc_id").text(path)
+    writers.write_reports(table(spark, sf_dir, "documents"), path, folder="doc_id")
     return readers.read_reports(spark, path, folder="doc_id")
 
 

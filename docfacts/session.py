@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import posixpath
 import uuid
+from urllib.parse import unquote, urlsplit
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -54,6 +56,17 @@ def scratch_dir(spark: SparkSession, purpose: str) -> str:
     return f"{_checkpoint_root(spark).rstrip('/')}/{purpose}-{uuid.uuid4().hex}"
 
 
+def machine_folder(spark: SparkSession, path: str) -> str | None:
+    """``path`` as a folder of the file system that the machine sees, None if it lies in another store.
+
+    A path need not name its store, so a row is written below it and Spark tells where that is.
+    """
+    mark = f"{path.rstrip('/')}/_made"
+    spark.range(1).coalesce(1).write.mode("overwrite").parquet(mark)
+    address = urlsplit(spark.read.parquet(mark).inputFiles()[0])
+    return posixpath.dirname(posixpath.dirname(unquote(address.path))) if address.scheme == "file" else None
+
+
 def materialize(df: DataFrame) -> DataFrame:
     """Write ``df`` once to the shared folder and continue from the copy.
 

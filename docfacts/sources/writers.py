@@ -2,12 +2,22 @@
 
 from __future__ import annotations
 
+import os
+import re
+from itertools import groupby
+
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from docfacts.operators import evaluate, quality
 from docfacts.operators.resolve import SITE, facts_of, totals, with_site
 from docfacts.schemas import NUMBER_FIELDS, RECORD_FIELDS
+from docfacts.session import machine_folder
+
+# The folder of rows without a key, and what Spark escapes in a folder's name.
+NO_KEY = "__HIVE_DEFAULT_PARTITION__"
+_ESCAPED = re.compile(r"""[\x01-\x1f"#%'*/:=?\\\x7f{\[\]^]""")
 
 
 def wrap_stored(records: DataFrame) -> DataFrame:
@@ -40,6 +50,57 @@ def write_occurrences(records: DataFrame, path: str) -> None:
     _served(facts_of(totals(written)), f"{path}/occurrences")
 
 
+def _file_by_file(root: str, folder: str):
+    """Writes (name, text) rows in the order of their names, one file for each name of a task.
+
+    A file gets its name when it is whole, the same one if a task is repeated.
+    """
+
+    def rows(batches):
+        for batch in batches:
+            for start in range(0, batch.num_rows, 256):
+                some = batch.slice(start, 256)
+                yield from zip(some.column(0).to_pylist(), some.column(1).to_pylist())
+
+    def write(batches):
+        from pyspark import TaskContext
+
+        context, written = TaskContext.get(), 0
+        part = f"part-{context.partitionId():05d}"
+        for name, texts in groupby(rows(batches), lambda row: row[0]):
+            at = f"{root}/{folder}={_ESCAPED.sub(lambda m: f'%{ord(m[0]):02X}', name)}"
+            os.makedirs(at, exist_ok=True)
+            open_name = f"{at}/.{part}.{context.taskAttemptId()}"
+            with open(open_name, "wb") as file:
+                for _, text in texts:
+                    file.write((text or b"") + b"\n")
+            os.replace(open_name, f"{at}/{part}.txt")
+            written += 1
+        yield pa.RecordBatch.from_pydict({"n_files": pa.array([written], pa.int64())})
+
+    return write
+
+
+def write_reports(documents: DataFrame, path: str, folder: str) -> None:
+    """One text file for each id in column ``folder``, in a folder ``<folder>=<id>`` below ``path``.
+
+    The layout is that of Spark's partitioned text writer, which other stores get their files from.
+    For a folder of the machine Hadoop starts two or three processes for each file, to set its mode
+    and that of its folder and its checksum, and the driver moves all folders one after another. There
+    the tasks write the files on their own.
+    """
+    spark = documents.sparkSession
+    spread = documents.select(folder, "text").repartition(spark.sparkContext.defaultParallelism, folder)
+    root = machine_folder(spark, path)
+    if root is None:
+        spread.write.mode("append").partitionBy(folder).text(path)
+        return
+    key = F.nullif(F.col(folder).cast("string"), F.lit(""))
+    named = spread.select(F.coalesce(key, F.lit(NO_KEY)).alias("name"), F.col("text").cast("binary").alias("text"))
+    files = named.sortWithinPartitions("name").mapInArrow(_file_by_file(root, folder), "n_files long")
+    files.agg(F.sum("n_files")).collect()
+
+
 def append_registry(new_hashes: DataFrame, path: str) -> None:
     new_hashes.write.mode("append").parquet(path)
 

@@ -175,6 +175,20 @@ def test_document_folders(spark, tmp_path):
     assert {(r.report_id, r.text) for r in read.collect()} == {("a+b c/%d:é", "one\n"), ("d", "two\nlines\n")}
 
 
+def test_report_files_as_spark_writes_them(spark, tmp_path):
+    """The same folders and texts as Spark's writer, with odd ids, none, and one that comes twice."""
+    rows = [("a+b c/%d:é", "one"), ("d", "two\nlines"), ("d", "two\nlines"), (None, "none"), ("e", None), ("f", ""), ("x{y}[1]^", "z")]
+    df = spark.createDataFrame(rows, "name string, text string").repartition(3)
+    df.repartition(2, "name").write.partitionBy("name").text(str(tmp_path / "by spark"))
+    writers.write_reports(df, str(tmp_path / "by tasks"), folder="name")
+    folders = lambda at: sorted(p.name for p in (tmp_path / at).iterdir() if p.name.startswith("name="))
+    texts = lambda at: sorted(readers.read_reports(spark, str(tmp_path / at), folder="name").collect())
+    assert folders("by tasks") == folders("by spark") and texts("by tasks") == texts("by spark")
+    assert not list((tmp_path / "by tasks").rglob("name=*/.*")), "neither checksums nor files half written"
+    writers.write_reports(df.limit(0), str(tmp_path / "empty"), folder="name")
+    assert texts("empty") == []
+
+
 def test_text_files(spark, tmp_path):
     (tmp_path / "RPT-001.txt").write_text("line one\n\nline two\n")
     (tmp_path / "RPT-002.txt").write_text("other")

@@ -106,8 +106,14 @@ def new_hashes(gated: DataFrame) -> DataFrame:
 
 
 def accepted_documents(gated: DataFrame) -> DataFrame:
-    """The documents to store."""
-    return gated.filter(F.col("status") == ACCEPTED).select("report_id", "text", "content_hash")
+    """The documents to store; only their keys if the verdicts were kept without the text."""
+    kept = [c for c in ("report_id", "text", "content_hash") if c in gated.columns]
+    return gated.filter(F.col("status") == ACCEPTED).select(*kept)
+
+
+def candidates(uploads: DataFrame) -> DataFrame:
+    """The documents that a gate may let in, with their hashes."""
+    return checked(uploads).filter(F.col("error").isNull()).select("report_id", "text", "content_hash")
 
 
 def summary(gated: DataFrame) -> DataFrame:

@@ -628,7 +628,8 @@ def document_versions(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Documents accepted twice under one id: the later text replaces the earlier.
 
     First everything arrives, then all documents with a language again with a note, which makes
-    them new texts; what intake accepts is put into the table of documents both times.
+    them new texts; what intake accepts is put into the table of documents both times. The verdicts
+    are kept without the texts, which are shuffled once, by the put.
     """
     base = scratch_dir(spark, "document-versions")
     uploads = table(spark, sf_dir, "documents").select("doc_id", F.col("doc_id").cast("string").alias("report_id"), "text", "lang")
@@ -637,11 +638,11 @@ def document_versions(spark: SparkSession, sf_dir: str) -> DataFrame:
     stored = None
     for number, wave in enumerate(waves):
         known = readers.parquet_or_empty(spark, f"{base}/registry", REGISTRY)
-        intake.gate(wave, "doc_id", known).write.parquet(f"{base}/verdicts/wave={number}")
+        intake.gate(wave, "doc_id", known).drop("text").write.parquet(f"{base}/verdicts/wave={number}")
         gated = spark.read.parquet(f"{base}/verdicts/wave={number}")
-        accepted = intake.accepted_documents(gated)
-        stored = PrefixedTable(spark, f"{base}/documents", accepted.schema, "report_id", fan_in=2)
-        stored.put(accepted, number)
+        texts = intake.candidates(wave)
+        stored = PrefixedTable(spark, f"{base}/documents", texts.schema, "report_id", fan_in=2)
+        stored.put(texts, number, among=intake.accepted_documents(gated))
         writers.append_registry(intake.new_hashes(gated), f"{base}/registry")
     return stored.read()
 

@@ -6,6 +6,10 @@ own folders; a prefix that has collected ``FAN_IN`` of them is merged into one a
 read opens a bounded number of folders however many puts there were, and a look-up only those
 of its keys. Folders are never changed: a reader goes on with the manifest it has read.
 
+A put may be told which rows to take by their keys alone. They are found where the rows lie after the
+one shuffle that deals them out by prefix. A merge deals its rows out by prefix in one shuffle too, and
+a merged folder holds each key once, so reading it shuffles nothing.
+
 A put is named by an ascending number. Repeating the last one after a failure starts from the
 manifest before it and gives the same table, so streams can use it as an exactly-once sink. The
 manifest alternates between two places: the one a put starts from stays valid until the new one
@@ -16,7 +20,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -25,6 +29,8 @@ from docfacts.sources.readers import parquet_or_empty
 
 PREFIX_DIGITS, FAN_IN = 2, 8
 _MANIFEST = "number long, prefix string, folder string"
+# Fixed value: the end of the name of a folder in which every key has one row.
+_MERGED = "-merged"
 
 
 class PrefixedTable:
@@ -67,40 +73,72 @@ class PrefixedTable:
             return self.spark.createDataFrame([], with_put)
         return self.spark.read.schema(with_put).parquet(*paths)
 
-    def _write(self, rows: DataFrame, folder: str) -> set[str]:
-        """Write rows with their ``_put`` and return the prefixes they have."""
-        placed = rows.withColumn("_prefix", self._prefix(F.col(self.key)))
-        placed.hint("rebalance", "_prefix").write.mode("overwrite").partitionBy("_prefix").parquet(f"{self.path}/{folder}")
+    def _dealt(self, rows: DataFrame) -> DataFrame:
+        """Rows with their ``_prefix``, all of a prefix in one task."""
+        return rows.withColumn("_prefix", self._prefix(F.col(self.key))).repartition("_prefix")
+
+    def _among(self, rows: DataFrame, keys: DataFrame) -> DataFrame:
+        """One row of ``rows`` for each row of ``keys`` that it equals in all columns of ``keys``."""
+        marked = rows.withColumn("_wanted", F.lit(False)).unionByName(
+            keys.withColumn("_wanted", F.lit(True)), allowMissingColumns=True
+        )
+        same = Window.partitionBy("_prefix", *keys.columns).orderBy(F.desc("_wanted"))  # the key comes first
+        after = self._dealt(marked).withColumn("_after_key", F.lag("_wanted").over(same))
+        return after.filter(F.col("_after_key") & ~F.col("_wanted")).drop("_wanted", "_after_key")
+
+    def _write(self, placed: DataFrame, folder: str) -> set[str]:
+        """Write rows with their ``_put`` and ``_prefix`` and return the prefixes they have."""
+        placed.write.mode("overwrite").option("compression", "zstd").partitionBy("_prefix").parquet(f"{self.path}/{folder}")
         written = parquet_or_empty(
             self.spark, f"{self.path}/{folder}", T.StructType([T.StructField("_prefix", T.StringType())])
         )
         return {row[0] for row in written.distinct().collect()}
 
-    def put(self, rows: DataFrame, number: int) -> None:
-        """Insert or replace ``rows``. Without ``version`` they must have one row per key."""
+    def put(self, rows: DataFrame, number: int, among: DataFrame | None = None) -> None:
+        """Insert or replace ``rows``. Without ``version`` they must have one row per key.
+
+        ``among`` has the key and other columns of the table, each row once; for each of its rows one
+        of the equal ``rows`` is put, and nothing else.
+        """
         rows = rows.select(*self.schema.fieldNames())
-        if self.version:
-            rows = latest(rows, self.key, self.version)
+        if among is not None:
+            placed = self._among(rows, among)
+            if self.version:
+                placed = latest(placed, ["_prefix", self.key], self.version)
+        else:
+            if self.version:
+                rows = latest(rows, self.key, self.version)
+            placed = rows.withColumn("_prefix", self._prefix(F.col(self.key))).hint("rebalance", "_prefix")
         place, folders = self._manifest(before=number)
         name = f"put-{number:012d}"
-        for prefix in self._write(rows.withColumn("_put", F.lit(number).cast("long")), name):
+        for prefix in self._write(placed.withColumn("_put", F.lit(number).cast("long")), name):
             folders.setdefault(prefix, []).append(name)
         full = {prefix: names for prefix, names in folders.items() if len(names) >= self.fan_in}
         if full:
-            merged = f"put-{number:012d}-merged"
-            self._write(self._latest(self._open(full)), merged)
+            merged = f"{name}{_MERGED}"
+            self._write(self._latest(self._dealt(self._open(full)), "_prefix"), merged)
             folders |= {prefix: [merged] for prefix in full}
         entries = [(number, prefix, folder) for prefix, names in folders.items() for folder in names]
         self.spark.createDataFrame(entries, _MANIFEST).coalesce(1).write.mode("overwrite").parquet(
             f"{self.path}/manifest-{1 - place}"
         )
 
-    def _latest(self, rows: DataFrame) -> DataFrame:
-        return latest(rows, self.key, [*self.version, "_put"])
+    def _latest(self, rows: DataFrame, *dealt_by: str) -> DataFrame:
+        return latest(rows, [*dealt_by, self.key], [*self.version, "_put"])
+
+    def _current(self, folders: dict[str, list[str]], wanted: Column | None = None) -> DataFrame:
+        """The current row of every key, or of the wanted ones, of some prefixes from their folders."""
+        keep = lambda rows: rows if wanted is None else rows.filter(wanted)
+        merged = {prefix: names for prefix, names in folders.items() if len(names) == 1 and names[0].endswith(_MERGED)}
+        others = {prefix: names for prefix, names in folders.items() if prefix not in merged}
+        if not merged:
+            return self._latest(keep(self._open(others)))
+        rows = keep(self._open(merged))
+        return rows.unionByName(self._latest(keep(self._open(others)))) if others else rows
 
     def read(self) -> DataFrame:
         """The current row of every key."""
-        return self._latest(self._open(self._manifest()[1])).drop("_put")
+        return self._current(self._manifest()[1]).drop("_put")
 
     def lookup(self, *keys: object) -> DataFrame:
         """The current rows of some keys; only the folders of their prefixes are opened."""
@@ -108,4 +146,4 @@ class PrefixedTable:
         prefixes = {row[0] for row in asked.collect()}
         folders = {prefix: names for prefix, names in self._manifest()[1].items() if prefix in prefixes}
         wanted = F.col(self.key).cast("string").isin([str(k) for k in keys])
-        return self._latest(self._open(folders).filter(wanted)).drop("_put")
+        return self._current(folders, wanted).drop("_put")

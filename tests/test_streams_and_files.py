@@ -168,6 +168,25 @@ def test_prefixed_table(spark, tmp_path):
     assert opened <= {hashlib.md5(k.encode()).hexdigest()[0] for k in ("k1", "k2", "absent")}
 
 
+def test_put_of_rows_named_by_their_keys(spark, tmp_path):
+    """One row for each key named, also of rows that come twice or have no key; merged folders are read as they are."""
+    schema = spark.createDataFrame([], "k string, text string, h string").schema
+    table = PrefixedTable(spark, str(tmp_path / "t"), schema, "k", digits=1, fan_in=2)
+    for number in range(2):
+        rows = [(None if i == 0 else f"k{i}", f"text {i} {number}", f"h{i}") for i in range(40)]
+        rows += [("k1", "other", "h-other"), *rows[:20]]
+        named = [(k, h) for k, _, h in dict.fromkeys(rows[:30]) if number == 0 or k not in ("k2", "k3")]
+        named.append(("absent", "h1"))
+        table.put(spark.createDataFrame(rows, schema), number, among=spark.createDataFrame(named, "k string, h string"))
+    want = {(None if i == 0 else f"k{i}", f"text {i} {int(i not in (2, 3))}", f"h{i}") for i in range(30)}
+    read = table.read()
+    assert read.count() == 30 and {tuple(r) for r in read.collect()} == want
+    assert all(len(folders) == 1 for folders in table._manifest()[1].values())
+    assert table.lookup("k1", "k35").collect() == [("k1", "text 1 1", "h1")]
+    everything = {prefix: names for prefix, names in table._manifest()[1].items() if names[0].endswith("-merged")}
+    assert "Exchange" not in table._current(everything)._jdf.queryExecution().executedPlan().toString()
+
+
 def test_document_folders(spark, tmp_path):
     df = spark.createDataFrame([("a+b c/%d:é", "one"), ("d", "two\nlines")], "name string, text string")
     df.write.partitionBy("name").text(str(tmp_path / "docs"))

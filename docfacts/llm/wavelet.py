@@ -10,7 +10,8 @@ The matrix gives a token by place (``access``), the uses of a token before a pla
 (``rank``), its k-th use (``select``), and all tokens (``decode``), each from the planes.
 
 A byte-level tokenizer encodes each match of its pattern on its own, and no match goes
-across the start of a run of white space. So a text is cut there, a piece that is new to a
+across the start of a run of white space. So texts are cut there, by their bytes as Arrow
+holds them; each different piece of some texts is looked up once. A piece that is new to a
 bounded cache is cut into its matches, and those go to the byte-pair model of the
 tokenizers library; the ids are those of the whole text. Tokenizers of another kind get
 whole texts. From task to task the worker process keeps the pieces it met first, which
@@ -25,7 +26,6 @@ from __future__ import annotations
 import gc
 import json
 import os
-import re
 import zlib
 from collections.abc import Iterator
 from functools import lru_cache
@@ -33,27 +33,30 @@ from itertools import chain, islice
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import regex
 import zstandard
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from docfacts.llm.common import runs, sliced
 
 END_ID = 2
 SHARD_TOKENS = 2**20
 PARTITION_BYTES = 32_000_000
 STEP = 512
 CACHE_PIECES = 600_000
-KEPT_PIECES = 150_000
-
-# Fixed value: the white space of the tokenizer's pattern.
-_SPACE = r"\t-\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
+KEPT_PIECES = 400_000
+#: Bytes of texts that are encoded at a time, or one text.
+CHUNK_BYTES = 4_000_000
+
+# The white space of the tokenizer's pattern, in UTF-8, by single bytes and by the first of several.
+_SPACES = "\t\n\v\f\r \x85\xa0\u1680\u2000\u2001\u2002\u2003\u2004\u2005\u2006\u2007\u2008\u2009\u200a\u2028\u2029\u202f\u205f\u3000"
+_IS_SPACE = np.isin(np.arange(256), [ord(c) for c in _SPACES if c.isascii()])
+_LONG_SPACES = {b[0]: [x for x in (c.encode() for c in _SPACES) if x[0] == b[0]] for b in (c.encode() for c in _SPACES) if len(b) > 1}
 # Fixed value: the pattern of byte-level tokenizers.
 _MATCH = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+")
 #: Marks that are one match together after a word.
 _STOPS = "!\"#$%&()*+,-./:;<=>?@[\\]^_`{|}~"
-_PIECE = re.compile(f"[{_SPACE}]*[^{_SPACE}]+|[{_SPACE}]+")
 _FILES = (
     "part int, seq int, n_tokens long, doc_ids array<long>, lens array<long>, alphabet array<int>, matrix binary"
 )
@@ -169,14 +172,37 @@ def _byte_letters() -> dict[int, str]:
     return {b: chr(b) for b in printed} | {b: chr(256 + i) for i, b in enumerate(others)}
 
 
+def _white(data: np.ndarray) -> np.ndarray:
+    """Which bytes of UTF-8 texts belong to white space."""
+    white = _IS_SPACE[data]
+    for first, spaces in _LONG_SPACES.items():
+        at = np.flatnonzero(data == first)
+        for space in spaces if len(at) else ():
+            here = at[at + len(space) <= len(data)]
+            for i in range(1, len(space)):
+                here = here[data[here + i] == space[i]]
+            for i in range(len(space)):
+                white[here + i] = True
+    return white
+
+
+def _cut(data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
+    """Where the pieces of texts start, and the end: a text's start, and every start of white space in it."""
+    white = _white(data)
+    starts = np.zeros(len(data) + 1, bool)
+    np.greater(white[1:], white[:-1], out=starts[1:-1])
+    starts[offsets] = True
+    return np.flatnonzero(starts).astype(np.int32)
+
+
 class _Numbers(dict):
     """Numbers new keys in order, and lists those since the last look."""
 
     def __init__(self):
         super().__init__()
-        self.fresh: list[str] = []
+        self.fresh: list[bytes] = []
 
-    def __missing__(self, key: str) -> int:
+    def __missing__(self, key: bytes) -> int:
         number = self[key] = len(self)
         self.fresh.append(key)
         return number
@@ -198,7 +224,7 @@ class PieceEncoder:
         self.letters = _byte_letters()
         self.space = self.letters[32]
         self.known, self.matches = _Numbers(), {}
-        self.flat, self.lens, self.offsets = np.zeros(0, np.uint32), np.zeros(0, np.int64), np.zeros(0, np.int64)
+        self.flat, self.lens, self.offsets = np.zeros(0, np.uint32), np.zeros(0, np.int32), np.zeros(0, np.int32)
 
     def trim(self, kept: int = KEPT_PIECES) -> None:
         """Forget all but the pieces that came first."""
@@ -220,7 +246,7 @@ class PieceEncoder:
 
     def _learn(self) -> None:
         found, ids_of = [], self._ids
-        for piece in self.known.fresh:
+        for piece in map(bytes.decode, self.known.fresh):
             body = piece.rstrip(_STOPS)
             if body[1:].isalpha() and (body[0] == " " or body[0].isalpha()):  # a word, and one match for its stops
                 stop = piece[len(body) :]
@@ -228,35 +254,45 @@ class PieceEncoder:
             else:
                 found.append(list(chain.from_iterable(map(ids_of, _MATCH.findall(piece)))))
         self.known.fresh = []
-        lens = np.fromiter(map(len, found), np.int64, len(found))
+        lens = np.fromiter(map(len, found), np.int32, len(found))
         flat = np.fromiter(chain.from_iterable(found), np.uint32, int(lens.sum()))
-        self.offsets = np.concatenate([self.offsets, len(self.flat) + np.cumsum(lens) - lens])
+        self.offsets = np.concatenate([self.offsets, len(self.flat) + np.cumsum(lens, dtype=np.int32) - lens])
         self.flat, self.lens = np.concatenate([self.flat, flat]), np.concatenate([self.lens, lens])
 
-    def encode(self, texts: list[str]) -> list[np.ndarray]:
+    def encode(self, texts: list[str] | pa.Array) -> list[np.ndarray]:
         """For each text its ids."""
         if not self.by_pieces:
+            texts = texts.to_pylist() if isinstance(texts, pa.Array) else texts
             return [np.array(x.ids, np.uint32) for x in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
         if len(self.known) > CACHE_PIECES:
             self.trim()
         collects = gc.isenabled()
         gc.disable()  # nothing here refers in circles, and looking for it takes a tenth of the time
         try:
-            return self._encode(texts)
+            return self._encode(texts if isinstance(texts, pa.Array) else pa.array(texts, pa.string()))
         finally:
             if collects:
                 gc.enable()
 
-    def _encode(self, texts: list[str]) -> list[np.ndarray]:
-        pieces = [_PIECE.findall(text) for text in texts]
-        sizes = [len(p) for p in pieces]
-        at = np.fromiter(map(self.known.__getitem__, chain.from_iterable(pieces)), np.int64, sum(sizes))
+    def _encode(self, texts: pa.Array) -> list[np.ndarray]:
+        plain = texts.cast(pa.binary())
+        offsets = np.frombuffer(plain.buffers()[1], np.int32)[plain.offset : plain.offset + len(plain) + 1]
+        if offsets[0] == offsets[-1]:
+            return [np.zeros(0, np.uint32)] * len(texts)
+        data = np.frombuffer(plain.buffers()[2], np.uint8)[offsets[0] : offsets[-1]]
+        offsets = offsets - offsets[0]
+        starts = _cut(data, offsets)
+        pieces = pa.Array.from_buffers(pa.binary(), len(starts) - 1, [None, pa.py_buffer(starts), pa.py_buffer(data)]).dictionary_encode()
+        different = pieces.dictionary.to_pylist()
+        numbers = np.fromiter(map(self.known.__getitem__, different), np.int32, len(different))
         if self.known.fresh:
             self._learn()
+        at = numbers[pieces.indices.to_numpy()]
         lens = self.lens[at]
-        ids = self.flat[np.repeat(self.offsets[at], lens) + runs(lens)]
-        ends = np.concatenate([[0], np.cumsum(lens)])[np.cumsum([0, *sizes])]
-        return [ids[a:b] for a, b in zip(ends, ends[1:])]
+        ends = np.concatenate([[0], np.cumsum(lens, dtype=np.int64)])
+        ids = self.flat[np.repeat(self.offsets[at] - ends[:-1], lens) + np.arange(ends[-1])]
+        bounds = ends[np.searchsorted(starts, offsets)]
+        return [ids[a:b] for a, b in zip(bounds, bounds[1:])]
 
 
 @lru_cache(maxsize=1)
@@ -281,15 +317,14 @@ def _encode(tokenizer: str):
     def encoded(batches) -> Iterator[tuple[int, np.ndarray]]:
         encoder = _encoder(tokenizer)
         end = np.array([END_ID], np.uint32)
-        for batch in sliced(batches):
-            doc_ids, texts = batch.column(0).to_pylist(), [t or "" for t in batch.column(1).to_pylist()]
+        for batch in batches:
+            doc_ids, texts = batch.column(0).to_pylist(), batch.column(1)
+            before = np.concatenate([[0], np.cumsum(pc.binary_length(texts).to_numpy(zero_copy_only=False), dtype=np.int64)])
             start = 0
             while start < len(texts):  # some texts at a time, so that long ones don't add up
-                stop, chars = start + 1, len(texts[start])
-                while stop < len(texts) and chars + len(texts[stop]) <= 1_000_000:
-                    chars, stop = chars + len(texts[stop]), stop + 1
-                for doc_id, ids in zip(doc_ids[start:stop], encoder.encode(texts[start:stop])):
-                    yield doc_id, np.concatenate([ids.astype(np.uint32), end])
+                stop = max(start + 1, int(np.searchsorted(before, before[start] + CHUNK_BYTES, side="right")) - 1)
+                for doc_id, ids in zip(doc_ids[start:stop], encoder.encode(texts.slice(start, stop - start))):
+                    yield doc_id, np.concatenate([ids, end])
                 start = stop
         encoder.trim()
 

@@ -3,9 +3,11 @@
 import base64
 import collections
 import math
+import random
 import zlib
 
 import numpy as np
+import pyarrow as pa
 import pytest
 import zstandard
 from pyspark.sql import functions as F
@@ -267,6 +269,23 @@ def test_wavelet_matrix():
                 matrix.select(x, len(places))
 
 
+def test_texts_are_cut_at_every_kind_of_white_space():
+    """Slices of Arrow texts, cut by their bytes, give the ids of each whole text as the library does."""
+    from tokenizers import Tokenizer
+
+    rng, path = random.Random(5), tokenizer_path()
+    encoder, library = wavelet.PieceEncoder(path), Tokenizer.from_file(path)
+    parts = [*wavelet._SPACES, "  ", "\r\n", "\x1c", "\u200b", "\u00c2", "\u2080", "word", " don't,", "12", "é", "ü!", "漢字", "\u3001", "😀", "..."]
+    texts = ["".join(rng.choices(parts, k=rng.randrange(12))) for _ in range(2000)] + ["", " ", "\u3000", "\xa0x\u2029"]
+    library.encode_special_tokens = True
+    want = [x.ids for x in library.encode_batch_fast(texts, add_special_tokens=False)]
+    for start, stop in ((0, 700), (700, 701), (701, len(texts))):
+        found = encoder.encode(pa.array(texts).slice(start, stop - start))
+        assert [x.tolist() for x in found] == want[start:stop]
+    assert [x.tolist() for x in encoder.encode(texts)] == want
+    assert encoder.encode(["", ""])[1].tolist() == [] and encoder.encode([]) == []
+
+
 def test_token_files_round_trip(spark, sf_dir, tmp_path):
     from tokenizers import Tokenizer
 

@@ -457,7 +457,7 @@ def ledger_outcomes(spark: SparkSession, sf_dir: str) -> DataFrame:
 
         return ask
 
-    reports = derived.reports(table(spark, sf_dir, "orders"))
+    reports = derived.reports(derived.spread(table(spark, sf_dir, "orders")))
     path = scratch_dir(spark, "ledger")
     extract.run(reports, extract.LedgerProvider(extract.BatchProvider(connect), path))
     again = extract.run(reports, extract.LedgerProvider(extract.BatchProvider(never), path))

@@ -45,9 +45,9 @@ SHARD_TOKENS = 2**20
 PARTITION_BYTES = 32_000_000
 STEP = 512
 CACHE_PIECES = 600_000
-KEPT_PIECES = 400_000
+KEPT_PIECES = 250_000
 #: Bytes of texts that are encoded at a time, or one text.
-CHUNK_BYTES = 4_000_000
+CHUNK_BYTES = 2_000_000
 
 # The white space of the tokenizer's pattern, in UTF-8, by single bytes and by the first of several.
 _SPACES = "\t\n\v\f\r \x85\xa0\u1680\u2000\u2001\u2002\u2003\u2004\u2005\u2006\u2007\u2008\u2009\u200a\u2028\u2029\u202f\u205f\u3000"

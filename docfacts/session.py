@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import os
 import posixpath
 import uuid
 from urllib.parse import unquote, urlsplit
@@ -67,6 +68,19 @@ def machine_folder(spark: SparkSession, path: str) -> str | None:
     return posixpath.dirname(posixpath.dirname(unquote(address.path))) if address.scheme == "file" else None
 
 
+def machine_path(spark: SparkSession, path: str) -> str | None:
+    """``path`` on the machine if it names one folder there, None for other stores and for patterns.
+
+    Nothing is written, so a folder that is only read can be asked about.
+    """
+    address = urlsplit(path)
+    store = address.scheme or urlsplit(spark.sparkContext._jsc.hadoopConfiguration().get("fs.defaultFS")).scheme
+    at = path.removeprefix(f"{address.scheme}:") if address.scheme else path
+    at = "/" + at.lstrip("/") if at.startswith("///") else at
+    plain = at.startswith("/") and not at.startswith("//") and not set(at) & set("{}[]*?\\")
+    return at if store == "file" and plain and os.path.isdir(at) else None
+
+
 def materialize(df: DataFrame) -> DataFrame:
     """Write ``df`` once to the shared folder and continue from the copy.
 

@@ -2,6 +2,11 @@
 
 from __future__ import annotations
 
+import os
+from collections.abc import Iterator
+from urllib.parse import unquote
+
+import pyarrow as pa
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -15,14 +20,87 @@ from docfacts.schemas import (
     STORED_EXTRACTION,
     UPLOAD,
 )
+from docfacts.session import machine_path
+
+# Names sent on at once, and bytes of texts; tasks that read files, for each core.
+_NAMES, _BYTES, _READERS = 10_000, 4 << 20, 8
+
+
+def _names_of(root: str):
+    """The names in a folder, passed on some at a time."""
+
+    def names(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            found = []
+            with os.scandir(root) as entries:
+                for entry in entries:
+                    found.append(os.fsencode(entry.name))
+                    if len(found) == _NAMES:
+                        yield pa.RecordBatch.from_pydict({"name": pa.array(found, pa.binary())})
+                        found = []
+            yield pa.RecordBatch.from_pydict({"name": pa.array(found, pa.binary())})
+
+    return names
+
+
+def _hidden(name: str) -> bool:
+    """What Spark's readers pass over."""
+    return name.startswith(".") or (name.startswith("_") and "=" not in name) or name.endswith("._COPYING_")
+
+
+def _text_files(at: str) -> Iterator[str]:
+    """Every ``*.txt`` at or below a path, hidden files and folders left out."""
+    if _hidden(os.path.basename(at)):
+        return
+    if os.path.isdir(at):
+        with os.scandir(at) as entries:
+            names = [entry.name for entry in entries]
+        for name in names:
+            yield from _text_files(f"{at}/{name}")
+    elif at.endswith(".txt"):
+        yield at
+
+
+def _texts_below(root: str, folder: str):
+    """The text files at or below each name of a folder, a few MB at a time; the id is in the
+    name of the file's own folder."""
+
+    def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        ids, texts, held = [], [], 0
+        for name in (name for batch in batches for name in batch.column(0).to_pylist()):
+            for path in _text_files(f"{root}/{os.fsdecode(name)}"):
+                with open(path, "rb") as file:
+                    text = file.read()
+                if not text:  # Spark's reader passes over empty files
+                    continue
+                key, _, escaped = os.fsencode(os.path.basename(os.path.dirname(path))).decode(errors="replace").partition("=")
+                ids.append(unquote(escaped) if key == folder else "")
+                texts.append(text)
+                held += len(text)
+                if held >= _BYTES or len(ids) == _NAMES:
+                    yield pa.RecordBatch.from_arrays([pa.array(ids, pa.string()), pa.array(texts, pa.binary())], ["report_id", "text"])
+                    ids, texts, held = [], [], 0
+        yield pa.RecordBatch.from_arrays([pa.array(ids, pa.string()), pa.array(texts, pa.binary())], ["report_id", "text"])
+
+    return read
 
 
 def read_reports(spark: SparkSession, path: str, folder: str | None = None) -> DataFrame:
     """Every ``*.txt`` of a folder as one document; ``report_id`` is the file stem.
 
     With ``folder`` the files lie one to a folder named ``<folder>=<id>``, as Spark writes them,
-    and the id is taken from there.
+    and the id is taken from there. Spark's reader keeps the names of all files on the driver and
+    plans every one there. In a folder of the machine one task names the folders, passing them on as
+    it goes, and the others open them, so the driver sees no name.
     """
+    root = None if folder is None else machine_path(spark, path)
+    if root is not None:
+        names = spark.range(1).coalesce(1).mapInArrow(_names_of(root), "name binary")
+        dealt = names.repartition(_READERS * spark.sparkContext.defaultParallelism, "name")
+        read = dealt.mapInArrow(_texts_below(root, folder), "report_id string, text binary")
+        return read.select("report_id", F.col("text").cast("string").alias("text"))
     name = F.regexp_extract(F.col("_metadata.file_name"), r"^(.*)\.txt$", 1)
     if folder is not None:
         name = F.regexp_extract(F.col("_metadata.file_path"), rf"/{folder}=([^/]*)/[^/]*$", 1)

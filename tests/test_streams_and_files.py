@@ -208,6 +208,31 @@ def test_report_files_as_spark_writes_them(spark, tmp_path):
     assert texts("empty") == []
 
 
+def test_report_files_are_listed_and_read_by_tasks(spark, tmp_path, monkeypatch):
+    """The driver has no name of a file; the same rows as Spark's reader, whose plan has all of them."""
+    names = ["a", "50%25", "a+b", "%C3%A9", "é", "x y", "__HIVE_DEFAULT_PARTITION__", "=", ""]
+    for name in (f"name={n}" for n in names):
+        (tmp_path / name / "deep" / "name=b").mkdir(parents=True)
+        (tmp_path / name / "part-0.txt").write_text(f"one of {name}")
+        (tmp_path / name / "more.txt").write_bytes(b"bytes \xff of another kind")
+        (tmp_path / name / "deep" / "name=b" / "low.txt").write_text("low")
+        (tmp_path / name / "deep" / "no id.txt").write_text("none")
+        for passed_over in ("empty.txt", ".hidden.txt", "_made.txt", "notes.md"):
+            (tmp_path / name / passed_over).write_text("" if passed_over == "empty.txt" else "not read")
+    for folder in ("_made", ".tmp"):
+        (tmp_path / folder).mkdir()
+        (tmp_path / folder / "x.txt").write_text("not read")
+    (tmp_path / "top.txt").write_text("top")
+    both = lambda read: sorted((r.report_id, bytes(r.text)) for r in read.selectExpr("report_id", "CAST(text AS BINARY) AS text").collect())
+    read = readers.read_reports(spark, f"file://{tmp_path}", folder="name")
+    assert read.inputFiles() == []
+    found = both(read)
+    assert len(found) == 4 * len(names) + 1 and ("50%", b"one of name=50%25") in found and ("", b"top") in found
+    monkeypatch.setattr(readers, "machine_path", lambda spark, path: None)
+    by_spark = readers.read_reports(spark, str(tmp_path), folder="name")
+    assert len(by_spark.inputFiles()) > 0 and both(by_spark) == found
+
+
 def test_text_files(spark, tmp_path):
     (tmp_path / "RPT-001.txt").write_text("line one\n\nline two\n")
     (tmp_path / "RPT-002.txt").write_text("other")

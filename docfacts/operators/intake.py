@@ -65,31 +65,29 @@ def gate(
     order = [order_by] if isinstance(order_by, str) else list(order_by)
     # One plain column keeps the aggregate below hash-based.
     arrival = F.col(order[0]) if len(order) == 1 else F.struct(*order)
-    rows = checked(uploads).withColumn("_arrival", arrival)
-    first = (
-        rows.filter(F.col("error").isNull())
-        .groupBy("content_hash")
-        .agg(F.min("_arrival").alias("_arrival"))
-    )
+    # Shuffled as bytes, a hash takes half the room of its digits, which nothing compresses. As a struct, a
+    # null arrival equals another, so one deal by hash and arrival serves the join and the numbering.
+    rows = checked(uploads).withColumn("_digest", F.unhex("content_hash")).drop("content_hash")
+    digits = F.lower(F.hex("_digest"))
+    first = rows.filter(F.col("error").isNull()).groupBy("_digest").agg(F.min(arrival).alias("_arrival"))
     if registry is not None:
-        first = first.join(registry.select("content_hash"), "content_hash", "left_anti")
+        known = registry.select("content_hash")
+        first = first.withColumn("content_hash", digits).join(known, "content_hash", "left_anti").drop("content_hash")
     winners = first.select(
-        F.col("content_hash").alias("_hash"), F.col("_arrival").alias("_earliest"), F.lit(True).alias("_first")
+        F.col("_digest").alias("_hash"), F.struct(F.col("_arrival").alias("at")).alias("_earliest"), F.lit(True).alias("_first")
     )
-    together = F.row_number().over(Window.partitionBy("content_hash", "_arrival").orderBy("_arrival"))
+    dealt = rows.withColumn("_at", F.struct(arrival.alias("at")))
+    together = F.row_number().over(Window.partitionBy("_digest", "_at").orderBy("_at"))
     status = (
         F.when(F.col("error").isNotNull(), F.lit(REJECTED))
         .when(F.col("_first") & (F.col("_nth") == 1), F.lit(ACCEPTED))
         .otherwise(F.lit(DUPLICATE))
     )
     return (
-        rows.join(
-            winners,
-            (F.col("content_hash") == F.col("_hash")) & F.col("_arrival").eqNullSafe(F.col("_earliest")),
-            "left",
-        )
+        dealt.join(winners, (F.col("_digest") == F.col("_hash")) & (F.col("_at") == F.col("_earliest")), "left")
         .withColumn("_nth", together)
         .withColumn("status", status)
+        .withColumn("content_hash", digits)
         .select(*uploads.columns, "content_hash", "status", "error")
     )
 

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from docfacts.functions import text as text_fns
@@ -24,7 +24,7 @@ from docfacts.operators import (
 from docfacts.plans import derived
 from docfacts.plans.derived import table
 from docfacts.schemas import ATTEMPT, LINK, RECORD_FIELDS, REGISTRY
-from docfacts.session import scratch_dir
+from docfacts.session import scratch_dir, shuffles_let_go
 from docfacts.sources import readers, writers
 from docfacts.sources.keyed import KeyedTable
 from docfacts.sources.prefixed import PrefixedTable
@@ -693,24 +693,34 @@ def _survey(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
     """From uploads to regions on one set of texts, each stage reading what the one before left;
     and the checks of the run, measured as its stages are written.
 
-    Every report is sent twice, the second time under another id.
+    Every report is sent twice, the second time under another id. The verdicts are kept without the
+    texts, which are shuffled once to be put and once to meet their passages; what a job shuffled goes with it.
     """
+    with shuffles_let_go(spark):
+        counted, checks = _survey_stages(spark, sf_dir)
+    return resolve.by_region(spark.table("docfacts_run")).withColumns(counted), checks
+
+
+def _survey_stages(spark: SparkSession, sf_dir: str) -> tuple[dict[str, Column], DataFrame]:
+    """Run and write the stages; what was counted in them, and the checks."""
     base, suite, check = scratch_dir(spark, "survey-run"), quality.Suite(spark), quality.Measure
     status = F.col("status")
     sent = derived.reports(derived.spread(table(spark, sf_dir, "orders")))
     again = sent.withColumn("report_id", F.concat(F.lit("again-"), "report_id"))
+    uploads = sent.unionByName(again)
     gated = suite.stage(
-        intake.gate(sent.unionByName(again), "report_id"),
+        intake.gate(uploads, "report_id").drop("text"),
         check("completeness", "share_of_uploads_with_a_verdict", _share(F.count("status"), F.count("*")), 1.0),
         check("validity", "share_of_uploads_let_in", _share(F.count_if(status == intake.ACCEPTED), F.count("*")), 0.5,
               higher_is_better=False),
     )
-    gated.write.parquet(f"{base}/verdicts")
+    writers.write_stage(gated, f"{base}/verdicts")
     gated = spark.read.parquet(f"{base}/verdicts")
+    texts = intake.candidates(uploads)
+    documents = PrefixedTable(spark, f"{base}/documents", texts.schema, "report_id")
+    hashed = {"content_hash": intake.content_hash(F.col("text"))}
+    documents.put(texts, 0, among=intake.accepted_documents(gated), computed=hashed)
     writers.append_registry(intake.new_hashes(gated), f"{base}/registry")
-    accepted = intake.accepted_documents(gated)
-    documents = PrefixedTable(spark, f"{base}/documents", accepted.schema, "report_id")
-    documents.put(accepted, 0)
 
     reports = documents.read().select("report_id", "text")
     encoder = retrieve.TermEncoder().fit(chunk.chunk(reports))
@@ -723,7 +733,7 @@ def _survey(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
               _share(F.count_if(failed & used_up), F.count_if(failed)), 1.0),
         check("completeness", "share_of_reports_extracted", _share(F.count_if(~failed), F.count("*")), 0.75),
     )
-    outcomes.write.parquet(f"{base}/outcomes")
+    writers.write_stage(outcomes, f"{base}/outcomes")
     outcomes = spark.read.parquet(f"{base}/outcomes")
     log = extract.attempt_log(outcomes)
     writers.append_attempts(log, f"{base}/attempts")
@@ -736,9 +746,7 @@ def _survey(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
     readers.view(spark, f"{base}/served/occurrences", "docfacts_run")
     denied = spark.read.schema(log.schema).parquet(f"{base}/attempts").filter("NOT allowed").count()
     known = spark.read.schema(REGISTRY).parquet(f"{base}/registry").count()
-    regions = resolve.by_region(spark.table("docfacts_run"))
-    counted = {"n_denied": F.lit(denied).cast("long"), "n_texts": F.lit(known).cast("long")}
-    return regions.withColumns(counted), suite.checks()
+    return {"n_denied": F.lit(denied).cast("long"), "n_texts": F.lit(known).cast("long")}, suite.checks()
 
 
 @query

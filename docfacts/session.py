@@ -5,6 +5,8 @@ from __future__ import annotations
 import os
 import posixpath
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 from urllib.parse import unquote, urlsplit
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -81,6 +83,25 @@ def machine_path(spark: SparkSession, path: str) -> str | None:
     return at if store == "file" and plain and os.path.isdir(at) else None
 
 
+@contextmanager
+def shuffles_let_go(spark: SparkSession) -> Iterator[None]:
+    """What a job shuffled goes when the job has ended. Otherwise it stays until the driver happens to
+    collect its garbage, and the shuffles of a run of many jobs add up on disk.
+
+    For runs that write each stage and go on from the files; a job run again shuffles again.
+    """
+    name = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    before = spark.conf.get(name, None)
+    spark.conf.set(name, "true")
+    try:
+        yield
+    finally:
+        if before is None:
+            spark.conf.unset(name)
+        else:
+            spark.conf.set(name, before)
+
+
 def materialize(df: DataFrame) -> DataFrame:
     """Write ``df`` once to the shared folder and continue from the copy.
 

@@ -7,8 +7,9 @@ read opens a bounded number of folders however many puts there were, and a look-
 of its keys. Folders are never changed: a reader goes on with the manifest it has read.
 
 A put may be told which rows to take by their keys alone. They are found where the rows lie after the
-one shuffle that deals them out by prefix. A merge deals its rows out by prefix in one shuffle too, and
-a merged folder holds each key once, so reading it shuffles nothing.
+one shuffle that deals them out by prefix. A merge deals its rows out by prefix in one shuffle too. The
+folder of a put and a merged folder hold each key once, so reading a prefix that has one folder shuffles
+nothing.
 
 A put is named by an ascending number. Repeating the last one after a failure starts from the
 manifest before it and gives the same table, so streams can use it as an exactly-once sink. The
@@ -29,8 +30,8 @@ from docfacts.sources.readers import parquet_or_empty
 
 PREFIX_DIGITS, FAN_IN = 2, 8
 _MANIFEST = "number long, prefix string, folder string"
-# Fixed value: the end of the name of a folder in which every key has one row.
-_MERGED = "-merged"
+# The ends of the names of folders in which every key has one row, of merges and of puts.
+_MERGED, _ONCE = "-merged", "-once"
 
 
 class PrefixedTable:
@@ -77,14 +78,24 @@ class PrefixedTable:
         """Rows with their ``_prefix``, all of a prefix in one task."""
         return rows.withColumn("_prefix", self._prefix(F.col(self.key))).repartition("_prefix")
 
-    def _among(self, rows: DataFrame, keys: DataFrame) -> DataFrame:
-        """One row of ``rows`` for each row of ``keys`` that it equals in all columns of ``keys``."""
-        marked = rows.withColumn("_wanted", F.lit(False)).unionByName(
+    def _once(self, placed: DataFrame, *by: str) -> DataFrame:
+        """Of rows dealt out by prefix one for each key, the first in the order of ``by``."""
+        nth = F.row_number().over(Window.partitionBy("_prefix", self.key).orderBy(*by))
+        return placed.withColumn("_nth", nth).filter(F.col("_nth") == 1).drop("_nth")
+
+    def _among(self, rows: DataFrame, keys: DataFrame, computed: dict[str, Column]) -> DataFrame:
+        """One row of ``rows`` for each row of ``keys`` that it equals in all columns of ``keys``. The
+        ``computed`` columns of ``rows`` are made after they were dealt out."""
+        marked = rows.drop(*computed).withColumn("_wanted", F.lit(False)).unionByName(
             keys.withColumn("_wanted", F.lit(True)), allowMissingColumns=True
         )
+        of_row = {name: F.when(~F.col("_wanted"), column) for name, column in computed.items()}
+        of_key = {name: F.when(F.col("_wanted"), F.col(name)).otherwise(of_row[name]) for name in computed if name in keys.columns}
+        dealt = self._dealt(marked).withColumns(of_row | of_key)
         same = Window.partitionBy("_prefix", *keys.columns).orderBy(F.desc("_wanted"))  # the key comes first
-        after = self._dealt(marked).withColumn("_after_key", F.lag("_wanted").over(same))
-        return after.filter(F.col("_after_key") & ~F.col("_wanted")).drop("_wanted", "_after_key")
+        after = dealt.withColumn("_after_key", F.lag("_wanted").over(same))
+        after = after.filter(F.col("_after_key") & ~F.col("_wanted")).drop("_wanted", "_after_key")
+        return after if self.version else self._once(after, *keys.columns)
 
     def _write(self, placed: DataFrame, folder: str) -> set[str]:
         """Write rows with their ``_put`` and ``_prefix`` and return the prefixes they have."""
@@ -94,28 +105,32 @@ class PrefixedTable:
         )
         return {row[0] for row in written.distinct().collect()}
 
-    def put(self, rows: DataFrame, number: int, among: DataFrame | None = None) -> None:
-        """Insert or replace ``rows``. Without ``version`` they must have one row per key.
+    def put(
+        self, rows: DataFrame, number: int, among: DataFrame | None = None, computed: dict[str, Column] | None = None
+    ) -> None:
+        """Insert or replace ``rows``. Without ``version`` they must have one row per key; of more, one is put.
 
         ``among`` has the key and other columns of the table, each row once; for each of its rows one
-        of the equal ``rows`` is put, and nothing else.
+        of the equal ``rows`` is put, and nothing else. ``computed`` columns, which follow from the
+        others, are then not shuffled with the rows but made from them where they lie.
         """
         rows = rows.select(*self.schema.fieldNames())
         if among is not None:
-            placed = self._among(rows, among)
+            placed = self._among(rows, among, computed or {})
             if self.version:
                 placed = latest(placed, ["_prefix", self.key], self.version)
-        else:
-            if self.version:
-                rows = latest(rows, self.key, self.version)
+        elif self.version:
+            rows = latest(rows, self.key, self.version)
             placed = rows.withColumn("_prefix", self._prefix(F.col(self.key))).hint("rebalance", "_prefix")
+        else:
+            placed = self._once(self._dealt(rows), self.key)
         place, folders = self._manifest(before=number)
-        name = f"put-{number:012d}"
+        name = f"put-{number:012d}{_ONCE}"
         for prefix in self._write(placed.withColumn("_put", F.lit(number).cast("long")), name):
             folders.setdefault(prefix, []).append(name)
         full = {prefix: names for prefix, names in folders.items() if len(names) >= self.fan_in}
         if full:
-            merged = f"{name}{_MERGED}"
+            merged = f"put-{number:012d}{_MERGED}"
             self._write(self._latest(self._dealt(self._open(full)), "_prefix"), merged)
             folders |= {prefix: [merged] for prefix in full}
         entries = [(number, prefix, folder) for prefix, names in folders.items() for folder in names]
@@ -129,11 +144,11 @@ class PrefixedTable:
     def _current(self, folders: dict[str, list[str]], wanted: Column | None = None) -> DataFrame:
         """The current row of every key, or of the wanted ones, of some prefixes from their folders."""
         keep = lambda rows: rows if wanted is None else rows.filter(wanted)
-        merged = {prefix: names for prefix, names in folders.items() if len(names) == 1 and names[0].endswith(_MERGED)}
-        others = {prefix: names for prefix, names in folders.items() if prefix not in merged}
-        if not merged:
+        once = {prefix: names for prefix, names in folders.items() if len(names) == 1 and names[0].endswith((_MERGED, _ONCE))}
+        others = {prefix: names for prefix, names in folders.items() if prefix not in once}
+        if not once:
             return self._latest(keep(self._open(others)))
-        rows = keep(self._open(merged))
+        rows = keep(self._open(once))
         return rows.unionByName(self._latest(keep(self._open(others)))) if others else rows
 
     def read(self) -> DataFrame:
